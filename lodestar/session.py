@@ -59,6 +59,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "16g")
         .config("spark.sql.ansi.enabled", "true")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for k, v in RECOMMENDED_CONF.items():
         builder = builder.config(k, v)
