@@ -38,15 +38,23 @@ T4_DELETE_PATTERN = r"(\pS)|(\d+)"
 T4_SPACE_PATTERN = r"(\pP)|(\s)|(null)|(amp)|(quot)"
 DIGIT_PATTERN = r"\d"
 
+# After a profile's replacement the only whitespace left is single spaces, so a token is a
+# maximal run of non-space characters.  Whole tokens are dropped by blanking them in place
+# (replacement ""), which leaves an empty piece and so keeps every later position intact.
+STOP_TOKEN_PATTERN = "(?<=^| )(" + "|".join(STOP_WORDS) + ")(?= |$)"
+DIGIT_TOKEN_PATTERN = r"[^ ]*\d[^ ]*"
+
 
 @dataclass(frozen=True)
 class Profile:
-    """How a lower-cased text becomes raw pieces, and which non-empty pieces count."""
+    """How a lower-cased text becomes raw pieces; non-empty pieces are the tokens.
+
+    Only ``regexp_replace``, ``split`` and ``array_remove`` are used - all of them take
+    part in whole-stage codegen (a lambda such as ``filter(x -> ...)`` would not).
+    """
 
     name: str
     replace: tuple[tuple[str, str], ...]
-    drop_stop_words: bool = False
-    drop_digit_tokens: bool = False
 
     def pieces(self, text: Column) -> Column:
         """Raw split pieces, empties included (piece i sits at 1-based position i)."""
@@ -55,26 +63,22 @@ class Profile:
             out = F.regexp_replace(out, pattern, repl)
         return F.split(out, " ", -1)
 
-    def keep(self, tok: Column) -> Column:
+    @staticmethod
+    def keep(tok: Column) -> Column:
         """Predicate on one piece: does it count as a token?"""
-        cond = tok != F.lit("")
-        if self.drop_stop_words:
-            cond = cond & ~tok.isin(*STOP_WORDS)
-        if self.drop_digit_tokens:
-            cond = cond & ~tok.rlike(DIGIT_PATTERN)
-        return cond
+        return tok != F.lit("")
 
     def terms(self, text: Column) -> Column:
-        """Array of tokens in order, empties (and profile drops) removed."""
-        return F.filter(self.pieces(text), self.keep)
+        """Array of tokens in order (empty pieces removed)."""
+        return F.array_remove(self.pieces(text), "")
 
 
 PROFILES: dict[str, Profile] = {
     "t1": Profile("t1", ((T1_PATTERN, " "),)),
     "t1b": Profile("t1b", ((T1B_PATTERN, " "),)),
-    "t2": Profile("t2", ((T1_PATTERN, " "),), drop_stop_words=True),
+    "t2": Profile("t2", ((T1_PATTERN, " "), (STOP_TOKEN_PATTERN, ""))),
     "t2_legacy": Profile("t2_legacy", ((T2_LEGACY_PATTERN, " "),)),
-    "t3": Profile("t3", ((T3_PATTERN, " "),), drop_digit_tokens=True),
+    "t3": Profile("t3", ((T3_PATTERN, " "), (DIGIT_TOKEN_PATTERN, ""))),
     "t4_legacy": Profile("t4_legacy", ((T4_DELETE_PATTERN, ""), (T4_SPACE_PATTERN, " "))),
 }
 
@@ -103,12 +107,14 @@ def tokens(corpus: DataFrame, profile_name: str = "t1", id_col: str = "doc_id")
     """Long-form tokens ``(doc_id, pos, token)``; ``pos`` is the 1-based raw piece index.
 
     One row per kept token.  ``posexplode`` keeps the work per input row, so this is a
-    narrow transformation: no shuffle, partitions follow the corpus scan.
+    narrow transformation: no shuffle, partitions follow the corpus scan.  The ``_outer``
+    form avoids Catalyst's inferred ``size(...) > 0`` pre-filter, which would run the
+    tokenizer regex twice; its null row for an empty array fails ``keep``.
     """
     prof = profile(profile_name)
     pieces = corpus.select(
         F.col(id_col).alias("doc_id"),
-        F.posexplode(prof.pieces(doc_text())).alias("pos0", "token"),
+        F.posexplode_outer(prof.pieces(doc_text())).alias("pos0", "token"),
     )
     return pieces.where(prof.keep(F.col("token"))).select(
         "doc_id", (F.col("pos0") + 1).cast("bigint").alias("pos"), "token"

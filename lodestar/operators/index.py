@@ -15,6 +15,17 @@ from lodestar.functions.text import adjacent_pairs, doc_text, profile, tokens
 from lodestar.operators.rank import rank_within
 
 
+def _explode_terms(df: DataFrame, keep: list[str], name: str, col: str = "terms") -> DataFrame:
+    """explode without Catalyst's inferred ``size(terms) > 0`` pre-filter.
+
+    For a plain ``explode`` Catalyst adds that filter below the generator, and the filter
+    re-evaluates the whole tokenizer expression (regex included) a second time per row.
+    ``explode_outer`` gets no inferred filter; the null row it yields for an empty array is
+    dropped right after.
+    """
+    return df.select(*keep, F.explode_outer(col).alias(name)).where(F.col(name).isNotNull())
+
+
 def doc_terms(corpus: DataFrame, profile_name: str = "t1") -> DataFrame:
     """``(doc_id, len, terms)``: the kept tokens of each document, in order."""
     return corpus.select(
@@ -29,8 +40,7 @@ def term_frequency(corpus: DataFrame, profile_name: str = "t1") -> DataFrame:
     posting and saves the BM25 build a join of all postings with the document table.
     """
     return (
-        doc_terms(corpus, profile_name)
-        .select("doc_id", "len", F.explode("terms").alias("term"))
+        _explode_terms(doc_terms(corpus, profile_name), ["doc_id", "len"], "term")
         .groupBy("term", "doc_id", "len")
         .agg(F.count(F.lit(1)).alias("tf"))
         .select("term", "doc_id", "tf", "len")
@@ -46,11 +56,15 @@ def term_stats(postings_df: DataFrame, key: str = "term") -> DataFrame:
     """``(term, cf, df)`` from postings: collection and document frequency.
 
     Postings are unique per (term, doc), so df is a plain count (no distinct needed) and
-    the partial aggregate emits one row per term per map task.
+    the partial aggregate emits one row per term per map task.  df is written as
+    ``count_if(tf > 0)`` (every posting has tf >= 1) so that ``tf`` stays referenced:
+    Catalyst then keeps the postings aggregate intact in this branch, and a plan that
+    joins postings with their own statistics reuses one postings exchange instead of
+    tokenising and shuffling the corpus twice.
     """
     return postings_df.groupBy(key).agg(
         F.sum("tf").cast("bigint").alias("cf"),
-        F.count(F.lit(1)).alias("df"),
+        F.count_if(F.col("tf") > F.lit(0)).alias("df"),
     )
 
 
@@ -79,11 +93,26 @@ def corpus_stats(doc_stats_df: DataFrame) -> DataFrame:
     )
 
 
+def corpus_stats_from_postings(corpus: DataFrame, tf_df: DataFrame) -> DataFrame:
+    """Same row as ``corpus_stats`` without tokenising again.
+
+    n_docs counts corpus rows (no column is read); total_len is the sum of all term
+    frequencies, taken from postings that are being computed anyway.
+    """
+    n = corpus.agg(F.count(F.lit(1)).alias("n_docs"))
+    total = tf_df.agg(F.coalesce(F.sum("tf"), F.lit(0)).cast("bigint").alias("total_len"))
+    return n.crossJoin(total).select(
+        "n_docs", "total_len",
+        (F.col("total_len").cast("double") / F.col("n_docs").cast("double")).alias("avgdl"),
+    )
+
+
 def bigram_postings(corpus: DataFrame, profile_name: str = "t2") -> DataFrame:
     """``(bigram, doc_id, tf)`` over adjacent tokens after stop-word removal."""
     return (
-        doc_terms(corpus, profile_name)
-        .select("doc_id", F.explode(adjacent_pairs(F.col("terms"))).alias("bigram"))
+        _explode_terms(
+            doc_terms(corpus, profile_name).select("doc_id", adjacent_pairs(F.col("terms")).alias("pairs")),
+            ["doc_id"], "bigram", "pairs")
         .groupBy("bigram", "doc_id")
         .agg(F.count(F.lit(1)).alias("tf"))
     )

@@ -54,13 +54,15 @@ def _stats(spark, sf):
 
 
 def _bm25(spark, sf):
-    tf = _tf(spark, sf)
-    return weights.bm25_weights(tf, index.term_stats(tf), _stats(spark, sf))
+    c = corpus(spark, sf)
+    tf = index.term_frequency(c)
+    return weights.bm25_weights(tf, index.term_stats(tf), index.corpus_stats_from_postings(c, tf))
 
 
 def _tfidf(spark, sf):
-    tf = _tf(spark, sf)
-    return weights.tfidf_weights(tf, index.term_stats(tf), _stats(spark, sf))
+    c = corpus(spark, sf)
+    tf = index.term_frequency(c)
+    return weights.tfidf_weights(tf, index.term_stats(tf), index.corpus_stats_from_postings(c, tf))
 
 
 def _doc_stats(spark, sf):

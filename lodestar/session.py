@@ -18,9 +18,12 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Runtime broadcast only below a measured size; bigger sides stay sort-merge joins.
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
-    "spark.sql.autoBroadcastJoinThreshold": "10MB",
+    # No broadcast from static estimates: they come from compressed file sizes and say
+    # nothing about exploded or aggregated data.  AQE broadcasts a join side only after
+    # its stage ran and its measured size is below the threshold; explicit broadcast()
+    # hints remain for sides bounded by construction (one row, k rows).
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }
