@@ -1,20 +1,31 @@
 """Row number within a key, without putting a hot key into a single task.
 
 ``row_number() OVER (PARTITION BY key ORDER BY ...)`` sends every row of a key to one
-task, so a term found in a third of all documents would be sorted by one core.  Here the
-rows are range-partitioned on (key, order...) instead - sampled boundaries cut a hot key
-into several partitions - and each row's rank is its rank inside its partition plus the
-number of rows of the same key in earlier partitions.  The partition assignment is
-checkpointed (reliable checkpoint in ``spark.checkpoint.dir``) so that it cannot change if
-an executor is lost and a stage is recomputed.
+task, so a term found in a third of all documents would be sorted by one core.  Here:
+
+1. rows are range-partitioned on (key, order...) - sampled boundaries cut a hot key into
+   several partitions - and sorted inside each partition; the result is checkpointed
+   (reliable checkpoint in ``spark.checkpoint.dir``) so partition ids stay fixed even if
+   an executor is lost and a stage reruns;
+2. a narrow Arrow pass numbers each row inside its key's run within the partition;
+3. a key can continue from earlier partitions only as the *first* key of a partition, so
+   at most one (partition, key) pair per partition needs an offset.  Offsets come from
+   the row counts of each partition's first and last key - a table bounded by twice the
+   partition count, which is what gets broadcast.
+
+Shuffles of the full data: one (the range partitioning).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestar.session import checkpoint_root
 
@@ -24,6 +35,40 @@ _OFFSET = "_lodestar_offset"
 _COUNT = "_lodestar_count"
 
 
+def _run_numbers(key: str):
+    """mapInArrow function: 1-based position of each row inside its run of equal keys.
+
+    Rows arrive sorted by key within the partition; runs may span record batches, so the
+    last key and its count carry over from one batch to the next.
+    """
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        carry_key, carry_n = None, 0
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
+                continue
+            keys = batch.column(key)
+            new_run = np.ones(n, dtype=bool)
+            if n > 1:
+                new_run[1:] = pc.not_equal(keys.slice(1), keys.slice(0, n - 1)).to_numpy(
+                    zero_copy_only=False)
+            first = keys[0].as_py()
+            continues = carry_key is not None and first == carry_key
+            new_run[0] = not continues
+            idx = np.arange(n, dtype=np.int64)
+            run_start = np.maximum.accumulate(np.where(new_run, idx, 0))
+            numbers = idx - run_start + 1
+            if continues:
+                head = ~np.logical_or.accumulate(new_run)
+                numbers[head] += carry_n
+            carry_key, carry_n = keys[n - 1].as_py(), int(numbers[-1])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(numbers, type=pa.int64())],
+                names=[*batch.schema.names, _LOCAL],
+            )
+    return number
+
+
 def rank_within(df: DataFrame, key: str, order: Sequence[Column], rank_col: str = "rank",
                 num_partitions: int | None = None) -> DataFrame:
     """Add ``rank_col`` = 1-based row number of each row inside its ``key`` by ``order``.
@@ -36,19 +81,28 @@ def rank_within(df: DataFrame, key: str, order: Sequence[Column], rank_col: str
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (
         df.repartitionByRange(n, F.col(key), *order)
+        .sortWithinPartitions(F.col(key), *order)
         .withColumn(_PART, F.spark_partition_id())
         .checkpoint(eager=True)
     )
-    local = ranged.withColumn(
-        _LOCAL, F.row_number().over(Window.partitionBy(_PART, key).orderBy(*order))
+    schema = T.StructType([*ranged.schema.fields, T.StructField(_LOCAL, T.LongType(), False)])
+    local = ranged.mapInArrow(_run_numbers(key), schema)
+
+    # first and last key of every partition: one row per partition
+    edges = ranged.groupBy(_PART).agg(F.min(key).alias("_kmin"), F.max(key).alias("_kmax"))
+    counts = (
+        ranged.select(_PART, key)
+        .join(F.broadcast(edges), _PART)
+        .where((F.col(key) == F.col("_kmin")) | (F.col(key) == F.col("_kmax")))
+        .groupBy(_PART, key).agg(F.count(F.lit(1)).alias(_COUNT))
     )
-    counts = ranged.groupBy(_PART, key).agg(F.count(F.lit(1)).alias(_COUNT))
     earlier = Window.partitionBy(key).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        _PART, key, F.coalesce(F.sum(_COUNT).over(earlier), F.lit(0)).alias(_OFFSET)
+    offsets = (
+        counts.select(_PART, key, F.sum(_COUNT).over(earlier).alias(_OFFSET))
+        .where(F.col(_OFFSET).isNotNull())
     )
     return (
-        local.join(offsets, [_PART, key])
-        .withColumn(rank_col, (F.col(_OFFSET) + F.col(_LOCAL)).cast("bigint"))
+        local.join(F.broadcast(offsets), [_PART, key], "left")
+        .withColumn(rank_col, (F.coalesce(F.col(_OFFSET), F.lit(0)) + F.col(_LOCAL)).cast("bigint"))
         .drop(_PART, _LOCAL, _OFFSET)
     )

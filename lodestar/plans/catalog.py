@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.sources.documents import from_documents
+from lodestar.sources.documents import from_documents, spread_by_doc
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -21,5 +21,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The news corpus view of the ``documents`` table."""
-    return from_documents(table(spark, sf_dir, "documents"))
+    """The news corpus view of the ``documents`` table, spread over the cluster."""
+    return spread_by_doc(from_documents(table(spark, sf_dir, "documents")))
