@@ -136,6 +136,10 @@ def _one_line(x: str) -> str:
     return f"regexp_replace(regexp_replace({x}, '\\r\\n', '', 'g'), '[\\r\\n]', ' ', 'g')"
 
 
+def _no_sep(x: str) -> str:
+    return f"replace(replace({x}, '$$', '$ $'), '$$', '$ $')"
+
+
 def _show(x: str) -> str:
     return f"coalesce({x}, 'null')"
 
@@ -233,7 +237,7 @@ def sql() -> dict[str, str]:
     s["index_roundtrip"] = s["term_frequency"]
     s["export_delimited"] = _with(CORPUS) + (
         "SELECT doc_id, concat_ws('$$', CAST(doc_id AS VARCHAR), 'null', "
-        f"{_show('title')}, {_show(_one_line('headline'))}, {_show('byline')}, 'null', "
+        f"{_show('title')}, {_show(_no_sep(_one_line('headline')))}, {_show('byline')}, 'null', "
         f"{_show(_one_line('text'))}, '[]', '[]', '[]') AS line FROM corpus"
     )
     return s
