@@ -235,6 +235,7 @@ def sql() -> dict[str, str]:
         f"{D}) AS score FROM m GROUP BY doc_id"
     )
     s["index_roundtrip"] = s["term_frequency"]
+    s["stream_postings"] = s["term_frequency"]
     s["export_delimited"] = _with(CORPUS) + (
         "SELECT doc_id, concat_ws('$$', CAST(doc_id AS VARCHAR), 'null', "
         f"{_show('title')}, {_show(_no_sep(_one_line('headline')))}, {_show('byline')}, 'null', "

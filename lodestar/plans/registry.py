@@ -252,6 +252,17 @@ def q_search_cosine(spark, sf):
     return search.cosine(_tfidf(spark, sf), _doc_stats(spark, sf), TFIDF_QUERY, K, DIGITS)
 
 
+def q_stream_postings(spark, sf):
+    """Postings built by the streaming part ingest over the documents table."""
+    from lodestar.streaming.incremental import merged_postings, start_part_ingest
+
+    store = IndexStore(spark, scratch_path(spark, "stream-index"))
+    # a file stream watches a folder or glob; this glob matches only the documents table
+    q = start_part_ingest(spark, f"{sf}/documents*.parquet", store, scratch_path(spark, "stream-ckpt"))
+    q.awaitTermination()
+    return merged_postings(spark, store).select("term", "doc_id", "tf")
+
+
 def q_write_hits(spark, sf):
     hits = q_search_bm25(spark, sf)
     path = scratch_path(spark, "hits")
@@ -300,4 +311,5 @@ QUERIES: dict[str, Query] = {
     "ingest_delimited": q_ingest_delimited,
     "ingest_xml": q_ingest_xml,
     "write_hits": q_write_hits,
+    "stream_postings": q_stream_postings,
 }
