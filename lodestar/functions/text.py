@@ -43,6 +43,7 @@ DIGIT_PATTERN = r"\d"
 # (replacement ""), which leaves an empty piece and so keeps every later position intact.
 STOP_TOKEN_PATTERN = "(?<=^| )(" + "|".join(STOP_WORDS) + ")(?= |$)"
 DIGIT_TOKEN_PATTERN = r"[^ ]*\d[^ ]*"
+PAIR_PATTERN = r"(?:^| )(?=([^ ]+ [^ ]+))"
 
 
 @dataclass(frozen=True)
@@ -56,12 +57,26 @@ class Profile:
     name: str
     replace: tuple[tuple[str, str], ...]
 
-    def pieces(self, text: Column) -> Column:
-        """Raw split pieces, empties included (piece i sits at 1-based position i)."""
+    def normalized(self, text: Column) -> Column:
+        """The text after the profile's replacements: tokens separated by spaces."""
         out = text
         for pattern, repl in self.replace:
             out = F.regexp_replace(out, pattern, repl)
-        return F.split(out, " ", -1)
+        return out
+
+    def pieces(self, text: Column) -> Column:
+        """Raw split pieces, empties included (piece i sits at 1-based position i)."""
+        return F.split(self.normalized(text), " ", -1)
+
+    def pairs(self, text: Column) -> Column:
+        """Array of "w1 w2" strings for consecutive tokens; empty when fewer than two.
+
+        Runs of spaces collapse to one, then every token start proposes itself and its
+        successor through a capturing lookahead - one regex pass, inside codegen, instead
+        of an array lambda (which would fall back to interpreted evaluation).
+        """
+        single = F.trim(F.regexp_replace(self.normalized(text), " +", " "))
+        return F.regexp_extract_all(single, F.lit(PAIR_PATTERN), 1)
 
     @staticmethod
     def keep(tok: Column) -> Column:
@@ -121,13 +136,5 @@ def tokens(corpus: DataFrame, profile_name: str = "t1", id_col: str = "doc_id")
     )
 
 
-def adjacent_pairs(terms: Column) -> Column:
-    """Array of "w1 w2" strings for consecutive tokens; empty when fewer than two."""
-    n = F.greatest(F.size(terms) - 1, F.lit(0))
-    return F.zip_with(
-        F.slice(terms, 1, n), F.slice(terms, 2, n), lambda a, b: F.concat(a, F.lit(" "), b)
-    )
-
-
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c

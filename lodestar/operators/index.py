@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.functions.text import adjacent_pairs, doc_text, profile, tokens
+from lodestar.functions.text import doc_text, profile, tokens
+from lodestar.operators.layout import text_input
 from lodestar.operators.rank import rank_within
 
 
@@ -28,7 +29,7 @@ def _explode_terms(df: DataFrame, keep: list[str], name: str, col: str = "terms"
 
 def doc_terms(corpus: DataFrame, profile_name: str = "t1") -> DataFrame:
     """``(doc_id, len, terms)``: the kept tokens of each document, in order."""
-    return corpus.select(
+    return text_input(corpus).select(
         "doc_id", profile(profile_name).terms(doc_text()).alias("terms")
     ).select("doc_id", F.size("terms").cast("bigint").alias("len"), "terms")
 
@@ -75,7 +76,7 @@ def doc_length(corpus: DataFrame, profile_name: str = "t1") -> DataFrame:
 
 def doc_stats(corpus: DataFrame, profile_name: str = "t1") -> DataFrame:
     """``(doc_id, len, headline)`` - length plus what a hit displays."""
-    return corpus.select(
+    return text_input(corpus, "headline").select(
         "doc_id",
         F.size(profile(profile_name).terms(doc_text())).cast("bigint").alias("len"),
         "headline",
@@ -111,7 +112,7 @@ def bigram_postings(corpus: DataFrame, profile_name: str = "t2") -> DataFrame:
     """``(bigram, doc_id, tf)`` over adjacent tokens after stop-word removal."""
     return (
         _explode_terms(
-            doc_terms(corpus, profile_name).select("doc_id", adjacent_pairs(F.col("terms")).alias("pairs")),
+            text_input(corpus).select("doc_id", profile(profile_name).pairs(doc_text()).alias("pairs")),
             ["doc_id"], "bigram", "pairs")
         .groupBy("bigram", "doc_id")
         .agg(F.count(F.lit(1)).alias("tf"))
@@ -124,7 +125,12 @@ def bigram_stats(bigram_postings_df: DataFrame) -> DataFrame:
 
 def positions(corpus: DataFrame, profile_name: str = "t3") -> DataFrame:
     """Positional index in long form ``(term, doc_id, pos)``; every position is kept."""
-    return tokens(corpus, profile_name).select(F.col("token").alias("term"), "doc_id", "pos")
+    return token_stream(corpus, profile_name).select(F.col("token").alias("term"), "doc_id", "pos")
+
+
+def token_stream(corpus: DataFrame, profile_name: str = "t1") -> DataFrame:
+    """``(doc_id, pos, token)`` of a whole corpus (narrow; spread when the scan is narrow)."""
+    return tokens(text_input(corpus), profile_name)
 
 
 def positional_frequency(positions_df: DataFrame) -> DataFrame:

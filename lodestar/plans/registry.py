@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.functions import markup
-from lodestar.functions.text import doc_text, tokens
+from lodestar.functions.text import doc_text
 from lodestar.operators import index, search, weights
 from lodestar.plans.catalog import corpus, table
 from lodestar.session import scratch_path
@@ -53,20 +53,28 @@ def _stats(spark, sf):
     return index.corpus_stats(index.doc_stats(corpus(spark, sf)))
 
 
-def _bm25(spark, sf):
+def _corpus_stats(c, tf, whole: bool):
+    # A whole weight table aggregates every posting anyway: take the total length from
+    # that same (reused) exchange.  A search filters postings to its words first, so
+    # there the per-document lengths (narrow, no shuffle) are cheaper.
+    return index.corpus_stats_from_postings(c, tf) if whole else index.corpus_stats(index.doc_length(c))
+
+
+def _bm25(spark, sf, whole: bool = True):
     c = corpus(spark, sf)
     tf = index.term_frequency(c)
-    return weights.bm25_weights(tf, index.term_stats(tf), index.corpus_stats_from_postings(c, tf))
+    return weights.bm25_weights(tf, index.term_stats(tf), _corpus_stats(c, tf, whole))
 
 
-def _tfidf(spark, sf):
+def _tfidf(spark, sf, whole: bool = True):
     c = corpus(spark, sf)
     tf = index.term_frequency(c)
-    return weights.tfidf_weights(tf, index.term_stats(tf), index.corpus_stats_from_postings(c, tf))
+    return weights.tfidf_weights(tf, index.term_stats(tf), _corpus_stats(c, tf, whole))
 
 
-def _doc_stats(spark, sf):
-    return index.doc_stats(corpus(spark, sf))
+def _headlines(spark, sf):
+    """``(doc_id, headline)`` for the k hits - straight from the corpus, no tokenizing."""
+    return corpus(spark, sf).select("doc_id", "headline")
 
 
 # ---------------------------------------------------------------- text and ingest
@@ -77,7 +85,7 @@ def q_doc_text(spark, sf):
 
 def _tokens(profile_name: str) -> Query:
     def run(spark, sf):
-        return tokens(corpus(spark, sf), profile_name)
+        return index.token_stream(corpus(spark, sf), profile_name)
     run.__name__ = f"q_tokens_{profile_name}"
     return run
 
@@ -92,7 +100,7 @@ def q_clean_headline(spark, sf):
 
 
 def q_format_hits(spark, sf):
-    hits = search.bm25(_bm25(spark, sf), _doc_stats(spark, sf), BM25_QUERY, K, DIGITS)
+    hits = search.bm25(_bm25(spark, sf, whole=False), _headlines(spark, sf), BM25_QUERY, K, DIGITS)
     return hits.select(
         "rank", "score",
         markup.format_hit(F.col("doc_id"), markup.clean_headline(F.col("headline")), ":").alias("hit"),
@@ -142,7 +150,7 @@ def q_term_idf(spark, sf):
 
 def q_postings_with_headline(spark, sf):
     p = index.postings(corpus(spark, sf))
-    return p.join(_doc_stats(spark, sf).select("doc_id", "headline"), "doc_id") \
+    return p.join(_headlines(spark, sf).select("doc_id", "headline"), "doc_id") \
         .select("term", "doc_id", "tf", "headline")
 
 
@@ -226,7 +234,7 @@ def q_search_term_exact(spark, sf):
 
 
 def q_search_postings_any(spark, sf):
-    return search.postings_any(_bm25(spark, sf), BM25_QUERY).select(
+    return search.postings_any(_bm25(spark, sf, whole=False), BM25_QUERY).select(
         "term", "doc_id", _r("weight"))
 
 
@@ -241,15 +249,15 @@ def q_search_proximity_pairs(spark, sf):
 
 
 def q_search_bm25(spark, sf):
-    return search.bm25(_bm25(spark, sf), _doc_stats(spark, sf), BM25_QUERY, K, DIGITS)
+    return search.bm25(_bm25(spark, sf, whole=False), _headlines(spark, sf), BM25_QUERY, K, DIGITS)
 
 
 def q_search_tfidf(spark, sf):
-    return search.tfidf(_tfidf(spark, sf), _doc_stats(spark, sf), TFIDF_QUERY, K, DIGITS)
+    return search.tfidf(_tfidf(spark, sf, whole=False), _headlines(spark, sf), TFIDF_QUERY, K, DIGITS)
 
 
 def q_search_cosine(spark, sf):
-    return search.cosine(_tfidf(spark, sf), _doc_stats(spark, sf), TFIDF_QUERY, K, DIGITS)
+    return search.cosine(_tfidf(spark, sf, whole=False), _headlines(spark, sf), TFIDF_QUERY, K, DIGITS)
 
 
 def q_stream_postings(spark, sf):

@@ -29,27 +29,6 @@ def from_documents(documents: DataFrame) -> DataFrame:
     )
 
 
-def spread_by_doc(corpus: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread the corpus over the cluster when its scan is too narrow.
-
-    A corpus stored as few large files (one Parquet row group is one task) would tokenise
-    on a handful of cores.  Below the cluster's parallelism the rows are dealt round-robin
-    over an explicit partition count (AQE never coalesces that back; Spark sorts before a
-    round-robin so a retried task gets the same rows).  Round-robin rather than hashing by
-    doc id on purpose: the postings aggregate then keeps its own exchange, which the
-    postings, document-frequency and corpus-length branches of one plan share as a single
-    reused stage - tokenising once.  A wide scan is left untouched.
-    """
-    spark = corpus.sparkSession
-    target = min_partitions or max(
-        spark.sparkContext.defaultParallelism,
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-    )
-    if corpus.rdd.getNumPartitions() >= target:
-        return corpus
-    return corpus.repartition(target)
-
-
 def dedupe_docs(corpus: DataFrame) -> DataFrame:
     """One row per ``doc_id``; among copies the greatest (date, text, ...) row wins.
 
