@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestar.functions.markup import clean_markup
 from lodestar.schemas import NEWS_XML
@@ -38,17 +39,39 @@ def news_to_corpus(items: DataFrame) -> DataFrame:
     ).where(F.col("doc_id").isNotNull())
 
 
-def read_news_xml(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Scan news XML files into the corpus schema (explicit schema, no inference)."""
-    items = (
+def _scan(spark: SparkSession, path: str | list[str], encoding: str) -> DataFrame:
+    # PERMISSIVE: a malformed record becomes a row with nulls and its raw text in the
+    # corrupt-record column, instead of failing the whole scan.
+    schema = T.StructType([*NEWS_XML.fields, T.StructField(CORRUPT_COL, T.StringType(), True)])
+    return (
         spark.read.format("xml")
         .option("rowTag", ROW_TAG)
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT_COL)
         .option("ignoreSurroundingSpaces", "false")
-        .schema(NEWS_XML)
+        .option("encoding", encoding)
+        .schema(schema)
         .load(path)
     )
-    return news_to_corpus(items)
+
+
+def read_news_xml(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8") -> DataFrame:
+    """Scan news XML files into the corpus schema (explicit schema, no inference).
+
+    Records without a parsable item id (including malformed ones) are left out; see
+    ``news_xml_rejects`` for them.
+    """
+    return news_to_corpus(_scan(spark, path, encoding))
+
+
+def news_xml_rejects(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8") -> DataFrame:
+    """``(item_id, raw)``: the records the XML parser could not read.
+
+    ``item_id`` is whatever the parser still recovered (often null).  Spark refuses a
+    query that references the corrupt-record column alone, so it is selected as well.
+    """
+    return _scan(spark, path, encoding).where(F.col(CORRUPT_COL).isNotNull()) \
+        .select(F.col("_itemid").alias("item_id"), F.col(CORRUPT_COL).alias("raw"))
 
 
 def corpus_to_news(corpus: DataFrame) -> DataFrame:

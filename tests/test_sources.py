@@ -72,3 +72,19 @@ def test_store_sorted_files(spark, tmp_path):
     assert back.count() == 100
     plan = back.where(F.col("term") == "3")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(term), EqualTo(term,3)]" in plan
+
+
+def test_news_xml_malformed_record_goes_to_rejects(spark):
+    path = os.path.join(FIXTURES, "news_bad.xml")
+    assert [r.doc_id for r in news_xml.read_news_xml(spark, path).collect()] == [5001]
+    rejects = news_xml.news_xml_rejects(spark, path).collect()
+    assert len(rejects) == 1 and "Broken item" in rejects[0].raw
+
+
+def test_news_xml_latin1(spark, tmp_path):
+    p = tmp_path / "latin1.xml"
+    p.write_bytes('<?xml version="1.0" encoding="iso-8859-1" ?>\n'
+                  '<newsitems><newsitem itemid="9" date="1996-08-20"><title>Café résumé</title>'
+                  '<text><p>naïve</p></text></newsitem></newsitems>'.encode("iso-8859-1"))
+    r = news_xml.read_news_xml(spark, str(p), encoding="ISO-8859-1").first()
+    assert r.title == "Café résumé" and r.text == "naïve"
