@@ -50,7 +50,9 @@ def _tf(spark, sf):
 
 
 def _stats(spark, sf):
-    return index.corpus_stats(index.doc_stats(corpus(spark, sf)))
+    # doc_length projects the corpus like the postings branch does, so both share one
+    # spread exchange of the raw text
+    return index.corpus_stats(index.doc_length(corpus(spark, sf)))
 
 
 def _corpus_stats(c, tf, whole: bool):

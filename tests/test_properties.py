@@ -10,7 +10,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 import brute
-from lodestar.functions.text import T1_PATTERN, T2_LEGACY_PATTERN, T3_PATTERN, tokens
+from lodestar.functions.text import T1_PATTERN, T2_LEGACY_PATTERN, tokens
 
 ATOMS = list("abcdefghijklmnopqrstuvwxyzABCXYZéèüß0123456789") + list(".,;:!?-'\"()$%&+<>=/ \t\n") + [
     "null", "amp", "quot", " the ", " a ", " of ", "3com", "&amp;", " in ", "an", "their",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import brute
 from lodestar.operators import index, search, weights
 from lodestar.operators.rank import rank_within
-from lodestar.plans.build import BuildOptions, SearchIndex, build_index
+from lodestar.plans.build import SearchIndex, build_index
 from lodestar.sources.store import IndexStore
 
 
