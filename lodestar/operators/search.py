@@ -2,7 +2,8 @@
 
 Query words are bounded by the query, so they travel as literals: an ``IN`` list that
 Parquet pushes down (row-group skipping on the term-sorted tables) and, where a per-word
-count is needed, a literal map.  No join with a query table, no collect.
+count is needed, a literal map.  No join with a query table.  The only rows that ever
+reach the driver are the k winners of a ranked search in eager mode (``_top_hits``).
 """
 
 from __future__ import annotations
@@ -98,30 +99,47 @@ def proximity(positions_df: DataFrame, w1: str, w2: str, delta: int = 1) -> Data
 
 # ----------------------------------------------------------------------------- ranking
 
-def _top_hits(scores: DataFrame, doc_stats_df: DataFrame, k: int, digits: int | None) -> DataFrame:
+HIT_SCHEMA = "rank INT, doc_id BIGINT, score DOUBLE"
+
+
+def _top_hits(scores: DataFrame, doc_stats_df: DataFrame, k: int, digits: int | None,
+              eager: bool = False) -> DataFrame:
     """Top-k by score (ties: smaller doc id first) with rank and headline.
 
     ``orderBy(...).limit(k)`` becomes TakeOrderedAndProject: every task keeps k rows, so
-    only k x tasks rows meet on one core.  The k winners then pick up their headlines by
-    a broadcast of those k rows - a size bounded by k.
+    only k x tasks rows meet on one core.  Headlines are then attached in one of two ways:
+
+    * lazy (default): a broadcast of the k winners joined with the headline table - the
+      plan stays a DataFrame, but the headline table is scanned in full;
+    * ``eager=True``: the k winners (the result itself, bounded by k) are fetched, and
+      headlines are read with ``doc_id IN (...)`` pushed into the Parquet scan, which on
+      a doc-id-sorted table reads only the row groups of those k documents.
     """
     if k <= 0:
         raise ValueError("k must be positive")
     if digits is not None:
         scores = scores.withColumn("score", F.round("score", digits))
     top = scores.orderBy(F.col("score").desc(), F.col("doc_id").asc()).limit(k)
-    ranked = top.withColumn(
-        "rank", F.row_number().over(Window.orderBy(F.col("score").desc(), F.col("doc_id").asc()))
-    )
+    if eager:
+        winners = top.collect()
+        spark = scores.sparkSession
+        ranked = spark.createDataFrame(
+            [(i + 1, r["doc_id"], r["score"]) for i, r in enumerate(winners)], HIT_SCHEMA)
+        heads = doc_stats_df.where(F.col("doc_id").isin([r["doc_id"] for r in winners]))
+    else:
+        ranked = top.withColumn(
+            "rank", F.row_number().over(Window.orderBy(F.col("score").desc(), F.col("doc_id").asc()))
+        )
+        heads = doc_stats_df
     return (
-        doc_stats_df.select("doc_id", "headline")
+        heads.select("doc_id", "headline")
         .join(F.broadcast(ranked), "doc_id")
         .select(F.col("rank").cast("int").alias("rank"), "doc_id", "score", "headline")
     )
 
 
 def bm25(weights_df: DataFrame, doc_stats_df: DataFrame, words: str | Iterable[str],
-         k: int = DEFAULT_K, digits: int | None = None) -> DataFrame:
+         k: int = DEFAULT_K, digits: int | None = None, eager: bool = False) -> DataFrame:
     """BM25 hits: score = (sum of the matched words' weights) / 2.
 
     A repeated query word counts once (membership test).  ``groupBy(doc_id)`` keys on the
@@ -130,7 +148,7 @@ def bm25(weights_df: DataFrame, doc_stats_df: DataFrame, words: str | Iterable[s
     scores = postings_any(weights_df, words).groupBy("doc_id").agg(
         (F.sum("weight") / F.lit(2.0)).alias("score")
     )
-    return _top_hits(scores, doc_stats_df, k, digits)
+    return _top_hits(scores, doc_stats_df, k, digits, eager)
 
 
 def _query_pairs(weights_df: DataFrame, words: list[str]) -> DataFrame:
@@ -154,17 +172,17 @@ def query_weights(term_idf_df: DataFrame, words: str | Iterable[str]) -> DataFra
 
 
 def tfidf(weights_df: DataFrame, doc_stats_df: DataFrame, words: str | Iterable[str],
-          k: int = DEFAULT_K, digits: int | None = None) -> DataFrame:
+          k: int = DEFAULT_K, digits: int | None = None, eager: bool = False) -> DataFrame:
     """Tf-idf hits: score = sum over query words (repeats included) of the doc weight / 2."""
     pairs = _query_pairs(weights_df, query_words(words))
     scores = pairs.groupBy("doc_id").agg(
         (F.sum(F.col("qtf") * F.col("dw")) / F.lit(2.0)).alias("score")
     )
-    return _top_hits(scores, doc_stats_df, k, digits)
+    return _top_hits(scores, doc_stats_df, k, digits, eager)
 
 
 def cosine(weights_df: DataFrame, doc_stats_df: DataFrame, words: str | Iterable[str],
-           k: int = DEFAULT_K, digits: int | None = None) -> DataFrame:
+           k: int = DEFAULT_K, digits: int | None = None, eager: bool = False) -> DataFrame:
     """Cosine hits; both norms run over the matched query words only (repeats counted)."""
     pairs = _query_pairs(weights_df, query_words(words))
     sums = pairs.groupBy("doc_id").agg(
@@ -173,4 +191,4 @@ def cosine(weights_df: DataFrame, doc_stats_df: DataFrame, words: str | Iterable
         F.sum(F.col("qtf") * F.col("dw") * F.col("dw")).alias("d_sq"),
     )
     scores = sums.select("doc_id", scoring.cosine(F.col("dot"), F.col("q_sq"), F.col("d_sq")).alias("score"))
-    return _top_hits(scores, doc_stats_df, k, digits)
+    return _top_hits(scores, doc_stats_df, k, digits, eager)

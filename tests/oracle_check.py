@@ -22,13 +22,16 @@ from lodestar.plans.catalog import TABLES  # noqa: E402
 from lodestar.session import local_session  # noqa: E402
 
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+
+
 def _norm(v):
     if v is None:
         return "NULL"
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return repr(round(v, 9))
+        return repr(v) if EXACT else repr(round(v, 9))
     return repr(v)
 
 

@@ -32,7 +32,7 @@ def test_stored_search_pushes_terms_and_takes_top_k(spark, corpus_of, tmp_path):
     store = build_index(corpus_of(brute.DOCS), IndexStore(spark, str(tmp_path / "i")),
                         BuildOptions(tables=("postings", "term_stats", "doc_stats", "corpus_stats",
                                              "weights_bm25")))
-    hits = SearchIndex(store).bm25(["cat", "dog"], k=3)
+    hits = SearchIndex(store, eager=False).bm25(["cat", "dog"], k=3)
     plan = _final_plan(hits)
     assert "PushedFilters: [In(term, [cat,dog])]" in plan
     assert "TakeOrderedAndProject" in plan
@@ -68,3 +68,15 @@ def test_spread_only_narrow_scans(spark):
     assert spread_by_doc(narrow, min_partitions=4).rdd.getNumPartitions() == 4
     wide = spark.range(100).repartition(6)
     assert spread_by_doc(wide, min_partitions=4) is wide
+
+
+def test_eager_hits_read_only_their_headlines(spark, corpus_of, tmp_path):
+    import brute
+    store = build_index(corpus_of(brute.DOCS), IndexStore(spark, str(tmp_path / "e")),
+                        BuildOptions(tables=("postings", "term_stats", "doc_stats", "corpus_stats",
+                                             "weights_bm25")))
+    eager = SearchIndex(store, eager=True).bm25(["cat"], k=2, digits=6)
+    lazy = SearchIndex(store, eager=False).bm25(["cat"], k=2, digits=6)
+    assert eager.orderBy("rank").collect() == lazy.orderBy("rank").collect()
+    plan = eager._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(doc_id), In(doc_id," in plan
