@@ -186,6 +186,22 @@ def sql() -> dict[str, str]:
     s["index_bigram"] = _with(_ctes("t1"), BIGRAM_POST) + "SELECT bigram, cf, df FROM bts"
     s["index_bigram_postings"] = _with(_ctes("t1"), BIGRAM_POST) + "SELECT bigram, doc_id, tf FROM bpost"
     s["index_positional"] = _with(_ctes("t3"), POSITIONS) + "SELECT term, doc_id, pos FROM pos"
+    vb = R.VIEW_BLOCK
+    s["index_unigram_view"] = _with(_ctes("t1"), POST, TS) + (
+        "SELECT term, cf, block, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS doc_ids FROM ("
+        f"SELECT post.term, ts.cf, CAST((row_number() OVER (PARTITION BY post.term ORDER BY post.doc_id) - 1) // {vb} AS BIGINT) AS block, "
+        "post.doc_id FROM post JOIN ts ON post.term = ts.term) GROUP BY term, cf, block"
+    )
+    s["index_positional_view"] = _with(_ctes("t3"), POSITIONS) + (
+        "SELECT term, doc_id, string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) AS positions "
+        "FROM pos GROUP BY term, doc_id"
+    )
+    s["impact_list_bm25"] = W_BM25 + (
+        "SELECT term, block, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY rnk) AS doc_ids FROM ("
+        "SELECT term, doc_id, row_number() OVER (PARTITION BY term ORDER BY weight DESC, doc_id) AS rnk, "
+        f"CAST((row_number() OVER (PARTITION BY term ORDER BY weight DESC, doc_id) - 1) // {vb} AS BIGINT) AS block "
+        "FROM w) GROUP BY term, block"
+    )
     s["positional_frequency"] = _with(_ctes("t3"), POSITIONS) + (
         "SELECT term, CAST(count(*) AS BIGINT) AS frequency, CAST(count(DISTINCT doc_id) AS BIGINT) AS df "
         "FROM pos GROUP BY term"

@@ -181,6 +181,37 @@ def q_index_roundtrip(spark, sf):
     return store.write("postings", index.postings(corpus(spark, sf)))
 
 
+# ---------------------------------------------------------------- nested views
+# Lists are shown as comma-joined strings so that both engines compare them as text.
+
+VIEW_BLOCK = 1024
+
+
+def _ids(c: str) -> F.Column:
+    return F.array_join(F.transform(F.col(c), lambda x: x.cast("string")), ",")
+
+
+def q_index_unigram_view(spark, sf):
+    p = index.postings(corpus(spark, sf))
+    v = index.posting_list_view(p, index.term_stats(p), block_size=VIEW_BLOCK)
+    return v.select("term", "cf", "block", _ids("doc_ids").alias("doc_ids"))
+
+
+def q_index_positional_view(spark, sf):
+    v = index.positional_view(index.positions(corpus(spark, sf)))
+    return v.select("term", "doc_id", _ids("positions").alias("positions"))
+
+
+def q_impact_list_bm25(spark, sf):
+    ranked = weights.impact_order(_bm25(spark, sf))
+    blocks = ranked.withColumn("block", ((F.col("impact_rank") - 1) / VIEW_BLOCK).cast("bigint"))
+    lists = blocks.groupBy("term", "block").agg(
+        F.sort_array(F.collect_list(F.struct("impact_rank", "doc_id"))).alias("l"))
+    return lists.select("term", "block",
+                        F.array_join(F.transform("l", lambda x: x["doc_id"].cast("string")), ",")
+                        .alias("doc_ids"))
+
+
 # ---------------------------------------------------------------- weights
 
 def q_weights_bm25(spark, sf):
@@ -300,6 +331,9 @@ QUERIES: dict[str, Query] = {
     "index_bigram": q_index_bigram,
     "index_bigram_postings": q_index_bigram_postings,
     "index_positional": q_index_positional,
+    "index_unigram_view": q_index_unigram_view,
+    "index_positional_view": q_index_positional_view,
+    "impact_list_bm25": q_impact_list_bm25,
     "positional_frequency": q_positional_frequency,
     "weights_bm25": q_weights_bm25,
     "weights_tfidf": q_weights_tfidf,
