@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions import scoring
+from lodestar.operators.skew import salted_key_join
 
 DEFAULT_K = 20
 
@@ -37,8 +38,10 @@ def _qtf_map(words: list[str]) -> Column:
 # ----------------------------------------------------------------------------- lookups
 
 def _with_frequency(matches: DataFrame, stats_df: DataFrame, key: str) -> DataFrame:
-    return matches.join(stats_df.select(key, F.col("cf").alias("frequency")), key) \
-        .select(key, "frequency", "doc_id")
+    # df is the number of postings of a key: hot keys (a substring query such as "e"
+    # matches the hottest terms) are salted across partitions
+    stats = stats_df.select(key, "df", F.col("cf").alias("frequency"))
+    return salted_key_join(matches, stats, key, "df").select(key, "frequency", "doc_id")
 
 
 def term_substring(term_stats_df: DataFrame, postings_df: DataFrame, q: str,

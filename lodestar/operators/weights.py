@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestar.functions import scoring
 from lodestar.operators.rank import rank_within
+from lodestar.operators.skew import salted_key_join
 
 
 def stats_row(corpus_stats_df: DataFrame, n_docs: float | None = None,
@@ -31,10 +32,17 @@ def term_idf(term_stats_df: DataFrame, corpus_stats_df: DataFrame,
 
 def _with_idf(tf_df: DataFrame, term_stats_df: DataFrame, corpus_stats_df: DataFrame,
               n_docs: float | None, avgdl: float | None) -> DataFrame:
-    # Join on term: Catalyst plans a broadcast only when the term table is measured small
-    # (file statistics, or AQE at runtime); otherwise a sort-merge join whose hot-term
-    # partitions AQE's skew-join handling splits.
-    return tf_df.join(term_idf(term_stats_df, corpus_stats_df, n_docs, avgdl), "term")
+    """Postings joined with their term's df, then with the 1-row corpus stats.
+
+    The postings x term join is the one big join of the build, and a hot term would put a
+    large share of all postings into one join partition; ``salted_key_join`` spreads such
+    terms over several partitions (df is exactly the term's number of postings).  The
+    1-row stats are attached after the join (a broadcast bounded by construction).
+    """
+    terms = term_stats_df.select("term", "df")
+    s = F.broadcast(stats_row(corpus_stats_df, n_docs, avgdl))
+    return salted_key_join(tf_df, terms, "term", "df").crossJoin(s).withColumn(
+        "idf", scoring.idf(F.col("n_docs"), F.col("df")))
 
 
 def bm25_weights(tf_df: DataFrame, term_stats_df: DataFrame, corpus_stats_df: DataFrame,
