@@ -84,9 +84,14 @@ def doc_stats(corpus: DataFrame, profile_name: str = "t1") -> DataFrame:
 
 
 def corpus_stats(doc_stats_df: DataFrame) -> DataFrame:
-    """One row ``(n_docs, total_len, avgdl)``; a global aggregate with map-side partials."""
+    """One row ``(n_docs, total_len, avgdl)``; a global aggregate with map-side partials.
+
+    Documents are counted by id (every source drops rows without one).  Referencing
+    ``doc_id`` also keeps the column in this branch, so its input is the same projection
+    of the corpus as the postings branch and the two share one exchange of the raw text.
+    """
     return doc_stats_df.agg(
-        F.count(F.lit(1)).alias("n_docs"),
+        F.count("doc_id").alias("n_docs"),
         F.coalesce(F.sum("len"), F.lit(0)).cast("bigint").alias("total_len"),
     ).select(
         "n_docs", "total_len",
