@@ -19,10 +19,12 @@ def spread_by_doc(corpus: DataFrame, min_partitions: int | None = None) -> DataF
     reused stage - tokenising once.  A wide scan is left untouched.
     """
     spark = corpus.sparkSession
-    target = min_partitions or max(
-        spark.sparkContext.defaultParallelism,
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-    )
+    if min_partitions is None:
+        try:  # two tasks per core of the cluster
+            min_partitions = 2 * spark.sparkContext.defaultParallelism
+        except Exception:  # no SparkContext on this client
+            min_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    target = min_partitions
     try:
         if corpus.rdd.getNumPartitions() >= target:
             return corpus

@@ -31,7 +31,13 @@ RECOMMENDED_CONF = {
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; created privately only for local sessions."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a client without a SparkContext (Spark Connect): the server's setting
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the server") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
