@@ -18,7 +18,7 @@ from lodestar.functions.text import doc_text
 from lodestar.operators import index, search, weights
 from lodestar.plans.catalog import corpus, table
 from lodestar.session import scratch_path
-from lodestar.sources import delimited, news_xml
+from lodestar.sources import delimited, news_xml, results
 from lodestar.sources.documents import dedupe_docs
 from lodestar.sources.store import IndexStore
 
@@ -307,7 +307,7 @@ def q_stream_postings(spark, sf):
 def q_write_hits(spark, sf):
     hits = q_search_bm25(spark, sf)
     path = scratch_path(spark, "hits")
-    hits.coalesce(1).write.mode("overwrite").parquet(path)
+    results.write_hits(hits, path)
     return spark.read.parquet(path)
 
 

@@ -88,3 +88,25 @@ def test_news_xml_latin1(spark, tmp_path):
                   '<text><p>naïve</p></text></newsitem></newsitems>'.encode("iso-8859-1"))
     r = news_xml.read_news_xml(spark, str(p), encoding="ISO-8859-1").first()
     assert r.title == "Café résumé" and r.text == "naïve"
+
+
+def test_delimited_multi_path_and_glob(spark, tmp_path, corpus_of):
+    a, b = str(tmp_path / "data" / "part-a"), str(tmp_path / "data1" / "part-b")
+    delimited.write_delimited(corpus_of([(1, "one"), (2, "two")]), a)
+    delimited.write_delimited(corpus_of([(3, "three")]), b)
+    both = delimited.read_delimited(spark, f"{a}/part-*,{b}/part-*")
+    assert sorted(r.doc_id for r in both.collect()) == [1, 2, 3]
+    globbed = delimited.read_delimited(spark, [str(tmp_path / "data*" / "part-*" / "part-*")])
+    assert sorted(r.doc_id for r in globbed.collect()) == [1, 2, 3]
+
+
+def test_write_hits_text(spark, tmp_path):
+    from lodestar.sources.results import write_hits
+    hits = spark.createDataFrame([(2, 7, 1.5, "b, &amp; c"), (1, 3, 2.0, "a")],
+                                 "rank INT, doc_id BIGINT, score DOUBLE, headline STRING")
+    path = str(tmp_path / "hits")
+    write_hits(hits, path, fmt="text")
+    files = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert len(files) == 1
+    lines = open(os.path.join(path, files[0])).read().splitlines()
+    assert lines == ["(2.0,3:a)", "(1.5,7:b & c)"]
