@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Clean-up rules of the reference's news loader.  Carriage-return/newline
+# Clean-up rules for news markup (must match for equal texts).  CR-LF
 # pairs are removed; paragraph tags, the two entities and bare newlines become a space.
 CRLF_PATTERN = "\r\n"
 MARKUP_PATTERN = r"(<p>)|(</p>)|(&quot;)|(&amp;)|(\n)"
