@@ -9,9 +9,10 @@ task, so a term found in a third of all documents would be sorted by one core.
    an executor is lost and a stage reruns;
 2. a narrow Arrow pass numbers each row inside its key's run within the partition;
 3. a key can continue from earlier partitions only as the *first* key of a partition, so
-   at most one (partition, key) pair per partition needs an offset.  Offsets come from
-   the row counts of each partition's first and last key - a table bounded by twice the
-   partition count, which is what gets broadcast.
+   at most one (partition, key) pair per partition needs an offset.  A second narrow
+   Arrow pass summarises each partition in one row (first key and its run length, last
+   key and its run length); offsets are running sums over that summary - a table bounded
+   by twice the partition count, which is what gets broadcast.
 
 Shuffles of the full data: one (the range partitioning).
 """
@@ -69,6 +70,33 @@ def _run_numbers(key: str):
     return number
 
 
+def _partition_edges(key: str):
+    """mapInArrow function: one row per partition - first/last key and their run lengths."""
+    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = first_key = last_key = key_type = None
+        first_len = last_len = 0
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
+                continue
+            keys = batch.column(key)
+            if first_key is None:
+                part, first_key, key_type = batch.column(_PART)[0].as_py(), keys[0].as_py(), keys.type
+            first_len += pc.sum(pc.equal(keys, first_key).cast(pa.int64())).as_py() or 0
+            tail = keys[n - 1].as_py()
+            differs = np.flatnonzero(~pc.equal(keys, tail).to_numpy(zero_copy_only=False))
+            trailing = n - (int(differs[-1]) + 1) if differs.size else n
+            last_len = last_len + n if (differs.size == 0 and tail == last_key) else trailing
+            last_key = tail
+        if first_key is not None:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([first_key], key_type),
+                 pa.array([first_len], pa.int64()), pa.array([last_key], key_type),
+                 pa.array([last_len], pa.int64())],
+                names=[_PART, "_first", "_first_n", "_last", "_last_n"])
+    return edges
+
+
 def rank_within(df: DataFrame, key: str, order: Sequence[Column], rank_col: str = "rank",
                 num_partitions: int | None = None) -> DataFrame:
     """Add ``rank_col`` = 1-based row number of each row inside its ``key`` by ``order``.
@@ -88,14 +116,17 @@ def rank_within(df: DataFrame, key: str, order: Sequence[Column], rank_col: str
     schema = T.StructType([*ranged.schema.fields, T.StructField(_LOCAL, T.LongType(), False)])
     local = ranged.mapInArrow(_run_numbers(key), schema)
 
-    # first and last key of every partition: one row per partition
-    edges = ranged.groupBy(_PART).agg(F.min(key).alias("_kmin"), F.max(key).alias("_kmax"))
-    counts = (
-        ranged.select(_PART, key)
-        .join(F.broadcast(edges), _PART)
-        .where((F.col(key) == F.col("_kmin")) | (F.col(key) == F.col("_kmax")))
-        .groupBy(_PART, key).agg(F.count(F.lit(1)).alias(_COUNT))
-    )
+    # one summary row per partition; rows of the first and the last key run
+    key_type = ranged.schema[key].dataType
+    edge_schema = T.StructType([
+        T.StructField(_PART, T.IntegerType()), T.StructField("_first", key_type),
+        T.StructField("_first_n", T.LongType()), T.StructField("_last", key_type),
+        T.StructField("_last_n", T.LongType()),
+    ])
+    summary = ranged.select(_PART, key).mapInArrow(_partition_edges(key), edge_schema)
+    counts = summary.select(_PART, F.col("_first").alias(key), F.col("_first_n").alias(_COUNT)).unionByName(
+        summary.where(F.col("_last") != F.col("_first"))
+        .select(_PART, F.col("_last").alias(key), F.col("_last_n").alias(_COUNT)))
     earlier = Window.partitionBy(key).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         counts.select(_PART, key, F.sum(_COUNT).over(earlier).alias(_OFFSET))

@@ -116,3 +116,20 @@ def test_rank_within_hot_key(spark):
     want = df.withColumn("rank", F.row_number().over(Window.partitionBy("term").orderBy(*order)).cast("bigint"))
     assert got.select("term", "doc_id", "rank").exceptAll(want.select("term", "doc_id", "rank")).count() == 0
     assert got.count() == 5000
+
+
+def test_rank_within_runs_across_arrow_batches(spark):
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df = spark.range(0, 3000).select(
+            F.when(F.col("id") % 5 == 0, F.lit("a")).when(F.col("id") % 5 == 1, F.lit("b"))
+            .when(F.col("id") % 5 == 2, F.lit("c")).otherwise((F.col("id") % 37).cast("string")).alias("term"),
+            F.col("id").alias("doc_id"), ((F.col("id") * 31) % 17).cast("double").alias("weight"))
+        order = [F.col("weight").desc(), F.col("doc_id").asc()]
+        got = rank_within(df, "term", order, num_partitions=9)
+        want = df.withColumn("rank", F.row_number().over(Window.partitionBy("term").orderBy(*order)).cast("bigint"))
+        assert got.select("term", "doc_id", "rank").exceptAll(want.select("term", "doc_id", "rank")).count() == 0
+        assert got.count() == 3000
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
