@@ -10,9 +10,9 @@ task, so a term found in a third of all documents would be sorted by one core.
 2. a narrow Arrow pass numbers each row inside its key's run within the partition;
 3. a key can continue from earlier partitions only as the *first* key of a partition, so
    at most one (partition, key) pair per partition needs an offset.  A second narrow
-   Arrow pass summarises each partition in one row (first key and its run length, last
-   key and its run length); offsets are running sums over that summary - a table bounded
-   by twice the partition count, which is what gets broadcast.
+   Arrow pass emits the row counts of each partition's first and last key; offsets are
+   running sums over those counts - a table bounded by twice the partition count, which
+   is what gets broadcast.
 
 Shuffles of the full data: one (the range partitioning).
 """
@@ -71,7 +71,8 @@ def _run_numbers(key: str):
 
 
 def _partition_edges(key: str):
-    """mapInArrow function: one row per partition - first/last key and their run lengths."""
+    """mapInArrow function: ``(part, key, count)`` for the first and the last key of the
+    partition (one row when they are the same key) - at most two rows per partition."""
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = first_key = last_key = key_type = None
         first_len = last_len = 0
@@ -89,11 +90,11 @@ def _partition_edges(key: str):
             last_len = last_len + n if (differs.size == 0 and tail == last_key) else trailing
             last_key = tail
         if first_key is not None:
+            rows = [(first_key, first_len)] + ([(last_key, last_len)] if last_key != first_key else [])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([first_key], key_type),
-                 pa.array([first_len], pa.int64()), pa.array([last_key], key_type),
-                 pa.array([last_len], pa.int64())],
-                names=[_PART, "_first", "_first_n", "_last", "_last_n"])
+                [pa.array([part] * len(rows), pa.int32()), pa.array([k for k, _ in rows], key_type),
+                 pa.array([c for _, c in rows], pa.int64())],
+                names=[_PART, key, _COUNT])
     return edges
 
 
@@ -116,17 +117,12 @@ def rank_within(df: DataFrame, key: str, order: Sequence[Column], rank_col: str
     schema = T.StructType([*ranged.schema.fields, T.StructField(_LOCAL, T.LongType(), False)])
     local = ranged.mapInArrow(_run_numbers(key), schema)
 
-    # one summary row per partition; rows of the first and the last key run
-    key_type = ranged.schema[key].dataType
+    # rows of each partition's first and last key: at most two rows per partition
     edge_schema = T.StructType([
-        T.StructField(_PART, T.IntegerType()), T.StructField("_first", key_type),
-        T.StructField("_first_n", T.LongType()), T.StructField("_last", key_type),
-        T.StructField("_last_n", T.LongType()),
+        T.StructField(_PART, T.IntegerType()), T.StructField(key, ranged.schema[key].dataType),
+        T.StructField(_COUNT, T.LongType()),
     ])
-    summary = ranged.select(_PART, key).mapInArrow(_partition_edges(key), edge_schema)
-    counts = summary.select(_PART, F.col("_first").alias(key), F.col("_first_n").alias(_COUNT)).unionByName(
-        summary.where(F.col("_last") != F.col("_first"))
-        .select(_PART, F.col("_last").alias(key), F.col("_last_n").alias(_COUNT)))
+    counts = ranged.select(_PART, key).mapInArrow(_partition_edges(key), edge_schema)
     earlier = Window.partitionBy(key).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         counts.select(_PART, key, F.sum(_COUNT).over(earlier).alias(_OFFSET))
