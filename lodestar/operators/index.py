@@ -93,10 +93,12 @@ def corpus_stats(doc_stats_df: DataFrame) -> DataFrame:
     return doc_stats_df.agg(
         F.count("doc_id").alias("n_docs"),
         F.coalesce(F.sum("len"), F.lit(0)).cast("bigint").alias("total_len"),
-    ).select(
-        "n_docs", "total_len",
-        (F.col("total_len").cast("double") / F.col("n_docs").cast("double")).alias("avgdl"),
-    )
+    ).select("n_docs", "total_len", _avgdl())
+
+
+def _avgdl():
+    # NULL rather than a division-by-zero error for an empty corpus
+    return F.try_divide(F.col("total_len").cast("double"), F.col("n_docs").cast("double")).alias("avgdl")
 
 
 def corpus_stats_from_postings(corpus: DataFrame, tf_df: DataFrame) -> DataFrame:
@@ -107,10 +109,7 @@ def corpus_stats_from_postings(corpus: DataFrame, tf_df: DataFrame) -> DataFrame
     """
     n = corpus.agg(F.count(F.lit(1)).alias("n_docs"))
     total = tf_df.agg(F.coalesce(F.sum("tf"), F.lit(0)).cast("bigint").alias("total_len"))
-    return n.crossJoin(total).select(
-        "n_docs", "total_len",
-        (F.col("total_len").cast("double") / F.col("n_docs").cast("double")).alias("avgdl"),
-    )
+    return n.crossJoin(total).select("n_docs", "total_len", _avgdl())
 
 
 def bigram_postings(corpus: DataFrame, profile_name: str = "t2") -> DataFrame:

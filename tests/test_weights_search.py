@@ -133,3 +133,14 @@ def test_rank_within_runs_across_arrow_batches(spark):
         assert got.count() == 3000
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_empty_corpus_builds_and_finds_nothing(spark, tmp_path):
+    from conftest import make_corpus
+    store = build_index(make_corpus(spark, []), IndexStore(spark, str(tmp_path / "empty")))
+    idx = SearchIndex(store)
+    assert idx.table("postings").count() == 0
+    cs = idx.table("corpus_stats").first()
+    assert cs.n_docs == 0 and cs.avgdl is None
+    assert idx.bm25(["cat"]).count() == 0 and idx.cosine(["cat"]).count() == 0
+    assert idx.proximity("a", "b").count() == 0 and idx.term_substring("a").count() == 0
