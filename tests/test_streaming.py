@@ -27,3 +27,12 @@ def test_parts_last_wins(spark, tmp_path):
     finish_index(spark, store)
     hits = SearchIndex(store).bm25(["cat"]).collect()
     assert {r.doc_id for r in hits} == {2, 3}
+
+    # the same weights as a batch build over the final documents (last version, no copies)
+    from lodestar import build_index, from_documents
+    final = spark.createDataFrame([p2[0], p1[1], p2[1]], SCHEMA)
+    batch = build_index(from_documents(final), IndexStore(spark, str(tmp_path / "batch")))
+    cols = ["term", "doc_id", "tf", "idf", "weight", "impact_rank"]
+    for t in ("weights_bm25", "weights_tfidf"):
+        a, b = store.read(t).select(*cols), batch.read(t).select(*cols)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
