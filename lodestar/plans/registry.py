@@ -32,9 +32,10 @@ SUBSTRING_QUERY = "ention"
 BIGRAM_QUERY = "and th"
 EXACT_QUERY = "and"
 PROXIMITY = ("of", "the", 1)
-# Overlapping doc-id slices for the merge query: [0, MERGE_HI) and [MERGE_LO, max].
-MERGE_HI = 600
-MERGE_LO = 400
+# The merge query builds weights on two overlapping parts that together hold every
+# document: ids below the 60 % point of the id range, and ids from the 40 % point on.
+MERGE_HI = 0.6
+MERGE_LO = 0.4
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -233,13 +234,20 @@ def q_impact_order_tfidf(spark, sf):
 
 
 def q_merge_weights(spark, sf):
-    """Weights built on two overlapping slices with corpus-wide statistics, then merged."""
+    """Weights built on two overlapping parts with corpus-wide statistics, then merged.
+
+    The parts overlap and together cover every document, as part files of one corpus
+    processed in separate runs do; the merge must give back the whole table.
+    """
     c = corpus(spark, sf)
     tf_all = index.term_frequency(c)
     ts = index.term_stats(tf_all)
-    cs = index.corpus_stats(index.doc_stats(c))
-    low = weights.tfidf_weights(tf_all.where(F.col("doc_id") < MERGE_HI), ts, cs)
-    high = weights.tfidf_weights(tf_all.where(F.col("doc_id") >= MERGE_LO), ts, cs)
+    cs = index.corpus_stats(index.doc_length(c))
+    bounds = F.broadcast(c.agg(F.min("doc_id").alias("_lo"), F.max("doc_id").alias("_hi")))  # 1 row
+    cut = lambda f: F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.lit(f)
+    tagged = tf_all.crossJoin(bounds)
+    low = weights.tfidf_weights(tagged.where(F.col("doc_id") < cut(MERGE_HI)), ts, cs)
+    high = weights.tfidf_weights(tagged.where(F.col("doc_id") >= cut(MERGE_LO)), ts, cs)
     return weights.merge_weights(low, high).select("term", "doc_id", "tf", _r("idf"), _r("weight"))
 
 
