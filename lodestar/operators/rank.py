@@ -107,9 +107,14 @@ def rank_within(df: DataFrame, key: str, order: Sequence[Column], rank_col: str
     """
     spark = df.sparkSession
     checkpoint_root(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Without an explicit count AQE may coalesce neighbouring ranges up to the advisory
+    # partition size; coalesced partitions stay contiguous key ranges, so the ranking
+    # below holds either way, and a key bigger than one partition still spans several.
+    ranges = [F.col(key), *order]
+    repartitioned = (df.repartitionByRange(num_partitions, *ranges) if num_partitions
+                     else df.repartitionByRange(*ranges))
     ranged = (
-        df.repartitionByRange(n, F.col(key), *order)
+        repartitioned
         .sortWithinPartitions(F.col(key), *order)
         .withColumn(_PART, F.spark_partition_id())
         .checkpoint(eager=True)

@@ -144,3 +144,24 @@ def test_empty_corpus_builds_and_finds_nothing(spark, tmp_path):
     assert cs.n_docs == 0 and cs.avgdl is None
     assert idx.bm25(["cat"]).count() == 0 and idx.cosine(["cat"]).count() == 0
     assert idx.proximity("a", "b").count() == 0 and idx.term_substring("a").count() == 0
+
+
+def test_rank_within_with_aqe_sized_ranges(spark):
+    keys = {"spark.sql.shuffle.partitions": "24",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+            "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(0, 4000).select(
+            F.when(F.col("id") % 3 != 0, F.lit("hot")).otherwise((F.col("id") % 29).cast("string")).alias("term"),
+            F.col("id").alias("doc_id"), ((F.col("id") * 13) % 97).cast("double").alias("weight"))
+        order = [F.col("weight").desc(), F.col("doc_id").asc()]
+        got = rank_within(df, "term", order)
+        want = df.withColumn("rank", F.row_number().over(Window.partitionBy("term").orderBy(*order)).cast("bigint"))
+        assert got.select("term", "doc_id", "rank").exceptAll(want.select("term", "doc_id", "rank")).count() == 0
+        assert got.count() == 4000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
