@@ -178,8 +178,9 @@ def q_positional_frequency(spark, sf):
 
 
 def q_index_roundtrip(spark, sf):
+    # global ascending order by key: range-partitioned files, each sorted (disjoint ranges)
     store = IndexStore(spark, scratch_path(spark, "index"))
-    return store.write("postings", index.postings(corpus(spark, sf)))
+    return store.write("postings", index.postings(corpus(spark, sf)), range_partition=True)
 
 
 # ---------------------------------------------------------------- nested views

@@ -110,3 +110,22 @@ def test_write_hits_text(spark, tmp_path):
     assert len(files) == 1
     lines = open(os.path.join(path, files[0])).read().splitlines()
     assert lines == ["(2.0,3:a)", "(1.5,7:b & c)"]
+
+
+def test_store_global_order_gives_disjoint_sorted_files(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+    df = spark.range(3000).select(F.concat(F.lit("t"), (F.col("id") % 211).cast("string")).alias("term"),
+                                  F.col("id").alias("doc_id"))
+    store = IndexStore(spark, str(tmp_path / "g"))
+    store.write("postings", df.repartition(5), num_partitions=4, range_partition=True)
+    ranges = []
+    for f in sorted(glob.glob(str(tmp_path / "g" / "postings" / "part-*.parquet"))):
+        terms = pq.read_table(f, columns=["term"]).column("term").to_pylist()
+        if terms:
+            assert terms == sorted(terms)
+            ranges.append((terms[0], terms[-1]))
+    ranges.sort()
+    assert len(ranges) > 1
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
