@@ -10,24 +10,54 @@ document.  The texts are shuffled once: every step reads the same exchange by ``
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.llm.common import shuffle_partitions
 
 GROUPS_PER_PARTITION = 4
-BUCKETS_PER_PARTITION = 2
 
 
-def grouped(docs: DataFrame) -> tuple[DataFrame, int]:
-    """``(g, doc_id, text)`` and the number of buckets.  Other columns are left out."""
-    n = shuffle_partitions(docs.sparkSession)
-    g = F.pmod(F.xxhash64("doc_id"), F.lit(n * GROUPS_PER_PARTITION)).cast("int")
-    return (docs.select(g.alias("g"), F.col("doc_id").cast("bigint").alias("doc_id"), "text"),
-            n * BUCKETS_PER_PARTITION)
+@dataclass(frozen=True)
+class Deal:
+    """Numbers of groups and buckets, and labels that deal them evenly over the partitions.
+
+    Spark places a key by its hash; a few hundred keys would meet in some partitions and miss
+    others.  Each partition gets as many labels as the next.
+    """
+
+    groups: list[int]
+    buckets: list[int]
+
+    @classmethod
+    def of(cls, spark: SparkSession) -> Deal:
+        n = shuffle_partitions(spark)
+        k = GROUPS_PER_PARTITION
+        ids = spark.range(0, n * (20 + 10 * k), 1, 1).select(F.col("id").cast("int").alias("id"))
+        found = ids.groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("p")).agg(
+            F.slice(F.array_sort(F.collect_list("id")), 1, k).alias("ids")).orderBy("p")
+        rows = [r["ids"] for r in found.collect()]  # n rows
+        return cls([row[i % len(row)] for i in range(k) for row in rows], [row[0] for row in rows])
+
+    def group(self, number: F.Column) -> F.Column:
+        return _pick(self.groups, F.pmod(number, F.lit(len(self.groups))))
+
+    def by_bucket(self, asks: DataFrame):
+        return asks.withColumn("place", _pick(self.buckets, F.col("bucket"))).groupBy("place")
+
+
+def _pick(labels: list[int], number: F.Column) -> F.Column:
+    return F.get(F.expr(f"array({', '.join(map(str, labels))})"), number.cast("int"))
+
+
+def grouped(docs: DataFrame, deal: Deal) -> DataFrame:
+    """``(g, doc_id, text)``.  Other columns are left out."""
+    doc_id = F.col("doc_id").cast("bigint")
+    return docs.select(deal.group(F.xxhash64(doc_id)).alias("g"), doc_id.alias("doc_id"), "text")
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -54,6 +84,7 @@ def on_table(func: Callable, **bound) -> Callable:
     """``func`` with settings bound, in the annotated form that ``applyInArrow`` asks for."""
     def run(table: pa.Table) -> pa.Table:
         return func(table, **bound)
+    run.__name__ = func.__name__.strip("_")  # as the plan shows it
     return run
 
 
@@ -61,9 +92,29 @@ def on_tables(func: Callable, **bound) -> Callable:
     """The same for cogrouped tables."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         return func(left, right, **bound)
+    run.__name__ = func.__name__.strip("_")
     return run
 
 
 def rows_table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     columns = list(zip(*rows)) if rows else [()] * len(schema)
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def merge_counts(table: pa.Table, kind) -> list[tuple[int, int, bytes]]:
+    """Which keys of each row count two or more over all rows of a bucket.
+
+    Rows hold distinct packed ``keys`` and a bit in ``flags`` for those that count two already.
+    """
+    rows = table.select(["g", "bucket", "keys", "flags"]).to_pylist()
+    parts = [np.frombuffer(r["keys"], kind) for r in rows]
+    counts = np.concatenate([1 + unpack_bits(r["flags"], len(p)) for r, p in zip(rows, parts)])
+    _, key = np.unique(np.concatenate(parts), return_inverse=True)
+    total = np.bincount(key, weights=counts)
+    out, at = [], 0
+    for r, p in zip(rows, parts):
+        repeated = total[key[at:at + len(p)]] >= 2
+        at += len(p)
+        if repeated.any():
+            out.append((r["g"], r["bucket"], pack_bits(repeated)))
+    return out

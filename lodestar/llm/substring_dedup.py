@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame
 
 from lodestar.llm.bytescan import SegmentHash, Words, texts_of
 from lodestar.llm.exchange import (
-    bucket_of, bucket_slices, grouped, on_table, on_tables, pack_bits, rows_table, unpack_bits,
+    Deal, bucket_of, bucket_slices, grouped, merge_counts, on_table, on_tables, pack_bits,
+    rows_table, unpack_bits,
 )
 
 WIDTH = 50
@@ -94,18 +95,8 @@ def _send_sketch(table: pa.Table, width: int, buckets: int) -> pa.Table:
 
 
 def _merge_sketches(table: pa.Table) -> pa.Table:
-    rows = table.select(["g", "bucket", "keys", "flags"]).to_pylist()
-    parts = [np.frombuffer(r["keys"], np.uint32) for r in rows]
-    counts = [1 + unpack_bits(r["flags"], len(p)).astype(np.int64) for r, p in zip(rows, parts)]
-    _, slot, = np.unique(np.concatenate(parts), return_inverse=True)
-    total = np.bincount(slot, weights=np.concatenate(counts))
-    out, at = [], 0
-    for r, p in zip(rows, parts):
-        repeated = total[slot[at:at + len(p)]] >= 2
-        at += len(p)
-        if repeated.any():
-            out.append((r["g"], r["bucket"], pack_bits(repeated), None))
-    return rows_table(out, _REPLY_ARROW)
+    return rows_table([(g, b, bits, None) for g, b, bits in merge_counts(table, np.uint32)],
+                      _REPLY_ARROW)
 
 
 def _send_keys(docs: pa.Table, replies: pa.Table, width: int, buckets: int) -> pa.Table:
@@ -165,12 +156,12 @@ def _cut(docs: pa.Table, replies: pa.Table, width: int, buckets: int) -> pa.Tabl
 
 def dedup_substrings(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``(doc_id, n_words, n_removed, kept)``: kept words joined by one space."""
-    texts, buckets = grouped(docs)
-    scan = {"width": width, "buckets": buckets}
-    by_group = texts.groupBy("g")
+    deal = Deal.of(docs.sparkSession)
+    scan = {"width": width, "buckets": len(deal.buckets)}
+    by_group = grouped(docs, deal).groupBy("g")
     sketches = by_group.applyInArrow(on_table(_send_sketch, **scan), _ASK)
-    repeated = sketches.groupBy("bucket").applyInArrow(on_table(_merge_sketches), _REPLY)
+    repeated = deal.by_bucket(sketches).applyInArrow(on_table(_merge_sketches), _REPLY)
     keys = by_group.cogroup(repeated.groupBy("g")).applyInArrow(
         on_tables(_send_keys, **scan), _ASK)
-    smaller = keys.groupBy("bucket").applyInArrow(on_table(_least_docs), _REPLY)
+    smaller = deal.by_bucket(keys).applyInArrow(on_table(_least_docs), _REPLY)
     return by_group.cogroup(smaller.groupBy("g")).applyInArrow(on_tables(_cut, **scan), _OUT)
