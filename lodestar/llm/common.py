@@ -3,20 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lodestar.session import scratch_path
 
 # Bytes that separate words: space and 0x09-0x0D.  Every operator that counts or compares
 # words splits at these and nothing else.
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
-WORD_GAP = "[\\x20\\x09-\\x0D]+"
+WORD = "[^\\x20\\x09-\\x0D]+"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """Where a public tokenizer's file lies; it is read there and never copied."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read back (cuts the lineage)."""
     path = scratch_path(df.sparkSession, name)
@@ -26,23 +32,3 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def global_positions(spark: SparkSession, df: DataFrame, order: list[str], name: str) -> DataFrame:
-    """Staged ``df`` plus ``position``: its 0-based place in the global ascending ``order``.
-
-    One range shuffle; the rows of a range are numbered on their own and shifted by the
-    counts of the ranges before (one row per range, so the broadcast is bounded).
-    """
-    n = shuffle_partitions(spark)
-    ranged = stage(
-        df.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id()), name)
-    from pyspark.sql import Window
-
-    counts = ranged.groupBy("_range").count()
-    offsets = counts.select("_range", (F.sum("count").over(
-        Window.orderBy("_range")) - F.col("count")).alias("_before"))
-    own = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
-    return (ranged.withColumn("_own", own).join(F.broadcast(offsets), "_range")
-            .withColumn("position", F.col("_before") + F.col("_own"))
-            .drop("_range", "_own", "_before"))

@@ -7,19 +7,91 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import substring_dedup
-from lodestar.llm.common import read_table
+from lodestar.llm import (
+    imatch, jaccard_join, langid, line_dedup, mixing, nearest, packing, substring_dedup,
+    suffix_dedup, warc_zip,
+)
+from lodestar.llm.common import read_table, tokenizer_path
+from lodestar.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.compare_edited(read_table(spark, sf_dir, "documents"))
+
+
+def op2_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planned = warc_zip.plan_records(read_table(spark, sf_dir, "pages"))
+    packages = warc_zip.write_packages(planned, scratch_path(spark, "warc"))
+    records = warc_zip.read_records(warc_zip.record_ranges(packages))
+    return records.select(
+        warc_zip.page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest",
+        "record_type", warc_zip.page_of("refers_to").alias("refers_to"))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
+
+
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id", "text", "lang",
+        F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False)).alias("held_out"))
+    model = langid.fit(docs.where("not held_out"))
+    return langid.predict(docs, model, ["doc_id", "held_out"]).select(
+        "doc_id", "held_out", "lang_pred", "score", "accepted")
+
+
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.dedup_suffixes(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans",
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its lines, the removed ones, and the digest of the text that is left."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", F.col("text").alias("before"))
+    kept, _ = line_dedup.dedup_lines(docs)
+    lines = lambda c: F.coalesce(F.size(F.split(c, "\n")), F.lit(0))
+    left = F.when(F.col("text").isNull(), 0).when(
+        (F.col("text") == "") & (F.col("before") != ""), 0).otherwise(lines("text"))
+    return kept.select(
+        "doc_id", F.when(F.col("before").isNull(), 0).otherwise(lines("before")).cast("bigint").alias("n_lines"),
+        (F.when(F.col("before").isNull(), 0).otherwise(lines("before")) - left).cast("bigint").alias("n_removed"),
+        F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("kept_sha256"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.dedup_substrings(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding",
+                           F.col("id") % 50 == 0).select(
+        "query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(*mixing.mix(read_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_imatch": op1_imatch,
+    "op2_warc_zip": op2_warc_zip,
+    "op3_packing": op3_packing,
+    "op4_jaccard_join": op4_jaccard_join,
+    "op5_language_id": op5_language_id,
+    "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_line_dedup": op7_line_dedup,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_nearest": op9_nearest,
+    "op10_mixing": op10_mixing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
