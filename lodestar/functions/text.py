@@ -114,10 +114,6 @@ def doc_text(title: Column | str = "title", byline: Column | str = "byline",
     return F.lower(F.concat_ws(" ", _col(title), _col(byline), _col(text)))
 
 
-def with_doc_text(corpus: DataFrame, name: str = "doc_text") -> DataFrame:
-    return corpus.withColumn(name, doc_text())
-
-
 def tokens(corpus: DataFrame, profile_name: str = "t1", id_col: str = "doc_id") -> DataFrame:
     """Long-form tokens ``(doc_id, pos, token)``; ``pos`` is the 1-based raw piece index.
 

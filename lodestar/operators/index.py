@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from lodestar.functions.text import doc_text, profile, tokens
 from lodestar.operators.layout import text_input
 from lodestar.operators.rank import rank_within
+from lodestar.operators.skew import salted_key_join
 
 
 def _explode_terms(df: DataFrame, keep: list[str], name: str, col: str = "terms") -> DataFrame:
@@ -86,7 +87,7 @@ def doc_stats(corpus: DataFrame, profile_name: str = "t1") -> DataFrame:
 def corpus_stats(doc_stats_df: DataFrame) -> DataFrame:
     """One row ``(n_docs, total_len, avgdl)``; a global aggregate with map-side partials.
 
-    Documents are counted by id (every source drops rows without one).  Referencing
+    Documents are counted by id (de-duplication drops rows without one).  Referencing
     ``doc_id`` also keeps the column in this branch, so its input is the same projection
     of the corpus as the postings branch and the two share one exchange of the raw text.
     """
@@ -104,12 +105,12 @@ def _avgdl():
 def corpus_stats_from_postings(corpus: DataFrame, tf_df: DataFrame) -> DataFrame:
     """Same row as ``corpus_stats`` without tokenising again.
 
-    n_docs counts corpus rows (no column is read); total_len is the sum of all term
-    frequencies, taken from postings that are being computed anyway.
+    n_docs counts ids; total_len is the sum of all term frequencies, taken from postings
+    that are being computed anyway.
     """
-    n = corpus.agg(F.count(F.lit(1)).alias("n_docs"))
+    n = corpus.agg(F.count("doc_id").alias("n_docs"))
     total = tf_df.agg(F.coalesce(F.sum("tf"), F.lit(0)).cast("bigint").alias("total_len"))
-    return n.crossJoin(total).select("n_docs", "total_len", _avgdl())
+    return n.crossJoin(F.broadcast(total)).select("n_docs", "total_len", _avgdl())
 
 
 def bigram_postings(corpus: DataFrame, profile_name: str = "t2") -> DataFrame:
@@ -133,7 +134,7 @@ def positions(corpus: DataFrame, profile_name: str = "t3") -> DataFrame:
 
 
 def token_stream(corpus: DataFrame, profile_name: str = "t1") -> DataFrame:
-    """``(doc_id, pos, token)`` of a whole corpus (narrow; spread when the scan is narrow)."""
+    """``(doc_id, pos, token)`` of a whole corpus (narrow)."""
     return tokens(text_input(corpus), profile_name)
 
 
@@ -153,13 +154,22 @@ def positional_frequency(positions_df: DataFrame) -> DataFrame:
 
 def posting_list_view(postings_df: DataFrame, stats_df: DataFrame, key: str = "term",
                       block_size: int = 1024) -> DataFrame:
-    """``(key, cf, block, doc_ids)``: doc ids ascending, ``block_size`` per row."""
-    ranked = rank_within(postings_df.select(key, "doc_id"), key, [F.col("doc_id").asc()])
-    blocks = ranked.withColumn("block", ((F.col("rank") - 1) / block_size).cast("bigint"))
-    lists = blocks.groupBy(key, "block").agg(
-        F.sort_array(F.collect_list("doc_id")).alias("doc_ids")
-    )
-    return lists.join(stats_df.select(key, "cf"), key).select(key, "cf", "block", "doc_ids")
+    """``(key, cf, block, doc_ids)``: doc ids ascending, ``block_size`` per row.
+
+    The collection frequency is attached before blocking, with hot keys salted; the blocks
+    of a key are then made where its ranked rows lie.
+    """
+    with_cf = salted_key_join(postings_df.select(key, "doc_id"), stats_df.select(key, "cf", "df"),
+                              key, "df").select(key, "cf", "doc_id")
+    ranked = rank_within(with_cf, key, [F.col("doc_id").asc()])
+    return ranked.withColumn("block", _block(block_size)).groupBy(key, "cf", "block").agg(
+        F.sort_array(F.collect_list("doc_id")).alias("doc_ids"))
+
+
+def bigram_list_view(bigram_postings_df: DataFrame, bigram_stats_df: DataFrame,
+                     block_size: int = 1024) -> DataFrame:
+    """``(bigram, cf, block, doc_ids)``: the posting lists of the bigram index."""
+    return posting_list_view(bigram_postings_df, bigram_stats_df, "bigram", block_size)
 
 
 def positional_view(positions_df: DataFrame) -> DataFrame:
@@ -170,3 +180,20 @@ def positional_view(positions_df: DataFrame) -> DataFrame:
     return positions_df.groupBy("term", "doc_id").agg(
         F.sort_array(F.collect_list("pos")).alias("positions")
     )
+
+
+def positional_list_view(positions_df: DataFrame, block_size: int = 1024) -> DataFrame:
+    """``(term, frequency, block, docs)``: a term's documents ascending, each with its
+    positions, ``block_size`` documents per row; ``frequency`` counts all occurrences."""
+    per_doc = positional_view(positions_df)
+    stats = per_doc.groupBy("term").agg(F.sum(F.size("positions")).cast("bigint").alias("frequency"),
+                                        F.count(F.lit(1)).alias("df"))
+    with_frequency = salted_key_join(per_doc, stats, "term", "df").select(
+        "term", "frequency", "doc_id", "positions")
+    ranked = rank_within(with_frequency, "term", [F.col("doc_id").asc()])
+    return ranked.withColumn("block", _block(block_size)).groupBy("term", "frequency", "block").agg(
+        F.sort_array(F.collect_list(F.struct("doc_id", "positions"))).alias("docs"))
+
+
+def _block(block_size: int):
+    return ((F.col("rank") - 1) / block_size).cast("bigint")

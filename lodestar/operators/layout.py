@@ -1,4 +1,4 @@
-"""Data layout helpers shared by the tokenizing operators."""
+"""Column layout shared by the tokenizing operators."""
 
 from __future__ import annotations
 
@@ -7,37 +7,10 @@ from pyspark.sql import DataFrame
 TEXT_COLUMNS = ("doc_id", "title", "byline", "text")
 
 
-def spread_by_doc(corpus: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread the corpus over the cluster when its scan is too narrow.
-
-    A corpus stored as few large files (one Parquet row group is one task) would tokenise
-    on a handful of cores.  Below the cluster's parallelism the rows are dealt round-robin
-    over an explicit partition count (AQE never coalesces that back; Spark sorts before a
-    round-robin so a retried task gets the same rows).  Round-robin rather than hashing by
-    doc id on purpose: the postings aggregate then keeps its own exchange, which the
-    postings, document-frequency and corpus-length branches of one plan share as a single
-    reused stage - tokenising once.  A wide scan is left untouched.
-    """
-    spark = corpus.sparkSession
-    if min_partitions is None:
-        try:  # two tasks per core of the cluster
-            min_partitions = 2 * spark.sparkContext.defaultParallelism
-        except Exception:  # no SparkContext on this client
-            min_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    target = min_partitions
-    try:
-        if corpus.rdd.getNumPartitions() >= target:
-            return corpus
-    except Exception:  # a client without RDD access: leave the plan as it is
-        return corpus
-    return corpus.repartition(target)
-
-
 def text_input(corpus: DataFrame, *extra: str) -> DataFrame:
-    """The columns a tokenizer reads (plus ``extra``), spread if the scan is narrow.
+    """The columns a tokenizer reads (plus ``extra``).
 
-    Projecting first keeps headlines, dates and code lists out of the shuffle; every
-    tokenizing branch of one plan projects the same way, so they share one exchange.
+    Every tokenizing branch of one plan projects the same way, so over a de-duplicated
+    corpus they share its one exchange of the text.
     """
-    cols = [c for c in (*TEXT_COLUMNS, *extra) if c in corpus.columns]
-    return spread_by_doc(corpus.select(*cols))
+    return corpus.select(*[c for c in (*TEXT_COLUMNS, *extra) if c in corpus.columns])

@@ -18,6 +18,9 @@ from lodestar.functions import scoring
 from lodestar.operators.skew import salted_key_join
 
 DEFAULT_K = 20
+MAX_K = 100_000  # hits are broadcast, and in eager mode fetched
+MAX_EAGER_KEYS = 200  # matching terms that are looked up before their postings are read
+IN_VALUES = 10  # Parquet gets longer IN lists as one range
 
 
 def query_words(words: str | Iterable[str], allow_empty: bool = False) -> list[str]:
@@ -30,6 +33,19 @@ def query_words(words: str | Iterable[str], allow_empty: bool = False) -> list[s
     return out
 
 
+def among(column: str, values: list) -> Column:
+    """``column IN (values)`` as a disjunction of short lists.
+
+    Spark hands Parquet an ``IN`` of up to ``IN_VALUES`` values value by value, and a longer one
+    only by its smallest and largest.
+    """
+    parts = [F.col(column).isin(values[i:i + IN_VALUES]) for i in range(0, len(values), IN_VALUES)]
+    out = parts[0] if parts else F.lit(False)
+    for p in parts[1:]:
+        out = out | p
+    return out
+
+
 def _qtf_map(words: list[str]) -> Column:
     counts = Counter(words)
     return F.create_map(*[x for w in sorted(counts) for x in (F.lit(w), F.lit(counts[w]))])
@@ -45,18 +61,26 @@ def _with_frequency(matches: DataFrame, stats_df: DataFrame, key: str) -> DataFr
 
 
 def term_substring(term_stats_df: DataFrame, postings_df: DataFrame, q: str,
-                   key: str = "term") -> DataFrame:
-    """``(term, frequency, doc_id)`` for every term containing ``q`` (``''`` = all terms)."""
+                   key: str = "term", eager: bool = False) -> DataFrame:
+    """``(term, frequency, doc_id)`` for every term containing ``q`` (``''`` = all terms).
+
+    ``eager`` looks the matching terms up first (one row per term of the index) and reads
+    only their postings, when they are few.
+    """
     q = q.lower()
     cond = F.col(key).contains(q)
-    return _with_frequency(postings_df.where(cond).select(key, "doc_id"),
-                           term_stats_df.where(cond), key)
+    matched = term_stats_df.where(cond)
+    if eager:
+        keys = [r[key] for r in matched.select(key).limit(MAX_EAGER_KEYS + 1).collect()]
+        if len(keys) <= MAX_EAGER_KEYS:  # pruned by key; more of them are filtered row by row
+            cond = among(key, sorted(keys))
+    return _with_frequency(postings_df.where(cond).select(key, "doc_id"), matched, key)
 
 
 def bigram_substring(bigram_stats_df: DataFrame, bigram_postings_df: DataFrame,
-                     q: str) -> DataFrame:
+                     q: str, eager: bool = False) -> DataFrame:
     """``(bigram, frequency, doc_id)`` for every bigram containing ``q`` ("w1 w2")."""
-    return term_substring(bigram_stats_df, bigram_postings_df, q, key="bigram")
+    return term_substring(bigram_stats_df, bigram_postings_df, q, "bigram", eager)
 
 
 def term_exact(term_stats_df: DataFrame, postings_df: DataFrame, word: str,
@@ -72,7 +96,7 @@ def term_exact(term_stats_df: DataFrame, postings_df: DataFrame, word: str,
 def postings_any(weights_df: DataFrame, words: str | Iterable[str]) -> DataFrame:
     """Weighted postings of any of the query words (a pushed-down ``IN``)."""
     ws = sorted(set(query_words(words)))
-    return weights_df.where(F.col("term").isin(ws))
+    return weights_df.where(among("term", ws))
 
 
 # ----------------------------------------------------------------------------- proximity
@@ -115,11 +139,13 @@ def _top_hits(scores: DataFrame, doc_stats_df: DataFrame, k: int, digits: int |
     * lazy (default): a broadcast of the k winners joined with the headline table - the
       plan stays a DataFrame, but the headline table is scanned in full;
     * ``eager=True``: the k winners (the result itself, bounded by k) are fetched, and
-      headlines are read with ``doc_id IN (...)`` pushed into the Parquet scan, which on
-      a doc-id-sorted table reads only the row groups of those k documents.
+      headlines are read with short ``doc_id IN (...)`` lists pushed into the Parquet scan,
+      which on a doc-id-sorted table reads only the row groups of those k documents.
+
+    A winner without a row in ``doc_stats`` keeps its place, with a null headline.
     """
-    if k <= 0:
-        raise ValueError("k must be positive")
+    if not 0 < k <= MAX_K:
+        raise ValueError(f"k must be from 1 to {MAX_K}")
     if digits is not None:
         scores = scores.withColumn("score", F.round("score", digits))
     top = scores.orderBy(F.col("score").desc(), F.col("doc_id").asc()).limit(k)
@@ -128,17 +154,16 @@ def _top_hits(scores: DataFrame, doc_stats_df: DataFrame, k: int, digits: int |
         spark = scores.sparkSession
         ranked = spark.createDataFrame(
             [(i + 1, r["doc_id"], r["score"]) for i, r in enumerate(winners)], HIT_SCHEMA)
-        heads = doc_stats_df.where(F.col("doc_id").isin([r["doc_id"] for r in winners]))
+        heads = doc_stats_df.where(among("doc_id", sorted(r["doc_id"] for r in winners)))
     else:
         ranked = top.withColumn(
             "rank", F.row_number().over(Window.orderBy(F.col("score").desc(), F.col("doc_id").asc()))
         )
         heads = doc_stats_df
-    return (
-        heads.select("doc_id", "headline")
-        .join(F.broadcast(ranked), "doc_id")
-        .select(F.col("rank").cast("int").alias("rank"), "doc_id", "score", "headline")
-    )
+    # k rows are broadcast to read their headlines, and joined with those once more
+    found = heads.select("doc_id", "headline").join(F.broadcast(ranked.select("doc_id")), "doc_id")
+    return ranked.join(F.broadcast(found), "doc_id", "left").select(
+        F.col("rank").cast("int").alias("rank"), "doc_id", "score", "headline")
 
 
 def bm25(weights_df: DataFrame, doc_stats_df: DataFrame, words: str | Iterable[str],

@@ -66,11 +66,23 @@ def tfidf_weights(tf_df: DataFrame, term_stats_df: DataFrame, corpus_stats_df: D
     )
 
 
+def both_weights(tf_df: DataFrame, term_stats_df: DataFrame, corpus_stats_df: DataFrame,
+                 k1: float = scoring.K1, b: float = scoring.B,
+                 n_docs: float | None = None, avgdl: float | None = None) -> DataFrame:
+    """``(term, doc_id, tf, idf, bm25, tfidf)``: both schemes from one join."""
+    j = _with_idf(tf_df, term_stats_df, corpus_stats_df, n_docs, avgdl)
+    return j.select(
+        "term", "doc_id", "tf", "idf",
+        scoring.bm25(F.col("idf"), F.col("tf"), F.col("len"), F.col("avgdl"), k1, b).alias("bm25"),
+        scoring.tfidf(F.col("idf"), F.col("tf")).alias("tfidf"),
+    )
+
+
 def merge_weights(*parts: DataFrame) -> DataFrame:
     """Union weight tables built on overlapping parts and keep one row per (term, doc).
 
-    Parts built with the same corpus-wide statistics hold identical rows for a shared
-    (term, doc); ``max`` picks one deterministically and aggregates map-side.
+    Of several rows for a (term, doc) the one with the largest weight stays, as a whole (ties:
+    larger tf, then idf); ``max`` of the struct aggregates map-side.
     """
     if not parts:
         raise ValueError("merge_weights needs at least one table")
@@ -79,8 +91,8 @@ def merge_weights(*parts: DataFrame) -> DataFrame:
     for p in parts[1:]:
         union = union.unionByName(p.select(*cols))
     return union.groupBy("term", "doc_id").agg(
-        F.max("tf").alias("tf"), F.max("idf").alias("idf"), F.max("weight").alias("weight")
-    ).select(*cols)
+        F.max(F.struct("weight", "tf", "idf")).alias("_row")
+    ).select("term", "doc_id", "_row.tf", "_row.idf", "_row.weight")
 
 
 def impact_order(weights_df: DataFrame, num_partitions: int | None = None) -> DataFrame:

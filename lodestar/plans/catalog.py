@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestar.sources.documents import from_documents
+from lodestar.sources.documents import dedupe_docs, from_documents
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -23,3 +23,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The news corpus view of the ``documents`` table."""
     return from_documents(table(spark, sf_dir, "documents"))
+
+
+def unique_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus as an index takes it: one row per document."""
+    return dedupe_docs(corpus(spark, sf_dir))

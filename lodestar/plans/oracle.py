@@ -23,7 +23,7 @@ def _in_list(words) -> str:
 
 
 CORPUS = (
-    "corpus AS (SELECT doc_id, CAST(NULL AS VARCHAR) AS title, left(text, 60) AS headline, "
+    "corpus AS (SELECT doc_id, CAST(NULL AS VARCHAR) AS title, split_part(text, chr(10), 1) AS headline, "
     "CAST(NULL AS VARCHAR) AS byline, text FROM documents)"
 )
 DOC_TEXT = "lower(concat_ws(' ', title, byline, text))"
@@ -132,18 +132,6 @@ PAIRS = (
 CLEAN_HEADLINE = "replace(replace(coalesce(headline, ''), ',', ''), '&amp;', '&')"
 
 
-def _one_line(x: str) -> str:
-    return f"regexp_replace(regexp_replace({x}, '\\r\\n', '', 'g'), '[\\r\\n]', ' ', 'g')"
-
-
-def _no_sep(x: str) -> str:
-    return f"replace(replace({x}, '$$', '$ $'), '$$', '$ $')"
-
-
-def _show(x: str) -> str:
-    return f"coalesce({x}, 'null')"
-
-
 BM25_SCORES = (
     f"SELECT doc_id, round(sum(weight) / 2.0, {D}) AS score FROM w "
     f"WHERE term IN ({_in_list(sorted(set(R.BM25_QUERY)))}) GROUP BY doc_id"
@@ -154,6 +142,35 @@ TFIDF_PAIRS = (
 )
 
 
+def _merged() -> str:
+    """Weights of two overlapping parts, each with its own statistics; the heavier row stays."""
+    cut = "(SELECT min(doc_id) + (max(doc_id) - min(doc_id)) * CAST({} AS DOUBLE) FROM documents)"
+    parts = [
+        "SELECT * FROM (" + W_TFIDF.replace("FROM documents)", f"FROM documents WHERE doc_id {op} {cut.format(share)})")
+        + "SELECT term, doc_id, tf, idf, weight FROM w)"
+        for op, share in (("<", R.MERGE_HI), (">=", R.MERGE_LO))
+    ]
+    return (
+        f"SELECT term, doc_id, arg_max(tf, weight) AS tf, {_r('arg_max(idf, weight)', 'idf')}, "
+        f"{_r('max(weight)', 'weight')} FROM ({' UNION ALL '.join(parts)}) GROUP BY term, doc_id"
+    )
+
+
+# What the two ingest round trips start from: fixed date and dateline, code lists of lang and source.
+CODED = (
+    "CAST(doc_id AS BIGINT) AS doc_id, '1996-08-20' AS date, CAST(NULL AS VARCHAR) AS title, "
+    "split_part(text, chr(10), 1) AS headline, CAST(NULL AS VARCHAR) AS byline, "
+    "'A $ and $$, \\ here$' AS dateline, coalesce(lang, '') AS countries, "
+    "concat_ws('|', lang, source) AS industries, coalesce(source, '') AS topics"
+)
+
+
+def _escaped(x: str) -> str:
+    for char, mark in (("'\\'", "'\\\\'"), ("'$'", "'\\s'"), ("chr(10)", "'\\n'"), ("chr(13)", "'\\r'")):
+        x = f"replace({x}, {char}, {mark})"
+    return f"coalesce({x}, '\\N')"
+
+
 def sql() -> dict[str, str]:
     s: dict[str, str] = {}
     s["doc_text"] = _with(CORPUS) + f"SELECT doc_id, {DOC_TEXT} AS doc_text FROM corpus"
@@ -163,7 +180,7 @@ def sql() -> dict[str, str]:
         "SELECT page_id, regexp_replace(regexp_replace(html, '\\r\\n', '', 'g'), "
         f"{_lit(MARKUP_PATTERN)}, ' ', 'g') AS text FROM pages"
     )
-    s["clean_headline"] = _with(CORPUS) + f"SELECT doc_id, {CLEAN_HEADLINE} AS headline FROM corpus"
+    s["clean_headline"] = f"SELECT doc_id, {CLEAN_HEADLINE.replace('headline', 'text')} AS headline FROM documents"
     shown = CLEAN_HEADLINE.replace("headline", "corpus.headline")
     s["format_hits"] = W_BM25 + _hits(
         BM25_SCORES,
@@ -183,6 +200,7 @@ def sql() -> dict[str, str]:
         "SELECT post.term, post.doc_id, post.tf, corpus.headline FROM post JOIN corpus ON post.doc_id = corpus.doc_id"
     )
     s["index_unigram"] = _with(_ctes("t1"), POST, TS) + "SELECT term, cf, df FROM ts"
+    s["index_unigram_doubled"] = s["index_unigram"]
     s["index_bigram"] = _with(_ctes("t1"), BIGRAM_POST) + "SELECT bigram, cf, df FROM bts"
     s["index_bigram_postings"] = _with(_ctes("t1"), BIGRAM_POST) + "SELECT bigram, doc_id, tf FROM bpost"
     s["index_positional"] = _with(_ctes("t3"), POSITIONS) + "SELECT term, doc_id, pos FROM pos"
@@ -192,6 +210,27 @@ def sql() -> dict[str, str]:
         f"SELECT post.term, ts.cf, CAST((row_number() OVER (PARTITION BY post.term ORDER BY post.doc_id) - 1) // {vb} AS BIGINT) AS block, "
         "post.doc_id FROM post JOIN ts ON post.term = ts.term) GROUP BY term, cf, block"
     )
+    s["index_bigram_view"] = _with(_ctes("t1").replace(_pieces("t1"), _pieces("t2")), BIGRAM_POST) + (
+        "SELECT bigram, cf, block, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS doc_ids FROM ("
+        f"SELECT bpost.bigram, bts.cf, CAST((row_number() OVER (PARTITION BY bpost.bigram ORDER BY bpost.doc_id) - 1) // {vb} AS BIGINT) AS block, "
+        "bpost.doc_id FROM bpost JOIN bts ON bpost.bigram = bts.bigram) GROUP BY bigram, cf, block"
+    )
+    s["index_positional_list"] = _with(_ctes("t3"), POSITIONS) + (
+        ", pd AS (SELECT term, doc_id, count(*) AS n, string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) AS p "
+        "FROM pos GROUP BY term, doc_id), "
+        "pr AS (SELECT term, doc_id, p, CAST(sum(n) OVER (PARTITION BY term) AS BIGINT) AS frequency, "
+        f"CAST((row_number() OVER (PARTITION BY term ORDER BY doc_id) - 1) // {vb} AS BIGINT) AS block FROM pd) "
+        "SELECT term, frequency, block, string_agg(CAST(doc_id AS VARCHAR) || ':' || p, ';' ORDER BY doc_id) AS docs "
+        "FROM pr GROUP BY term, frequency, block"
+    )
+    for scheme, cte in (("bm25", W_BM25), ("tfidf", W_TFIDF)):
+        s[f"weight_list_{scheme}"] = cte + (
+            ", r AS (SELECT w.*, row_number() OVER (PARTITION BY term ORDER BY weight DESC, doc_id) AS rnk FROM w) "
+            f"SELECT term, {_r('max(idf)', 'idf')}, CAST((rnk - 1) // {vb} AS BIGINT) AS block, "
+            "string_agg(concat_ws(':', CAST(r.doc_id AS VARCHAR), "
+            f"CAST(CAST(round(weight * {10 ** D}) AS BIGINT) AS VARCHAR), headline), ';' ORDER BY rnk) AS postings "
+            "FROM r JOIN corpus ON r.doc_id = corpus.doc_id GROUP BY term, block"
+        )
     s["index_positional_view"] = _with(_ctes("t3"), POSITIONS) + (
         "SELECT term, doc_id, string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) AS positions "
         "FROM pos GROUP BY term, doc_id"
@@ -214,8 +253,8 @@ def sql() -> dict[str, str]:
     )
     s["impact_order_bm25"] = W_BM25 + impact
     s["impact_order_tfidf"] = W_TFIDF + impact
-    # Merging the two overlapping slices must give back the whole table.
-    s["merge_weights"] = s["weights_tfidf"]
+    s["weights_bm25_doubled"] = s["weights_bm25"]
+    s["merge_weights"] = _merged()
     s["query_weights"] = _with(_ctes("t1"), POST, DL, CS, TS, IDF, QUERY_CTE) + (
         "SELECT q.term, CAST(q.qtf AS BIGINT) AS qtf, "
         f"{_r('ti.idf', 'idf')}, {_r('(CAST(1.0 AS DOUBLE) + ln(CAST(q.qtf AS DOUBLE))) * ti.idf', 'qweight')} "
@@ -252,9 +291,14 @@ def sql() -> dict[str, str]:
     )
     s["index_roundtrip"] = s["term_frequency"]
     s["stream_postings"] = s["term_frequency"]
+    s["write_hits"] = s["search_bm25"]
     s["export_delimited"] = _with(CORPUS) + (
-        "SELECT doc_id, concat_ws('$$', CAST(doc_id AS VARCHAR), 'null', "
-        f"{_show('title')}, {_show(_no_sep(_one_line('headline')))}, {_show('byline')}, 'null', "
-        f"{_show(_one_line('text'))}, '[]', '[]', '[]') AS line FROM corpus"
+        f"SELECT doc_id, concat_ws('$$', CAST(doc_id AS VARCHAR), '\\N', '\\N', {_escaped('headline')}, "
+        f"'\\N', '\\N', {_escaped('text')}, '[]', '[]', '[]') AS line FROM corpus"
+    )
+    s["ingest_delimited"] = f"SELECT {CODED}, text FROM documents"
+    s["ingest_xml"] = (
+        f"SELECT {CODED}, regexp_replace(regexp_replace(text, '\\r\\n', '', 'g'), "
+        f"{_lit(MARKUP_PATTERN)}, ' ', 'g') AS text FROM documents"
     )
     return s

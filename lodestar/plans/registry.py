@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lodestar.functions import markup
 from lodestar.functions.text import doc_text
 from lodestar.operators import index, search, weights
-from lodestar.plans.catalog import corpus, table
+from lodestar.plans.catalog import corpus, table, unique_corpus
 from lodestar.session import scratch_path
 from lodestar.sources import delimited, news_xml, results
 from lodestar.sources.documents import dedupe_docs
@@ -47,37 +47,66 @@ def _r(c: str) -> F.Column:
 # ---------------------------------------------------------------- shared building blocks
 
 def _tf(spark, sf):
-    return index.term_frequency(corpus(spark, sf))
+    return index.term_frequency(unique_corpus(spark, sf))
 
 
 def _stats(spark, sf):
     # doc_length projects the corpus like the postings branch does, so both share one
-    # spread exchange of the raw text
-    return index.corpus_stats(index.doc_length(corpus(spark, sf)))
+    # exchange of the raw text
+    return index.corpus_stats(index.doc_length(unique_corpus(spark, sf)))
 
 
-def _corpus_stats(c, tf, whole: bool):
-    # A whole weight table aggregates every posting anyway: take the total length from
-    # that same (reused) exchange.  A search filters postings to its words first, so
-    # there the per-document lengths (narrow, no shuffle) are cheaper.
-    return index.corpus_stats_from_postings(c, tf) if whole else index.corpus_stats(index.doc_length(c))
+def _inputs(c, words=None):
+    """Postings, term statistics and corpus statistics, of all terms or of a query's words.
 
-
-def _bm25(spark, sf, whole: bool = True):
-    c = corpus(spark, sf)
+    A whole weight table aggregates every posting anyway and takes the total length from
+    that same (reused) exchange.  A search keeps its words right above the tokenizer, so
+    all that follows is as small as they are; the lengths are counted per document.
+    """
     tf = index.term_frequency(c)
-    return weights.bm25_weights(tf, index.term_stats(tf), _corpus_stats(c, tf, whole))
+    if words is None:
+        return tf, index.term_stats(tf), index.corpus_stats_from_postings(c, tf)
+    tf = tf.where(search.among("term", sorted(set(words))))
+    return tf, index.term_stats(tf), index.corpus_stats(index.doc_length(c))
 
 
-def _tfidf(spark, sf, whole: bool = True):
-    c = corpus(spark, sf)
-    tf = index.term_frequency(c)
-    return weights.tfidf_weights(tf, index.term_stats(tf), _corpus_stats(c, tf, whole))
+def _bm25(spark, sf, words=None):
+    return weights.bm25_weights(*_inputs(unique_corpus(spark, sf), words))
+
+
+def _tfidf(spark, sf, words=None):
+    return weights.tfidf_weights(*_inputs(unique_corpus(spark, sf), words))
 
 
 def _headlines(spark, sf):
     """``(doc_id, headline)`` for the k hits - straight from the corpus, no tokenizing."""
-    return corpus(spark, sf).select("doc_id", "headline")
+    return unique_corpus(spark, sf).select("doc_id", "headline")
+
+
+def _doubled(spark, sf):
+    """Every document twice: as it is, and an older version with another text."""
+    c = corpus(spark, sf)
+    dated = c.withColumn("date", F.lit("1996-08-21").cast("date"))
+    older = c.withColumn("date", F.lit("1996-08-20").cast("date")).withColumn(
+        "text", F.concat(F.lit("older words "), F.col("text"), F.lit(" zzz older")))
+    return dedupe_docs(older.unionByName(dated))
+
+
+def _coded(spark, sf):
+    """The corpus with code lists: language, both, and source of each document."""
+    extra = table(spark, sf, "documents").select("doc_id", "lang", "source")
+    return corpus(spark, sf).drop("countries", "industries", "topics").join(extra, "doc_id").select(
+        "doc_id", F.lit("1996-08-20").cast("date").alias("date"), "title", "headline", "byline",
+        F.lit("A $ and $$, \\ here$").alias("dateline"), "text",
+        F.array("lang").alias("countries"), F.array("lang", "source").alias("industries"),
+        F.array("source").alias("topics"))
+
+
+def _flat(df):
+    """Code lists and dates as text, so that both engines compare them alike."""
+    return df.select("doc_id", F.col("date").cast("string").alias("date"), "title", "headline", "byline",
+                     "dateline", "text", *[F.array_join(c, "|").alias(c) for c in (
+                         "countries", "industries", "topics")])
 
 
 # ---------------------------------------------------------------- text and ingest
@@ -99,11 +128,11 @@ def q_clean_markup(spark, sf):
 
 
 def q_clean_headline(spark, sf):
-    return corpus(spark, sf).select("doc_id", markup.clean_headline(F.col("headline")).alias("headline"))
+    return corpus(spark, sf).select("doc_id", markup.clean_headline(F.col("text")).alias("headline"))
 
 
 def q_format_hits(spark, sf):
-    hits = search.bm25(_bm25(spark, sf, whole=False), _headlines(spark, sf), BM25_QUERY, K, DIGITS)
+    hits = search.bm25(_bm25(spark, sf, BM25_QUERY), _headlines(spark, sf), BM25_QUERY, K, DIGITS)
     return hits.select(
         "rank", "score",
         markup.format_hit(F.col("doc_id"), markup.clean_headline(F.col("headline")), ":").alias("hit"),
@@ -122,14 +151,14 @@ def q_export_delimited(spark, sf):
 
 def q_ingest_delimited(spark, sf):
     path = scratch_path(spark, "delimited")
-    delimited.write_delimited(corpus(spark, sf), path)
-    return delimited.read_delimited(spark, path)
+    delimited.write_delimited(_coded(spark, sf), path)
+    return _flat(delimited.read_delimited(spark, path))
 
 
 def q_ingest_xml(spark, sf):
     path = scratch_path(spark, "news-xml")
-    news_xml.write_news_xml(corpus(spark, sf), path)
-    return news_xml.read_news_xml(spark, path)
+    news_xml.write_news_xml(_coded(spark, sf), path)
+    return _flat(news_xml.read_news_xml(spark, path))
 
 
 # ---------------------------------------------------------------- indexes and statistics
@@ -139,7 +168,7 @@ def q_term_frequency(spark, sf):
 
 
 def q_doc_length(spark, sf):
-    return index.doc_length(corpus(spark, sf))
+    return index.doc_length(unique_corpus(spark, sf))
 
 
 def q_corpus_stats(spark, sf):
@@ -152,35 +181,39 @@ def q_term_idf(spark, sf):
 
 
 def q_postings_with_headline(spark, sf):
-    p = index.postings(corpus(spark, sf))
+    p = index.postings(unique_corpus(spark, sf))
     return p.join(_headlines(spark, sf).select("doc_id", "headline"), "doc_id") \
         .select("term", "doc_id", "tf", "headline")
 
 
 def q_index_unigram(spark, sf):
-    return index.term_stats(index.postings(corpus(spark, sf)))
+    return index.term_stats(index.postings(unique_corpus(spark, sf)))
+
+
+def q_index_unigram_doubled(spark, sf):
+    return index.term_stats(index.postings(_doubled(spark, sf)))
 
 
 def q_index_bigram(spark, sf):
-    return index.bigram_stats(index.bigram_postings(corpus(spark, sf)))
+    return index.bigram_stats(index.bigram_postings(unique_corpus(spark, sf)))
 
 
 def q_index_bigram_postings(spark, sf):
-    return index.bigram_postings(corpus(spark, sf))
+    return index.bigram_postings(unique_corpus(spark, sf))
 
 
 def q_index_positional(spark, sf):
-    return index.positions(corpus(spark, sf))
+    return index.positions(unique_corpus(spark, sf))
 
 
 def q_positional_frequency(spark, sf):
-    return index.positional_frequency(index.positions(corpus(spark, sf)))
+    return index.positional_frequency(index.positions(unique_corpus(spark, sf)))
 
 
 def q_index_roundtrip(spark, sf):
     # global ascending order by key: range-partitioned files, each sorted (disjoint ranges)
     store = IndexStore(spark, scratch_path(spark, "index"))
-    return store.write("postings", index.postings(corpus(spark, sf)), range_partition=True)
+    return store.write("postings", index.postings(unique_corpus(spark, sf)))
 
 
 # ---------------------------------------------------------------- nested views
@@ -194,16 +227,40 @@ def _ids(c: str) -> F.Column:
 
 
 def q_index_unigram_view(spark, sf):
-    p = index.postings(corpus(spark, sf))
+    p = index.postings(unique_corpus(spark, sf))
     v = index.posting_list_view(p, index.term_stats(p), block_size=VIEW_BLOCK)
     return v.select("term", "cf", "block", _ids("doc_ids").alias("doc_ids"))
 
 
 def q_index_positional_view(spark, sf):
-    v = index.positional_view(index.positions(corpus(spark, sf)))
+    v = index.positional_view(index.positions(unique_corpus(spark, sf)))
     return v.select("term", "doc_id", _ids("positions").alias("positions"))
 
 
+def q_index_bigram_view(spark, sf):
+    p = index.bigram_postings(unique_corpus(spark, sf))
+    v = index.bigram_list_view(p, index.bigram_stats(p), VIEW_BLOCK)
+    return v.select("bigram", "cf", "block", _ids("doc_ids").alias("doc_ids"))
+
+
+def q_index_positional_list(spark, sf):
+    v = index.positional_list_view(index.positions(unique_corpus(spark, sf)), VIEW_BLOCK)
+    docs = F.transform("docs", lambda d: F.concat_ws(":", d["doc_id"].cast("string"), F.array_join(
+        F.transform(d["positions"], lambda p: p.cast("string")), ",")))
+    return v.select("term", "frequency", "block", F.array_join(docs, ";").alias("docs"))
+
+
+def _weight_list(weights_of) -> Query:
+    def run(spark, sf):
+        v = weights.weight_list_view(weights.impact_order(weights_of(spark, sf)), _headlines(spark, sf),
+                                     VIEW_BLOCK)
+        shown = F.transform("postings", lambda p: F.concat_ws(
+            ":", p["doc_id"].cast("string"), F.round(p["weight"] * 10 ** DIGITS).cast("bigint").cast("string"),
+            p["headline"]))
+        return v.select("term", _r("idf"), "block", F.array_join(shown, ";").alias("postings"))
+    return run
+
+
 def q_impact_list_bm25(spark, sf):
     ranked = weights.impact_order(_bm25(spark, sf))
     blocks = ranked.withColumn("block", ((F.col("impact_rank") - 1) / VIEW_BLOCK).cast("bigint"))
@@ -220,6 +277,11 @@ def q_weights_bm25(spark, sf):
     return _bm25(spark, sf).select("term", "doc_id", "tf", _r("idf"), _r("weight"))
 
 
+def q_weights_bm25_doubled(spark, sf):
+    w = weights.bm25_weights(*_inputs(_doubled(spark, sf)))
+    return w.select("term", "doc_id", "tf", _r("idf"), _r("weight"))
+
+
 def q_weights_tfidf(spark, sf):
     return _tfidf(spark, sf).select("term", "doc_id", "tf", _r("idf"), _r("weight"))
 
@@ -235,20 +297,16 @@ def q_impact_order_tfidf(spark, sf):
 
 
 def q_merge_weights(spark, sf):
-    """Weights built on two overlapping parts with corpus-wide statistics, then merged.
+    """Weights built on two overlapping parts, each with its own statistics, then merged.
 
-    The parts overlap and together cover every document, as part files of one corpus
-    processed in separate runs do; the merge must give back the whole table.
+    A document in both parts has two rows for a term, and the heavier one stays.
     """
-    c = corpus(spark, sf)
-    tf_all = index.term_frequency(c)
-    ts = index.term_stats(tf_all)
-    cs = index.corpus_stats(index.doc_length(c))
+    c = unique_corpus(spark, sf)
     bounds = F.broadcast(c.agg(F.min("doc_id").alias("_lo"), F.max("doc_id").alias("_hi")))  # 1 row
     cut = lambda f: F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.lit(f)
-    tagged = tf_all.crossJoin(bounds)
-    low = weights.tfidf_weights(tagged.where(F.col("doc_id") < cut(MERGE_HI)), ts, cs)
-    high = weights.tfidf_weights(tagged.where(F.col("doc_id") >= cut(MERGE_LO)), ts, cs)
+    tagged = c.crossJoin(bounds)
+    low = weights.tfidf_weights(*_inputs(tagged.where(F.col("doc_id") < cut(MERGE_HI)).drop("_lo", "_hi")))
+    high = weights.tfidf_weights(*_inputs(tagged.where(F.col("doc_id") >= cut(MERGE_LO)).drop("_lo", "_hi")))
     return weights.merge_weights(low, high).select("term", "doc_id", "tf", _r("idf"), _r("weight"))
 
 
@@ -261,45 +319,45 @@ def q_query_weights(spark, sf):
 # ---------------------------------------------------------------- searches
 
 def q_search_term_substring(spark, sf):
-    p = index.postings(corpus(spark, sf))
+    p = index.postings(unique_corpus(spark, sf))
     return search.term_substring(index.term_stats(p), p, SUBSTRING_QUERY)
 
 
 def q_search_bigram_substring(spark, sf):
-    bp = index.bigram_postings(corpus(spark, sf))
+    bp = index.bigram_postings(unique_corpus(spark, sf))
     return search.bigram_substring(index.bigram_stats(bp), bp, BIGRAM_QUERY)
 
 
 def q_search_term_exact(spark, sf):
-    p = index.postings(corpus(spark, sf))
+    p = index.postings(unique_corpus(spark, sf))
     return search.term_exact(index.term_stats(p), p, EXACT_QUERY)
 
 
 def q_search_postings_any(spark, sf):
-    return search.postings_any(_bm25(spark, sf, whole=False), BM25_QUERY).select(
+    return search.postings_any(_bm25(spark, sf, BM25_QUERY), BM25_QUERY).select(
         "term", "doc_id", _r("weight"))
 
 
 def q_search_proximity(spark, sf):
     w1, w2, d = PROXIMITY
-    return search.proximity(index.positions(corpus(spark, sf)), w1, w2, d)
+    return search.proximity(index.positions(unique_corpus(spark, sf)), w1, w2, d)
 
 
 def q_search_proximity_pairs(spark, sf):
     w1, w2, d = PROXIMITY
-    return search.proximity_pairs(index.positions(corpus(spark, sf)), w1, w2, d)
+    return search.proximity_pairs(index.positions(unique_corpus(spark, sf)), w1, w2, d)
 
 
 def q_search_bm25(spark, sf):
-    return search.bm25(_bm25(spark, sf, whole=False), _headlines(spark, sf), BM25_QUERY, K, DIGITS)
+    return search.bm25(_bm25(spark, sf, BM25_QUERY), _headlines(spark, sf), BM25_QUERY, K, DIGITS)
 
 
 def q_search_tfidf(spark, sf):
-    return search.tfidf(_tfidf(spark, sf, whole=False), _headlines(spark, sf), TFIDF_QUERY, K, DIGITS)
+    return search.tfidf(_tfidf(spark, sf, TFIDF_QUERY), _headlines(spark, sf), TFIDF_QUERY, K, DIGITS)
 
 
 def q_search_cosine(spark, sf):
-    return search.cosine(_tfidf(spark, sf, whole=False), _headlines(spark, sf), TFIDF_QUERY, K, DIGITS)
+    return search.cosine(_tfidf(spark, sf, TFIDF_QUERY), _headlines(spark, sf), TFIDF_QUERY, K, DIGITS)
 
 
 def q_stream_postings(spark, sf):
@@ -337,14 +395,20 @@ QUERIES: dict[str, Query] = {
     "term_idf": q_term_idf,
     "postings_with_headline": q_postings_with_headline,
     "index_unigram": q_index_unigram,
+    "index_unigram_doubled": q_index_unigram_doubled,
     "index_bigram": q_index_bigram,
     "index_bigram_postings": q_index_bigram_postings,
     "index_positional": q_index_positional,
     "index_unigram_view": q_index_unigram_view,
+    "index_bigram_view": q_index_bigram_view,
     "index_positional_view": q_index_positional_view,
+    "index_positional_list": q_index_positional_list,
+    "weight_list_bm25": _weight_list(_bm25),
+    "weight_list_tfidf": _weight_list(_tfidf),
     "impact_list_bm25": q_impact_list_bm25,
     "positional_frequency": q_positional_frequency,
     "weights_bm25": q_weights_bm25,
+    "weights_bm25_doubled": q_weights_bm25_doubled,
     "weights_tfidf": q_weights_tfidf,
     "impact_order_bm25": q_impact_order_bm25,
     "impact_order_tfidf": q_impact_order_tfidf,

@@ -35,11 +35,3 @@ NEWS_XML = T.StructType([
         ])), True),
     ]), True),
 ])
-
-POSTINGS = "term STRING, doc_id BIGINT, tf BIGINT, len BIGINT"
-TERM_STATS = "term STRING, cf BIGINT, df BIGINT"
-POSITIONS = "term STRING, doc_id BIGINT, pos BIGINT"
-DOC_STATS = "doc_id BIGINT, len BIGINT, headline STRING"
-CORPUS_STATS = "n_docs BIGINT, total_len BIGINT, avgdl DOUBLE"
-WEIGHTS = "term STRING, doc_id BIGINT, tf BIGINT, idf DOUBLE, weight DOUBLE"
-HITS = "rank INT, doc_id BIGINT, score DOUBLE, headline STRING"

@@ -24,6 +24,8 @@ RECOMMENDED_CONF = {
     # hints remain for sides bounded by construction (one row, k rows).
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    # ranking checkpoints go once their DataFrames are gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }
@@ -45,7 +47,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; set it to a folder every executor can reach"
         )
@@ -66,7 +68,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     builder = (
         SparkSession.builder.master(f"local[{cores}]").appName(app_name)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
     )

@@ -5,21 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HEADLINE_CHARS = 60
-
 
 def from_documents(documents: DataFrame) -> DataFrame:
     """Map ``documents(doc_id, text, ...)`` onto the corpus schema.
 
-    There is no title or byline; the headline (display only) is the first 60 characters.
-    A projection: narrow, no shuffle, only ``doc_id`` and ``text`` are read.
+    There is no title or byline; the headline (display only) is the first line of the
+    text.  A projection: narrow, no shuffle, only ``doc_id`` and ``text`` are read.
     """
     empty_codes = F.array().cast("array<string>")
     return documents.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.lit(None).cast("date").alias("date"),
         F.lit(None).cast("string").alias("title"),
-        F.substring("text", 1, HEADLINE_CHARS).alias("headline"),
+        F.substring_index("text", "\n", 1).alias("headline"),
         F.lit(None).cast("string").alias("byline"),
         F.lit(None).cast("string").alias("dateline"),
         F.col("text"),
@@ -32,11 +30,14 @@ def from_documents(documents: DataFrame) -> DataFrame:
 def dedupe_docs(corpus: DataFrame) -> DataFrame:
     """One row per ``doc_id``; among copies the greatest (date, text, ...) row wins.
 
-    ``groupBy`` + ``max(struct)`` is deterministic (unlike ``dropDuplicates``) and
-    partially aggregated map-side, so a doc_id with many copies collapses before the shuffle.
+    Rows without an id are left out, as every source does.  ``groupBy`` + ``max(struct)`` is
+    deterministic (unlike ``dropDuplicates``) and partially aggregated map-side, so a doc_id
+    with many copies collapses before the shuffle.  The result lies hashed on ``doc_id``:
+    whatever groups by keys that hold the doc id needs no second exchange.
     """
     first = [c for c in ("date", "text", "title", "headline") if c in corpus.columns]
     others = first + [c for c in corpus.columns if c not in first and c != "doc_id"]
-    picked = corpus.groupBy("doc_id").agg(F.max(F.struct(*others)).alias("_row"))
+    picked = corpus.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.max(F.struct(*others)).alias("_row"))
     return picked.select(*[F.col("doc_id") if c == "doc_id" else F.col(f"_row.{c}").alias(c)
                            for c in corpus.columns])

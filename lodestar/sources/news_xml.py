@@ -1,4 +1,8 @@
-"""News XML (one ``<newsitem>`` per record) through Spark's built-in XML source."""
+"""News XML, one ``<newsitem>`` per record.
+
+Files are read as text cut at the end tag, which Spark splits like any text file (its XML
+source takes a file as one task); each piece from its start tag on is parsed by ``from_xml``.
+"""
 
 from __future__ import annotations
 
@@ -11,6 +15,8 @@ from lodestar.schemas import NEWS_XML
 
 ROW_TAG = "newsitem"
 ROOT_TAG = "newsitems"
+END_TAG = "</newsitem>"
+START_PATTERN = r"<newsitem[\s>]"
 CORRUPT_COL = "_corrupt_record"
 # The code classes whose codes become the three code lists.
 CODE_CLASSES = {"countries": "countries", "industries": "industries", "topics": "topics"}
@@ -43,16 +49,15 @@ def _scan(spark: SparkSession, path: str | list[str], encoding: str) -> DataFram
     # PERMISSIVE: a malformed record becomes a row with nulls and its raw text in the
     # corrupt-record column, instead of failing the whole scan.
     schema = T.StructType([*NEWS_XML.fields, T.StructField(CORRUPT_COL, T.StringType(), True)])
-    return (
-        spark.read.format("xml")
-        .option("rowTag", ROW_TAG)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_COL)
-        .option("ignoreSurroundingSpaces", "false")
-        .option("encoding", encoding)
-        .schema(schema)
-        .load(path)
-    )
+    pieces = spark.read.text(path, lineSep=END_TAG)
+    value = F.col("value") if encoding.upper() in ("UTF-8", "UTF8") else F.decode(
+        F.col("value").cast("binary"), encoding)
+    start = F.regexp_instr(value, F.lit(START_PATTERN))
+    record = F.concat(F.expr("substring(v, at)"), F.lit(END_TAG))
+    options = {"rowTag": ROW_TAG, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL,
+               "ignoreSurroundingSpaces": "false"}
+    return (pieces.select(value.alias("v"), start.alias("at")).where("at > 0")
+            .select(F.from_xml(record, schema, options).alias("x")).select("x.*"))
 
 
 def read_news_xml(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8") -> DataFrame:
@@ -67,8 +72,7 @@ def read_news_xml(spark: SparkSession, path: str | list[str], encoding: str = "U
 def news_xml_rejects(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8") -> DataFrame:
     """``(item_id, raw)``: the records the XML parser could not read.
 
-    ``item_id`` is whatever the parser still recovered (often null).  Spark refuses a
-    query that references the corrupt-record column alone, so it is selected as well.
+    ``item_id`` is whatever the parser still recovered (often null).
     """
     return _scan(spark, path, encoding).where(F.col(CORRUPT_COL).isNotNull()) \
         .select(F.col("_itemid").alias("item_id"), F.col(CORRUPT_COL).alias("raw"))

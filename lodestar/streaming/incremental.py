@@ -1,29 +1,43 @@
 """Incremental index build over corpus part files with Structured Streaming.
 
-New part files of the corpus are picked up by a file stream; each micro-batch writes the
-postings and document stats of its documents into its own folder ``epoch=<id>``.  A
-replayed epoch (after a failure) overwrites that folder, so the sink is exactly-once
-without any append bookkeeping.  Corpus-wide values (df, N, avgdl) change with every
-part, so weights are built from the merged parts with the batch operators
-(``finish_index``); the merge keeps the newest version of every document (last wins).
+New part files of the corpus are picked up by a file stream; each micro-batch writes its
+documents, their postings and their stats into folders ``run=<n>-<query>/epoch=<id>``.  The
+query id lives in the stream's checkpoint: a replayed epoch (after a failure) overwrites
+its own folder, and another checkpoint over the same store is another run that never
+touches earlier ones.  Runs are numbered as they first appear.  Corpus-wide values (df, N,
+avgdl) change with every part, so the index is finished from the merged parts with the
+batch operators (``finish_index``); the newest version of every document wins.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lodestar.operators import index
-from lodestar.plans.build import BuildOptions
+from lodestar.plans.build import BuildOptions, write_weights
 from lodestar.sources.documents import dedupe_docs, from_documents
 from lodestar.sources.store import IndexStore, write_table
 
 DOCUMENTS_SCHEMA = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
-EPOCH = "epoch"
+PART = ["run", "epoch"]
+
+
+def run_name(spark: SparkSession, store: IndexStore, query_id: str) -> str:
+    """``<number>-<query id>``: the run's own number, or the next one for a new query."""
+    try:
+        files = spark.read.parquet(store.path("doc_stats_parts")).inputFiles()
+    except AnalysisException:  # no part yet
+        files = []
+    known = {m[1] for f in files if (m := re.search(r"/run=([^/]+)/", f))}
+    mine = [r for r in known if r.endswith(query_id)]
+    return mine[0] if mine else f"{max([int(r[:8]) for r in known], default=0) + 1:08d}-{query_id}"
 
 
 def start_part_ingest(spark: SparkSession, source: str, store: IndexStore, checkpoint: str,
@@ -38,14 +52,17 @@ def start_part_ingest(spark: SparkSession, source: str, store: IndexStore, check
     docs = reader.parquet(source)
 
     def write_epoch(batch: DataFrame, epoch_id: int) -> None:
-        # copies inside one part collapse here (last wins across parts at merge time);
-        # the groupBy hashes on doc_id, which the postings aggregate then reuses
-        corpus = dedupe_docs(to_corpus(batch))
-        part = f"{EPOCH}={epoch_id}"
-        write_table(index.term_frequency(corpus), os.path.join(store.path("postings_parts"), part),
-                    ("term", "doc_id"))
-        write_table(index.doc_stats(corpus), os.path.join(store.path("doc_stats_parts"), part),
-                    ("doc_id",))
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        part = f"run={run_name(batch.sparkSession, store, query_id)}/epoch={epoch_id}"
+        corpus = dedupe_docs(to_corpus(batch)).persist()  # copies inside one part collapse here
+        try:
+            tables = {"corpus_parts": (corpus, ("doc_id",)),
+                      "postings_parts": (index.term_frequency(corpus), ("term", "doc_id")),
+                      "doc_stats_parts": (index.doc_stats(corpus), ("doc_id",))}
+            for name, (table, keys) in tables.items():
+                write_table(table, os.path.join(store.path(name), part), keys)
+        finally:
+            corpus.unpersist()
 
     writer = (docs.writeStream.foreachBatch(write_epoch)
               .option("checkpointLocation", checkpoint)
@@ -54,33 +71,39 @@ def start_part_ingest(spark: SparkSession, source: str, store: IndexStore, check
     return writer.start()
 
 
+def _newest(spark: SparkSession, store: IndexStore, name: str) -> DataFrame:
+    """The rows of a part table that belong to the newest version of their document."""
+    versions = spark.read.parquet(store.path("doc_stats_parts")).groupBy("doc_id").agg(
+        F.max(F.struct(*PART)).alias("v")).select("doc_id", "v.run", "v.epoch")
+    return spark.read.parquet(store.path(name)).join(versions, ["doc_id", *PART], "left_semi")
+
+
 def merged_doc_stats(spark: SparkSession, store: IndexStore) -> DataFrame:
-    """``(doc_id, len, headline, epoch)`` of the newest version of every document."""
-    parts = spark.read.parquet(store.path("doc_stats_parts"))
-    newest = parts.groupBy("doc_id").agg(F.max(EPOCH).alias(EPOCH))
-    return parts.join(newest, ["doc_id", EPOCH], "left_semi")
+    """``(doc_id, len, headline)`` of the newest version of every document."""
+    return _newest(spark, store, "doc_stats_parts").select("doc_id", "len", "headline")
 
 
 def merged_postings(spark: SparkSession, store: IndexStore) -> DataFrame:
     """``(term, doc_id, tf, len)`` of the newest version of every document."""
-    parts = spark.read.parquet(store.path("postings_parts"))
-    newest = merged_doc_stats(spark, store).select("doc_id", EPOCH)
-    return parts.join(newest, ["doc_id", EPOCH], "left_semi").select("term", "doc_id", "tf", "len")
+    return _newest(spark, store, "postings_parts").select("term", "doc_id", "tf", "len")
+
+
+def merged_corpus(spark: SparkSession, store: IndexStore) -> DataFrame:
+    """The newest version of every document."""
+    return _newest(spark, store, "corpus_parts").drop(*PART)
 
 
 def finish_index(spark: SparkSession, store: IndexStore,
                  options: BuildOptions = BuildOptions()) -> IndexStore:
-    """Write postings, statistics and weights from the ingested parts."""
-    from lodestar.operators import weights
-
+    """Write the tables of ``options`` (all nine by default) from the ingested parts."""
     postings = store.write("postings", merged_postings(spark, store))
     ts = store.write("term_stats", index.term_stats(postings))
-    ds = store.write("doc_stats", merged_doc_stats(spark, store).drop(EPOCH))
+    ds = store.write("doc_stats", merged_doc_stats(spark, store))
     cs = store.write("corpus_stats", index.corpus_stats(ds))
-    bm25 = weights.bm25_weights(postings, ts, cs, options.k1, options.b, options.n_docs, options.avgdl)
-    tfidf = weights.tfidf_weights(postings, ts, cs, options.n_docs)
-    if options.impact_order:
-        bm25, tfidf = weights.impact_order(bm25), weights.impact_order(tfidf)
-    store.write("weights_bm25", bm25)
-    store.write("weights_tfidf", tfidf)
+    write_weights(store, postings, ts, cs, options)
+    if {"bigram_postings", "bigram_stats"} & set(options.tables):
+        bp = store.write("bigram_postings", index.bigram_postings(merged_corpus(spark, store)))
+        store.write("bigram_stats", index.bigram_stats(bp))
+    if "positions" in options.tables:
+        store.write("positions", index.positions(merged_corpus(spark, store)))
     return store

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestar.functions import scoring
-from lodestar.operators import index, weights
+from lodestar.operators import index, search, weights
 from lodestar.plans.build import BuildOptions, SearchIndex, build_index
+from lodestar.sources.documents import dedupe_docs
 from lodestar.sources.store import IndexStore
 
 
@@ -62,12 +63,114 @@ def test_reference_goldens_through_build(spark, corpus_of, tmp_path):
     assert weight == pytest.approx(16.2321782572662, abs=2 * math.ulp(16.2))
 
 
-def test_spread_only_narrow_scans(spark):
-    from lodestar.operators.layout import spread_by_doc
-    narrow = spark.range(100).coalesce(1)
-    assert spread_by_doc(narrow, min_partitions=4).rdd.getNumPartitions() == 4
-    wide = spark.range(100).repartition(6)
-    assert spread_by_doc(wide, min_partitions=4) is wide
+def _jobs(spark) -> int:
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+
+
+def test_planning_an_index_starts_no_job(spark, corpus_of):
+    import brute
+    c = dedupe_docs(corpus_of(brute.DOCS).unionByName(corpus_of(brute.DOCS)))
+    before = _jobs(spark)
+    tf = index.term_frequency(c)
+    weights.bm25_weights(tf, index.term_stats(tf), index.corpus_stats_from_postings(c, tf))
+    index.bigram_postings(c), index.positions(c), index.doc_stats(c)
+    assert _jobs(spark) == before
+
+
+def test_deduplication_is_the_only_exchange_before_postings(spark, corpus_of):
+    import brute
+    df = index.postings(dedupe_docs(corpus_of(brute.DOCS)))
+    plan = _final_plan(df).split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning(doc_id") == 1
+    assert "Exchange hashpartitioning(term" not in plan
+
+
+def test_search_keeps_its_words_at_every_tokenizer(spark):
+    from lodestar.plans import registry
+    q = registry.QUERIES["search_bm25"](spark, "/root/testdata/sf0.001")
+    plan = q._jdf.queryExecution().optimizedPlan().toString()
+    generators = [i for i, line in enumerate(plan.splitlines()) if "Generate explode" in line and "term" in line]
+    assert generators
+    for i in generators:
+        assert "ention" in "".join(plan.splitlines()[max(0, i - 2):i])
+
+
+def test_long_id_lists_prune_row_groups(spark, tmp_path):
+    """At the default k the headline scan reads a small part of the row groups."""
+    from lodestar.operators.search import DEFAULT_K, among
+    n = 200_000
+    path = str(tmp_path / "heads")
+    spark.range(0, n, 1, 1).select(F.col("id").alias("doc_id"), F.lit("h").alias("headline")) \
+        .write.option("parquet.block.size", 64 * 1024).option("parquet.page.row.count.limit", 1000) \
+        .parquet(path)
+    wanted = [i * (n // DEFAULT_K) for i in range(DEFAULT_K)]
+    df = spark.read.parquet(path).where(among("doc_id", wanted))
+    assert df.count() == DEFAULT_K
+    rows = spark.read.parquet(path).where(among("doc_id", wanted)).select("doc_id", "headline")
+    rows.collect()
+    assert _scanned(rows) < n / 5
+
+
+def _scanned(df) -> int:
+    """Rows that left the scan of an executed plan."""
+    plan = df._jdf.queryExecution().executedPlan()
+    while plan.children().size():
+        plan = plan.children().head()
+    return plan.metrics().apply("numOutputRows").value()
+
+
+def test_stored_tables_are_disjoint_by_term(spark, corpus_of, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+    docs = [(i, " ".join(f"w{chr(97 + (i * 7 + j) % 26)}{chr(97 + j % 26)}" for j in range(40))) for i in range(300)]
+    aqe = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(aqe, "false")  # ranges this small would become one file
+    try:
+        store = build_index(corpus_of(docs), IndexStore(spark, str(tmp_path / "d")), BuildOptions(
+            tables=("postings", "term_stats", "bigram_postings", "bigram_stats", "positions")))
+    finally:
+        spark.conf.set(aqe, "true")
+    for name, key in (("postings", "term"), ("bigram_postings", "bigram"), ("positions", "term")):
+        ranges = []
+        for f in glob.glob(f"{store.path(name)}/part-*.parquet"):
+            keys = pq.read_table(f, columns=[key]).column(key).to_pylist()
+            if keys:
+                assert keys == sorted(keys)
+                ranges.append((keys[0], keys[-1]))
+        ranges.sort()
+        assert len(ranges) > 1 and all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_both_weights_come_from_one_join(spark, corpus_of, tmp_path):
+    import brute
+    store = build_index(corpus_of(brute.DOCS), IndexStore(spark, str(tmp_path / "b")))
+    both = store.read("weights_unranked")
+    for s in ("bm25", "tfidf"):
+        a = both.select("term", "doc_id", F.col(s).alias("weight"))
+        b = store.read(f"weights_{s}").select("term", "doc_id", "weight")
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_doubled_documents_change_nothing(spark, corpus_of, tmp_path):
+    docs = [(1, "cat dog"), (1, "cat dog bird"), (2, "dog"), (2, "dog"), (3, "fish")]
+    store = build_index(corpus_of(docs), IndexStore(spark, str(tmp_path / "x")))
+    assert store.read("corpus_stats").first().n_docs == 3
+    assert store.read("term_stats").where("term = 'dog'").first().df == 2
+    assert store.read("postings").where("term = 'cat' and doc_id = 1").count() == 1
+    hits = SearchIndex(store).bm25(["dog", "cat"]).collect()
+    assert sorted(r.doc_id for r in hits) == [1, 2] and sorted(r.rank for r in hits) == [1, 2]
+
+
+def test_winner_without_headline_stays(spark, corpus_of, tmp_path):
+    import brute
+    store = build_index(corpus_of(brute.DOCS), IndexStore(spark, str(tmp_path / "w")))
+    w, ds = store.read("weights_bm25"), store.read("doc_stats")
+    whole = search.bm25(w, ds, ["cat"], 3).orderBy("rank").collect()
+    for eager in (False, True):
+        less = search.bm25(w, ds.where(F.col("doc_id") != whole[0].doc_id), ["cat"], 3, eager=eager)
+        rows = less.orderBy("rank").collect()
+        assert [r.doc_id for r in rows] == [r.doc_id for r in whole] and rows[0].headline is None
 
 
 def test_eager_hits_read_only_their_headlines(spark, corpus_of, tmp_path):
@@ -79,4 +182,4 @@ def test_eager_hits_read_only_their_headlines(spark, corpus_of, tmp_path):
     lazy = SearchIndex(store, eager=False).bm25(["cat"], k=2, digits=6)
     assert eager.orderBy("rank").collect() == lazy.orderBy("rank").collect()
     plan = eager._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [In(doc_id, [" in plan
+    assert "PushedFilters: [In(doc_id, [" in plan or "PushedFilters: [Or(" in plan

@@ -14,18 +14,18 @@ def test_news_xml(spark):
     rows = {r.doc_id: r for r in news_xml.read_news_xml(spark, os.path.join(FIXTURES, "news.xml")).collect()}
     assert sorted(rows) == [2286, 2287, 2288]
     a = rows[2286]
-    assert a.title == "MEXICO: Recovery excitement brings Mexican markets."
-    assert a.byline == "Lisa Reporter"
+    assert a.title == "MEXICO: Harbour towns count their fishing boats."
+    assert a.byline == "Pat Invented"
     assert str(a.date) == "1996-08-20"
     assert a.countries == ["MEX"] and a.industries == ["I81402"] and a.topics == ["E11", "M11"]
-    assert "Mexican markets into a buzz." in a.text and "AT&T said" in a.text  # two paragraphs
+    assert "made-up census says." in a.text and "Nets & Ropes said" in a.text  # two paragraphs
     b = rows[2287]
     assert b.byline is None and b.topics == [] and b.countries == ["USA"]
     assert rows[2288].text.strip() == ""
 
 
 def test_delimited_parse(spark):
-    df = delimited.read_delimited(spark, os.path.join(FIXTURES, "corpus_delimited.txt"))
+    df = delimited.read_delimited(spark, os.path.join(FIXTURES, "corpus_delimited.txt"), plain=True)
     rows = df.orderBy("doc_id").collect()
     assert [r.doc_id for r in rows] == [2286, 2286, 2290, 2291]   # duplicate kept, bad lines dropped
     a = rows[0]
@@ -39,11 +39,35 @@ def test_delimited_parse(spark):
 def test_export_roundtrip(spark, tmp_path, corpus_of):
     c = corpus_of([(1, "line one\nline two"), (2, "has $$ inside"), (3, "")])
     path = str(tmp_path / "out")
-    delimited.write_delimited(c, path)
-    back = {r.doc_id: r.text for r in delimited.read_delimited(spark, path).collect()}
+    delimited.write_delimited(c, path, plain=True)
+    back = {r.doc_id: r.text for r in delimited.read_delimited(spark, path, plain=True).collect()}
     assert back == {1: "line one line two", 2: "has $$ inside", 3: ""}
 
 
+ODD = ["$", "$$", "$$$", "a$", "$a", "T$$", "\\", "\\N", "\\s", "\\\\s$", "null", "", None, "a\r\nb\nc\r", " [x, y] ", "a, b"]
+
+
+def test_escaped_roundtrip_is_exact(spark, tmp_path):
+    """All ten fields come back, whatever dollars, backslashes and line ends they hold."""
+    import datetime
+
+    from lodestar.schemas import CORPUS
+    rows = [(i, datetime.date(1996, 8, 20) if i % 2 else None, x, ODD[i - 1], ODD[i - 2], ODD[i - 3], ODD[i - 4],
+             [y for y in (x, "b") if y != ""], None if i % 3 else [], [ODD[i - 5] or None, "$"])
+            for i, x in enumerate(ODD)]
+    c = spark.createDataFrame(rows, CORPUS)
+    path = str(tmp_path / "out")
+    delimited.write_delimited(c, path)
+    back = delimited.read_delimited(spark, path)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, c.collect()))
+
+
+def test_a_path_may_hold_a_comma(spark, tmp_path, corpus_of):
+    path = str(tmp_path / "a,b")
+    delimited.write_delimited(corpus_of([(1, "x")]), path)
+    assert delimited.read_delimited(spark, path).count() == 1
+
+
 def test_xml_roundtrip(spark, tmp_path, corpus_of):
     c = corpus_of([(1, "first paragraph\nsecond one"), (2, "AT&T <b> said")])
     path = str(tmp_path / "xml")
@@ -59,10 +83,30 @@ def test_dedupe_is_deterministic(spark, corpus_of):
 
 
 def test_from_documents_headline(spark):
-    docs = spark.createDataFrame([(7, "x" * 80, "en", "s", 80)],
+    docs = spark.createDataFrame([(7, "x" * 80 + "\nmore", "en", "s", 85)],
                                  "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT")
     r = from_documents(docs).first()
-    assert r.headline == "x" * 60 and r.title is None and r.topics == []
+    assert r.headline == "x" * 80 and r.title is None and r.topics == []
+
+
+def test_large_xml_file_is_split(spark, tmp_path):
+    """One file, many tasks; records that lie across a split are read once and whole."""
+    from pyspark.sql import functions as F
+    item = ('<newsitem itemid="{}" date="1996-08-20"><title>t{}</title><text>'
+            + "<p>some words of a paragraph</p>" * 60 + "</text></newsitem>\n")
+    bad = '<newsitem itemid="7000001" date="1996-08-20"><title>bad</titl></newsitem>\n'
+    path = tmp_path / "big.xml"
+    path.write_text("<newsitems>\n" + "".join(item.format(i, i) for i in range(6000)) + bad + "</newsitems>\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        df = news_xml.read_news_xml(spark, str(path))
+        assert df.rdd.getNumPartitions() > 10
+        r = df.agg(F.count("*"), F.countDistinct("doc_id"), F.min(F.length("text")), F.max(F.length("text"))).first()
+        assert tuple(r) == (6000, 6000, 60 * 26 - 1, 60 * 26 - 1)
+        assert news_xml.news_xml_rejects(spark, str(path)).count() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
 def test_store_sorted_files(spark, tmp_path):
@@ -94,7 +138,7 @@ def test_delimited_multi_path_and_glob(spark, tmp_path, corpus_of):
     a, b = str(tmp_path / "data" / "part-a"), str(tmp_path / "data1" / "part-b")
     delimited.write_delimited(corpus_of([(1, "one"), (2, "two")]), a)
     delimited.write_delimited(corpus_of([(3, "three")]), b)
-    both = delimited.read_delimited(spark, f"{a}/part-*,{b}/part-*")
+    both = delimited.read_delimited(spark, [f"{a}/part-*", f"{b}/part-*"])
     assert sorted(r.doc_id for r in both.collect()) == [1, 2, 3]
     globbed = delimited.read_delimited(spark, [str(tmp_path / "data*" / "part-*" / "part-*")])
     assert sorted(r.doc_id for r in globbed.collect()) == [1, 2, 3]

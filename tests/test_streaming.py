@@ -19,7 +19,9 @@ def test_parts_last_wins(spark, tmp_path):
     q = start_part_ingest(spark, str(src / "part*"), store, str(tmp_path / "ckpt"),
                           max_files_per_trigger=1)
     q.awaitTermination()
-    epochs = os.listdir(store.path("postings_parts"))
+    runs = [r for r in os.listdir(store.path("postings_parts")) if r.startswith("run=")]
+    assert len(runs) == 1
+    epochs = os.listdir(os.path.join(store.path("postings_parts"), runs[0]))
     assert len([e for e in epochs if e.startswith("epoch=")]) == 2
     got = {(r.term, r.doc_id): r.tf for r in merged_postings(spark, store).collect()}
     assert got == {("new", 1): 1, ("dog", 1): 1, ("text", 1): 1,
@@ -36,3 +38,19 @@ def test_parts_last_wins(spark, tmp_path):
     for t in ("weights_bm25", "weights_tfidf"):
         a, b = store.read(t).select(*cols), batch.read(t).select(*cols)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_another_checkpoint_adds_to_the_store(spark, tmp_path):
+    """Two runs with checkpoints of their own: nothing is lost, the later version wins."""
+    store = IndexStore(spark, str(tmp_path / "index"))
+    for name, rows in (("a", [(1, "one cat", "en", "s", 7), (2, "two", "en", "s", 3)]),
+                       ("b", [(2, "two dogs", "en", "s", 8), (3, "three", "en", "s", 5)])):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(str(tmp_path / name))
+        start_part_ingest(spark, str(tmp_path / name), store, str(tmp_path / f"ckpt-{name}")).awaitTermination()
+    got = {(r.term, r.doc_id) for r in merged_postings(spark, store).collect()}
+    assert got == {("one", 1), ("cat", 1), ("two", 2), ("dogs", 2), ("three", 3)}
+    finish_index(spark, store)
+    from lodestar.plans.build import ALL_TABLES
+    assert all(os.path.isdir(store.path(t)) for t in ALL_TABLES)
+    assert {r.doc_id for r in SearchIndex(store).bigram_substring("two dogs").collect()} == {2}
+    assert SearchIndex(store).proximity("two", "dogs").count() == 1

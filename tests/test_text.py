@@ -50,3 +50,22 @@ def test_stop_word_only_as_whole_token(spark, corpus_of):
 def test_title_and_byline_are_indexed_headline_is_not(spark, corpus_of):
     c = corpus_of([(1, "Title", "Byline", "Body", "Headline only")])
     assert [r.token for r in tokens(c, "t1").orderBy("pos").collect()] == ["title", "byline", "body"]
+
+
+def test_patterns_are_the_fixed_values():
+    """Literal copies, so that a slip in the code under test is not repeated by its oracle."""
+    from lodestar.functions import markup, text
+    assert text.T1_PATTERN == r"(\pP)|(\pS)|(\d)|(\s)|(null)|(amp)|(quot)"
+    assert text.T1B_PATTERN == r"(\pP)|(\pS)|(\d+)|(\s)|(null)|(amp)|(quot)"
+    assert text.T3_PATTERN == r"(\pP)|(\pS)|(\s)|(null)|(amp)|(quot)"
+    assert text.T4_DELETE_PATTERN == r"(\pS)|(\d+)"
+    assert text.T4_SPACE_PATTERN == r"(\pP)|(\s)|(null)|(amp)|(quot)"
+    assert text.STOP_WORDS == tuple(
+        "a the of an that at in without within between this these those their his her its my".split())
+    assert markup.MARKUP_PATTERN == r"(<p>)|(</p>)|(&quot;)|(&amp;)|(\n)"
+
+
+def test_t1b_takes_digit_runs_as_one_gap(spark, corpus_of):
+    from lodestar.operators import index
+    got = index.token_stream(corpus_of([(1, "a12b 3 c")]), "t1b").orderBy("pos").collect()
+    assert [r.token for r in got] == ["a", "b", "c"]
