@@ -30,7 +30,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of line runs are deleted; documents of which nothing is left go."""
-    return line_dedup.dedup_lines(docs, keep_rows=False)[0]
+    return line_dedup.dedup_lines(docs, keep_rows=False)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

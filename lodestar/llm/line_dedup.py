@@ -68,7 +68,7 @@ def _intervals(suffixes: DataFrame) -> DataFrame:
 
 def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, long_line: int = LONG_LINE) -> DataFrame:
     """``(doc_id, t, seq, lines)``: windows that are later copies; ``lines`` is 1 or ``min_lines``."""
-    lines = line_ids(docs)
+    lines = stage(line_ids(docs), "line-ids")
     level = lines.select("doc_id", "t", "seq", "words", F.col("id").alias("a"), F.lit(0).cast("bigint").alias("b"))
     depth, out = 1, []
     lead = (F.col("a") / 2.0 ** 64) + 0.5  # hashes are spread evenly
@@ -104,26 +104,29 @@ def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, long_line: int =
     return runs
 
 
-def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, long_line: int = LONG_LINE,
-                keep_rows: bool = True) -> tuple[DataFrame, DataFrame]:
-    """``docs`` with repeated runs removed from ``text`` (and ``n_chars`` brought in line), and
-    the removed lines ``(doc_id, t, gone)``: their places in each changed text."""
+def _changed(docs: DataFrame, min_lines: int, long_line: int) -> DataFrame:
+    """Every row of ``docs`` as ``_row``, with the lines that go (``_gone``, null if none) and
+    the text that stays (``_text``)."""
     windows = repeated_runs(docs, min_lines, long_line)
     gone_seq = windows.select("doc_id", "t", F.explode(F.expr("sequence(seq, seq + lines - 1)")).alias("seq"))
-    of_doc = gone_seq.groupBy("doc_id", "t").agg(F.collect_set("seq").alias("gone"))
-    removed = stage(of_doc, "line-removed")
+    # of one document, so no longer than that
+    removed = gone_seq.groupBy("doc_id", "t").agg(F.collect_set("seq").alias("gone"))
     inner = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("bigint").alias("_id"),
                         F.xxhash64("text").alias("_t"))
     both = inner.join(removed.toDF("_doc", "_hash", "_gone"),
                       F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_t") == F.col("_hash")), "left")
     lines = F.split("_row.text", "\n")
-    full = F.filter(F.sequence(F.lit(0), F.size(lines) - 1),
-                    lambda i: F.regexp_count(F.get(lines, i), F.lit(WORD)) > 0)
+    every = F.sequence(F.lit(0), F.size(lines) - 1)
+    full = F.filter(every, lambda i: F.regexp_count(F.get(lines, i), F.lit(WORD)) > 0)
     places = F.transform("_gone", lambda s: F.get(full, s))
-    kept = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), places),
-                                    lambda i: F.get(lines, i)), "\n")
-    text = F.when(F.col("_gone").isNull(), F.col("_row.text")).otherwise(kept)
-    changed = both.withColumn("_text", text)
+    kept = F.array_join(F.transform(F.array_except(every, places), lambda i: F.get(lines, i)), "\n")
+    return both.withColumn("_text", F.when(F.col("_gone").isNull(), F.col("_row.text")).otherwise(kept))
+
+
+def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, long_line: int = LONG_LINE,
+                keep_rows: bool = True) -> DataFrame:
+    """``docs`` with repeated runs removed from ``text``, and ``n_chars`` brought in line."""
+    changed = _changed(docs, min_lines, long_line)
     if not keep_rows:
         changed = changed.where(F.col("_gone").isNull() | F.col("_text").rlike(WORD))
     columns = []
@@ -134,4 +137,13 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, long_line: int = LO
         elif c == "n_chars":
             value = F.when(F.col("_gone").isNull(), value).otherwise(F.length("_text")).cast(docs.schema[c].dataType)
         columns.append(value.alias(c))
-    return changed.select(*columns), removed
+    return changed.select(*columns)
+
+
+def line_report(docs: DataFrame, min_lines: int = MIN_LINES, long_line: int = LONG_LINE) -> DataFrame:
+    """``(doc_id, n_lines, n_removed, kept)`` for every row of ``docs``."""
+    return _changed(docs, min_lines, long_line).select(
+        F.col("_id").alias("doc_id"),
+        F.when(F.col("_row.text").isNull(), 0).otherwise(F.size(F.split("_row.text", "\n"))).cast("bigint").alias("n_lines"),
+        F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("bigint").alias("n_removed"),
+        F.coalesce("_text", F.lit("")).alias("kept"))

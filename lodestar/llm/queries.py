@@ -12,6 +12,7 @@ from lodestar.llm import (
     suffix_dedup, warc_zip,
 )
 from lodestar.llm.common import read_table, tokenizer_path
+from lodestar.llm.oracle import ORACLE_SQL  # noqa: F401
 from lodestar.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,15 +56,8 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its lines, the removed ones, and the digest of the text that is left."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", F.col("text").alias("before"))
-    kept, _ = line_dedup.dedup_lines(docs)
-    lines = lambda c: F.coalesce(F.size(F.split(c, "\n")), F.lit(0))
-    left = F.when(F.col("text").isNull(), 0).when(
-        (F.col("text") == "") & (F.col("before") != ""), 0).otherwise(lines("text"))
-    return kept.select(
-        "doc_id", F.when(F.col("before").isNull(), 0).otherwise(lines("before")).cast("bigint").alias("n_lines"),
-        (F.when(F.col("before").isNull(), 0).otherwise(lines("before")) - left).cast("bigint").alias("n_removed"),
-        F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("kept_sha256"))
+    out = line_dedup.line_report(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,5 +87,3 @@ QUERIES: dict[str, Query] = {
     "op9_nearest": op9_nearest,
     "op10_mixing": op10_mixing,
 }
-
-ORACLE_SQL: dict[str, str] = {}

@@ -1,0 +1,365 @@
+"""Operators 1, 2, 3, 5, 9 and 10 on small odd inputs, against plain Python."""
+
+import hashlib
+import io
+import os
+import random
+import struct
+import zipfile
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from brute_llm import WORDS
+from lodestar.llm import imatch, langid, mixing, nearest, packing, warc_zip
+from lodestar.llm.common import tokenizer_path
+from lodestar.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+# ---------------------------------------------------------------- 1, fingerprints
+
+def test_fingerprints(frame, odd):
+    got = imatch.compare_edited(frame(odd)).collect()
+    order = sorted(odd, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    want = []
+    for n, (i, t) in enumerate(order):
+        t, after = t or "", order[(n + 1) % len(order)][1] or ""
+        cut = len(t) // 4
+        edit = t[:len(t) - cut] + after[:cut]
+        want.append((i, len(t), hashlib.sha256(edit.encode()).hexdigest()))
+    assert Counter(tuple(r)[:3] for r in got) == Counter(want)
+    text = {}
+    for r in got:
+        assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
+        if r["fingerprint"] == r["edited_fingerprint"]:
+            assert r["near_edited"] == 1
+    by_id = defaultdict(set)
+    for r in got:
+        by_id[r["doc_id"]].add(r["fingerprint"])
+    for i, t in odd:
+        if len(by_id[i]) == 1:
+            assert text.setdefault(t or "", by_id[i]) == by_id[i]
+    assert imatch.compare_edited(frame([])).collect() == []
+    one = imatch.compare_edited(frame([(5, "alpha beta gamma")])).first()
+    assert one["near_next"] == 1.0
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
+def test_fingerprints_know_edited_texts(spark):
+    r = QUERIES["op1_imatch"](spark, SF).agg(
+        F.avg("near_edited").alias("e"), F.avg("near_next").alias("n"),
+        F.avg((F.col("near_edited") > F.col("near_next")).cast("double")).alias("wins")).first()
+    assert r["e"] > 5 * r["n"] and r["wins"] > 0.9
+
+
+# ---------------------------------------------------------------- 2, archives
+
+PAGES = "page_id bigint, url string, html string, source string, digest int"
+
+
+def page_rows():
+    big, small = "<p>" + "x" * 200, "<p>tiny"
+    return [(7, "http://a/", big), (3, "http://b/", big), (9, None, big), (4, "u\r\nX: y", small), (5, "v", small),
+            (6, "w", None), (8, "w", ""), (None, "n", big), (3, "again", big), (10, "é", "é" * 80),
+            (11, "z", "z\r\n\r\nWARC/1.1\r\n" * 40), (12, "z", "a" * 300_000)]
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(*r, "s", 1) for r in rows], PAGES).repartition(3)
+
+
+def archive_rows(spark, tmp_path, rows):
+    planned = warc_zip.plan_records(pages(spark, rows))
+    packages = warc_zip.write_packages(planned, str(tmp_path / "warc"))
+    return packages, warc_zip.read_records(warc_zip.record_ranges(packages, limit=2000)).select(
+        warc_zip.page_of("record_id").alias("page_id"), "target_uri", "payload", "payload_digest", "payload_bytes",
+        "record_type", warc_zip.page_of("refers_to").alias("refers_to"))
+
+
+def test_archives(spark, tmp_path):
+    rows = page_rows()
+    packages, records = archive_rows(spark, tmp_path, rows)
+    first = {}
+    for i, _, h in rows:
+        if i is not None:
+            first[h or ""] = min(first.get(h or "", i), i)
+    want = []
+    for i, _, h in rows:
+        data = (h or "").encode()
+        again = i is not None and len(data) >= 100 and i > first[h or ""]
+        want.append((i, None if again else data, hashlib.sha256(data).hexdigest(), len(data),
+                     "revisit" if again else "response", first[h or ""] if again else None))
+    got = [(r[0], None if r[2] is None else bytes(r[2]), *tuple(r)[3:]) for r in records.collect()]
+    assert Counter(got) == Counter(want)
+    for r in packages.collect():
+        with zipfile.ZipFile(r["path"]) as z:
+            assert z.testzip() is None
+            assert {i.compress_type for i in z.infolist()} == {zipfile.ZIP_STORED}
+    assert archive_rows(spark, tmp_path / "none", [])[1].collect() == []
+
+
+def make_zip(wide: bool) -> bytes:
+    """A package written by hand; ``wide`` keeps all sizes and places in ZIP64 fields."""
+    record = zlib.compressobj(6, zlib.DEFLATED, 31)
+    data = record.compress(warc_zip.make_record(1, "u", b"abc", hashlib.sha256(b"abc").hexdigest(), "response", None))
+    data += record.flush()
+    plain = warc_zip.make_record(2, "u", b"", hashlib.sha256(b"").hexdigest(), "response", None)
+    out, entries = io.BytesIO(), []
+    for name, body in ((b"archive/a.warc.gz", data + data), (b"x.txt", b"other"), (b"archive/b.warc", plain)):
+        at, crc = out.tell(), zlib.crc32(body)
+        out.write(struct.pack("<IHHHHHIIIHH", 0x04034B50, 45, 0, 0, 0, 0, crc, len(body), len(body), len(name), 0))
+        out.write(name + body)
+        extra, sizes, place = b"", (len(body), len(body)), at
+        if wide:
+            extra = struct.pack("<HHQQQ", 1, 24, len(body), len(body), at)
+            sizes, place = (0xFFFFFFFF, 0xFFFFFFFF), 0xFFFFFFFF
+        entries.append(struct.pack("<IHHHHHHIIIHHHHHII", 0x02014B50, 45, 45, 0, 0, 0, 0, crc, *sizes, len(name),
+                                   len(extra), 0, 0, 0, 0, place) + name + extra)
+    start = out.tell()
+    directory = b"".join(entries)
+    out.write(directory)
+    if wide:
+        end = out.tell()
+        out.write(struct.pack("<IQHHIIQQQQ", 0x06064B50, 44, 45, 45, 0, 0, 3, 3, len(directory), start))
+        out.write(struct.pack("<IIQI", 0x07064B50, 0, end, 1))
+        out.write(struct.pack("<IHHHHIIH", 0x06054B50, 0, 0, 0xFFFF, 0xFFFF, 0xFFFFFFFF, 0xFFFFFFFF, 0))
+    else:
+        out.write(struct.pack("<IHHHHIIH", 0x06054B50, 0, 0, 3, 3, len(directory), start, 4) + b"note")
+    return out.getvalue()
+
+
+@pytest.mark.parametrize("wide", [False, True])
+def test_foreign_packages_without_index(spark, tmp_path, wide):
+    path = str(tmp_path / "a.zip")
+    with open(path, "wb") as f:
+        f.write(make_zip(wide))
+    frame = spark.createDataFrame([(path,)], "path string")
+    got = warc_zip.read_records(warc_zip.record_ranges(frame)).collect()
+    assert sorted((r["record_id"], bytes(r["payload"])) for r in got) == [
+        ("urn:page:1", b"abc"), ("urn:page:1", b"abc"), ("urn:page:2", b"")]
+
+
+def test_damage_is_found(spark, tmp_path):
+    with pytest.raises(ValueError):
+        warc_zip.directory(io.BytesIO(b"no archive"), 10)
+    member = {"name": "a.warc", "method": 8, "header": 0}
+    with pytest.raises(ValueError):
+        warc_zip.data_offset(io.BytesIO(b""), member)
+
+
+# ---------------------------------------------------------------- 3, packing
+
+def check_pieces(texts, pieces):
+    """``texts``: rows of (id, text); every token in one piece, sequences gapless and full."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    want, sequences = Counter(), defaultdict(list)
+    rows = [(i, tokenizer.encode(t or "", add_special_tokens=False).ids + [1]) for i, t in texts]
+    for i, ids in rows:
+        want[i] += len(ids)
+    for r in pieces:
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+        want[r["doc_id"]] -= r["length"]
+        ids = [x for j, x in rows if j == r["doc_id"] and len(x) == r["doc_tokens"]]
+        parts = [np.array(x[r["start"]:r["start"] + r["length"]], "<u4") for x in ids]
+        assert r["ids_crc32"] in [zlib.crc32(p.tobytes()) for p in parts]
+        assert any(p.tolist() == r["ids"] for p in parts)
+    assert not any(want.values())
+    padding = 0
+    for x in sequences.values():
+        at = 0
+        for offset, length in sorted(x):
+            assert offset == at and length > 0
+            at += length
+        assert at <= 2048
+        padding += 0 if at & (at - 1) == 0 else 2048 - at
+    return padding
+
+
+def test_packing(frame, odd):
+    rows = odd + [(200 + i, "word " * (100 * i)) for i in range(40)] + [(300, "nul\x00 <|endoftext|> Ⅷ ǅ İ ² x̧̂")]
+    assert check_pieces(rows, packing.pack(frame(rows), tokenizer_path()).collect()) == 0
+    assert packing.pack(frame([]), tokenizer_path()).collect() == []
+
+
+def test_many_equal_lengths_use_the_plan(frame):
+    rows = [(i, "word " * (1023 if i % 2 else 500 + i % 7)) for i in range(300)]
+    got = packing.pack(frame(rows), tokenizer_path(), with_ids=False).collect()
+    whole = sum(r["length"] == r["doc_tokens"] for r in got)
+    assert whole > 140  # pairs of 1024 are planned, not cut
+
+
+def test_word_tokenizer_equals_the_library():
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokenizer_path())
+    ours = packing.WordTokenizer(tokenizer_path())
+    assert ours.by_word
+    rng = random.Random(1)
+    signs = "abcABC'sdtmÀéßøŁıſ0129²½ªº.,;!?-_$€\"\t\n\r    <|>x́  \x1c中文"
+    texts = ["", "'s don't I'LL", "a<|endoftext|>b", "ſ İ ǅ", "x" * 300] + [
+        "".join(rng.choice(signs[:rng.choice([30, 55, len(signs)])]) for _ in range(rng.randrange(60)))
+        for _ in range(500)]
+    for t, ids in zip(texts, ours(texts)):
+        assert np.frombuffer(ids, ours.kind).tolist() == library.encode(t, add_special_tokens=False).ids, t
+
+
+def test_least_squares_meet_the_histogram():
+    rng = np.random.default_rng(4)
+    combos = packing.combinations(64)
+    assert (combos.sum(axis=1) == 64).all()
+    x = np.zeros(len(combos))
+    x[rng.choice(len(x), 30, replace=False)] = rng.integers(20, 200, 30)
+    histogram = sum(np.bincount(combos[:, i], weights=x, minlength=64) for i in range(3))
+    histogram[0] = 0
+    entries = packing.plan(histogram.astype(np.int64), 64)
+    used = Counter()
+    places = defaultdict(Counter)
+    for length, first, end, sequence, at in entries:
+        used[length] += end - first
+        for k in range(end - first):
+            places[sequence + k][at] += length
+    assert all(used[n] <= histogram[n] for n in used)
+    assert sum(n * c for n, c in used.items()) > 0.8 * sum(n * c for n, c in enumerate(histogram))
+    assert all(sum(x.values()) == 64 for x in places.values())
+
+
+# ---------------------------------------------------------------- 5, languages
+
+def test_languages_of_held_out_texts(spark):
+    if not os.path.isdir(SF):
+        pytest.skip("driver tables not present")
+    out = QUERIES["op5_language_id"](spark, SF)
+    truth = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
+    r = out.where("held_out").join(truth, "doc_id").agg(
+        F.avg((F.col("lang") == F.col("lang_pred")).cast("double")), F.min("score"), F.max("score"),
+        F.avg(F.col("accepted").cast("double"))).first()
+    assert r[0] > 0.97 and 0 <= r[1] <= r[2] <= 1 and r[3] > 0.99
+
+
+def test_languages_of_odd_texts(spark):
+    rows = [(i, t, lang) for i, (t, lang) in enumerate(
+        [("the cat and the dog " * k, "en") for k in range(1, 8)] + [("le chat et le chien " * k, "fr") for k in range(1, 8)]
+        + [(None, "en"), ("", "fr"), ("123 !", "en"), ("the cat", None)])] + [(None, "the dog", "xx")]
+    docs = spark.createDataFrame([(*r, "x", 1.0) for r in rows],
+                                 "doc_id bigint, text string, lang string, lang_pred string, score double")
+    model = langid.fit(docs)
+    assert model.languages == ["en", "fr"]
+    out = langid.predict(docs.select("doc_id", "text"), model, ["doc_id"]).collect()
+    by = {r["doc_id"]: (r["lang_pred"], r["accepted"]) for r in out}
+    assert all(by[i] == (lang, True) for i, t, lang in rows if i is not None and t and t[0] in "tl" and lang)
+    assert all(by[i] == ("und", False) for i in (14, 15, 16)) and by[None][0] == "en"
+    far = spark.createDataFrame([(1, "Ж" * 50), (2, "the dog and the cat")], "doc_id bigint, text string")
+    assert {r["doc_id"]: r["accepted"] for r in langid.predict(far, model, ["doc_id"]).collect()} == {1: False, 2: True}
+    nothing = langid.fit(docs.where("false"))
+    assert {r["lang_pred"] for r in langid.predict(far, nothing, ["doc_id"]).collect()} == {"und"}
+    assert langid.predict(far.where("false"), model, ["doc_id"]).collect() == []
+
+
+def test_training_rows_are_bounded_and_repeatable(spark):
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"),
+                                    F.when(F.col("id") % 10 < 9, "big").otherwise("small").alias("lang"))
+    n = {r["lang"]: r["count"] for r in langid.training_rows(docs, 50).groupBy("lang").count().collect()}
+    assert n == {"big": 50, "small": 50}
+    few = langid.training_rows(docs.where("doc_id < 30"), 50).groupBy("lang").count().collect()
+    assert {r["lang"]: r["count"] for r in few} == {"big": 27, "small": 3}
+
+
+# ---------------------------------------------------------------- 9, neighbours
+
+def brute_nearest(rows, k, every=5):
+    good = {}
+    for i, v in rows:
+        if i is not None and v and None not in v and all(np.isfinite(v)) and any(v):
+            good[i] = max(good.get(i, v), v)
+    out = []
+    for q in good:
+        if q % every == 0:
+            found = sorted((-nearest.cosine(np.array(good[q], float), np.array(v, float)), i)
+                           for i, v in good.items() if i != q and len(v) == len(good[q]))[:k]
+            out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(found)]
+    return out
+
+
+def test_neighbours(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=8).round(3).tolist()) for i in range(200)]
+    rows += [(200 + i, rows[3][1]) for i in range(40)]  # one vector that many share
+    rows += [(300, None), (301, []), (302, [0.0] * 8), (303, [1.0, None] + [1.0] * 6), (305, [float("nan")] * 8),
+             (310, [float("inf")] + [1.0] * 7), (None, [1.0] * 8), (3, rows[3][1]), (7, rows[9][1]),
+             (315, [1.0, 2.0]), (316, [1.0, 2.5]), (320, [x * 1e-200 for x in rows[5][1]]), (-5, rows[3][1])]
+    frame = spark.createDataFrame([(i, v, 1, "s") for i, v in rows], "id bigint, v array<double>, node int, score string")
+    got = nearest.nearest(frame, "id", "v", F.col("id") % 5 == 0, k=5, block=16, stripe=32).collect()
+    want = brute_nearest(rows, 5)
+    assert sorted(tuple(r)[:3] for r in got) == sorted(x[:3] for x in want)
+    scores = {x[:3]: x[3] for x in want}
+    assert all(abs(r["score"] - scores[tuple(r)[:3]]) < 1e-12 for r in got)
+    assert nearest.nearest(frame.where("false"), "id", "v", F.col("id") % 5 == 0).collect() == []
+
+
+# ---------------------------------------------------------------- 10, mixing
+
+def test_targets_stop_at_the_cap():
+    sizes, weights = np.array([100, 10, 1000, 0]), np.array([5.0, 2.0, 1.0, 5.0])
+    t = mixing.targets(sizes, weights, 3)
+    assert t.tolist() == [300, 30, 780, 0]
+    assert mixing.targets(np.array([50, 50]), np.array([5.0, 2.0]), 3).sum() == pytest.approx(100)
+
+
+def test_mixing(frame, odd):
+    rows = odd + [(400 + i, "w " * (i * 3)) for i in range(60)]
+    docs = frame(rows)
+    got = mixing.taken_words(*mixing.mix(docs, block=64)).collect()
+    source = {r["doc_id"]: r["source"] for r in docs.select("doc_id", "source").collect()}
+    size = [(i, len(WORDS.findall(t or ""))) for i, t in rows]
+    assert Counter((r["doc_id"], r["size"]) for r in got) == Counter(size)
+    total, taken, target = Counter(), Counter(), {}
+    for i, n in size:
+        total[source[i]] += n
+    for r in got:
+        s = source[r["doc_id"]]
+        assert 0 <= r["taken"] <= 3 * r["size"] and r["source_size"] == total[s]
+        taken[s] += r["taken"]
+        target[s] = r["target"]
+    names = sorted(total, key=lambda s: (s is None, s or ""))
+    want = mixing.targets(np.array([total[s] for s in names]), np.array([[5.0, 2.0, 1.0][i % 3] for i in range(len(names))]), 3)
+    assert [target[s] for s in names] == pytest.approx(want.tolist())
+    assert all(abs(taken[s] - target[s]) <= 0.5 for s in names)
+    assert Counter(map(tuple, mixing.taken_words(*mixing.mix(docs.repartition(7), block=64)).collect())) == Counter(
+        map(tuple, got))
+    assert mixing.taken_words(*mixing.mix(frame([]))).collect() == []
+
+
+def test_every_stretch_of_slots_follows_the_shares(spark):
+    take = np.array([500, 200, 100]) * 64
+    slots = mixing._schedule(spark, take, 64).orderBy("slot").collect()
+    numbers = np.array([r["number"] for r in slots])
+    assert np.bincount(numbers).tolist() == [500, 200, 100]
+    for n in range(3):
+        ranks = [r["rank"] for r in slots if r["number"] == n]
+        assert sorted(ranks) == list(range(len(ranks)))
+    for a in range(0, 700, 100):
+        part = np.bincount(numbers[a:a + 100], minlength=3)
+        assert np.abs(part - np.array([62.5, 25, 12.5])).max() <= 4
+
+
+def test_mixed_documents_repeat_and_end_at_the_target(frame):
+    rows = [(i, f"d{i} " + "x " * 9) for i in range(1, 40)] + [(5, "d5 " + "x " * 9)]
+    docs = frame(rows)
+    out = mixing.mixed_documents(docs, block=16)
+    assert out.columns == docs.columns
+    words = Counter()
+    for r in out.collect():
+        words[r["doc_id"]] += len(WORDS.findall(r["text"]))
+        assert r["text"].startswith(f"d{r['doc_id']}")
+    want = Counter()
+    for r in mixing.taken_words(*mixing.mix(docs, block=16)).collect():
+        want[r["doc_id"]] += r["taken"]
+    assert {i: n for i, n in want.items() if n} == dict(words)
+    assert mixing.mixed_documents(frame([])).collect() == []
