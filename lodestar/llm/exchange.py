@@ -9,6 +9,7 @@ document.  The texts are shuffled once: every step reads the same exchange by ``
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -44,13 +45,13 @@ class Deal:
         return cls([row[i % len(row)] for i in range(k) for row in rows], [row[0] for row in rows])
 
     def group(self, number: F.Column) -> F.Column:
-        return _pick(self.groups, F.pmod(number, F.lit(len(self.groups))))
+        return pick(self.groups, F.pmod(number, F.lit(len(self.groups))))
 
     def by_bucket(self, asks: DataFrame):
-        return asks.withColumn("place", _pick(self.buckets, F.col("bucket"))).groupBy("place")
+        return asks.withColumn("place", pick(self.buckets, F.col("bucket"))).groupBy("place")
 
 
-def _pick(labels: list[int], number: F.Column) -> F.Column:
+def pick(labels: list[int], number: F.Column) -> F.Column:
     return F.get(F.expr(f"array({', '.join(map(str, labels))})"), number.cast("int"))
 
 
@@ -80,10 +81,22 @@ def unpack_bits(data: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(data, np.uint8), count=n).astype(bool)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on between groups, and allocators keep
+    what the largest one took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim:
+        trim(0)
+
+
 def on_table(func: Callable, **bound) -> Callable:
     """``func`` with settings bound, in the annotated form that ``applyInArrow`` asks for."""
     def run(table: pa.Table) -> pa.Table:
-        return func(table, **bound)
+        try:
+            return func(table, **bound)
+        finally:
+            give_back()
     run.__name__ = func.__name__.strip("_")  # as the plan shows it
     return run
 
@@ -91,7 +104,10 @@ def on_table(func: Callable, **bound) -> Callable:
 def on_tables(func: Callable, **bound) -> Callable:
     """The same for cogrouped tables."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        return func(left, right, **bound)
+        try:
+            return func(left, right, **bound)
+        finally:
+            give_back()
     run.__name__ = func.__name__.strip("_")
     return run
 

@@ -4,9 +4,11 @@
   with an inverse document frequency ``ln(N / df)`` in a band.  The upper end bounds it: the
   document frequencies add up to N times the mean number of terms, so at most
   ``mean * exp(idf_high)`` terms reach it, however many documents there are.
-* A document's terms in the lexicon, distinct and sorted, are hashed as a whole (the classic
-  signature) and in randomised subsets of the lexicon of several densities.  Dense subsets
-  tell short texts apart, sparse ones survive edits of long texts.
+* A document's distinct terms in the lexicon are hashed as a whole (the classic signature)
+  and in randomised subsets of the lexicon of several densities.  Dense subsets tell short
+  texts apart, sparse ones survive edits of long texts.  Sorting only makes the hash of a set
+  independent of order; here the exclusive or of the terms' hashes does that, so the sets are
+  hashed by a plain aggregate and never collected.
 * Likeness of two fingerprints is the share of equal fields among those that one of them has:
   of all fields, or of one density that fills half of its fields, whichever is largest (the
   density with about one term in a subset fits the text best).
@@ -25,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.llm.common import shuffle_partitions, stage
+from lodestar.llm.exchange import Deal, pick
 
 IDF_LOW, IDF_HIGH = 1.5, 7.5
 DENSITIES = (4, 16, 64, 256)
@@ -32,7 +35,7 @@ SUBSETS = 12  # of each density
 BROADCAST_TERMS = 2_000_000  # 16 bytes each; a larger lexicon is joined by shuffle
 
 MARKS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-EMPTY = "-"
+MARK = "\x00"  # no term holds it
 
 
 def terms(text: F.Column) -> F.Column:
@@ -49,36 +52,51 @@ def lexicon(docs: DataFrame, idf_low: float = IDF_LOW, idf_high: float = IDF_HIG
 
 
 def fingerprints(texts: DataFrame, lex: DataFrame, key: list[str]) -> DataFrame:
-    """``(*key, fields)``: the fingerprint fields of each row of ``texts(*key, text)`` that has
-    terms in the lexicon."""
+    """``(*key, fields)`` for each row of ``texts(*key, text)``: 32 bits of the hash of the
+    document's terms in the lexicon, and of those in each subset of it; null where none is.
+
+    Rows are grouped where they lie if they are partitioned by a part of the key.
+    """
     if lex.count() <= BROADCAST_TERMS:
         lex = F.broadcast(lex)
-    found = (texts.select(*key, F.explode(terms(F.col("text"))).alias("term"))
-             .select(*key, F.xxhash64("term").alias("h")).join(lex, "h"))
-    sets = found.groupBy(*key).agg(F.sort_array(F.collect_list("h")).alias("hs"))
-    subsets = F.array(*[F.struct(F.lit(d * 1000 + i).alias("seed"), F.lit(d).alias("density"))
-                        for d in DENSITIES for i in range(SUBSETS)])
-    inside = F.transform(subsets, lambda s: F.filter(
-        "hs", lambda h: F.pmod(F.xxhash64(h, s["seed"]), s["density"]) == 0))
-    fields = F.transform(inside, lambda a: F.when(F.size(a) == 0, F.lit(EMPTY)).otherwise(short(a)))
-    return sets.select(*key, F.concat(F.array(short(F.col("hs"))), fields).alias("fields"))
-
-
-def short(value: F.Column) -> F.Column:
-    """32 bits of a hash in hexadecimal."""
-    return F.substring(F.lpad(F.hex(F.xxhash64(value)), 16, "0"), 9, 8)
-
-
-def likeness(a: str, b: str) -> F.Column:
+    # the mark is in the lexicon, so that texts without a term of it stay
+    marked = texts.select(*key, F.explode(F.array_append(terms(F.col("text")), MARK)).alias("term"))
+    found = marked.select(*key, F.xxhash64("term").alias("h")).join(lex, "h")
+    value = F.when(F.col("h") != F.xxhash64(F.lit(MARK)), F.xxhash64("h", F.lit(7)))
+    words, inside = [], [F.lit(True)]
+    for density in DENSITIES:
+        bits = density.bit_length() - 1  # a subset takes one value of as many bits of a hash
+        per_word = 64 // bits
+        for i in range(SUBSETS):
+            name = f"r{density}_{i // per_word}"
+            if i % per_word == 0:
+                words.append(F.xxhash64("h", F.lit(density * 1000 + i)).alias(name))
+            inside.append(F.shiftright(name, i % per_word * bits).bitwiseAND(density - 1) == 0)
+    sums = found.select(*key, value.alias("value"), *words).groupBy(*key).agg(
+        *[F.bit_xor(F.when(x, F.col("value"))).alias(f"f{i}") for i, x in enumerate(inside)])
+    return sums.select(*key, F.array(*[
+        F.shiftright(f"f{i}", 32).cast("int") for i in range(len(inside))]).alias("fields"))
+
+
+def shown(fields: str, plain: str) -> F.Column:
+    """A fingerprint as text; ``plain`` stands for texts without a term in the lexicon."""
+    parts = F.transform(fields, lambda x: F.coalesce(F.lpad(F.hex(x.cast("bigint").bitwiseAND(0xFFFFFFFF)), 8, "0"),
+                                                     F.lit("-")))
+    return F.when(F.get(fields, 0).isNull(), F.concat(F.lit("="), F.hex(plain))).otherwise(
+        F.array_join(parts, " "))
+
+
+def likeness(a: str, plain_a: str, b: str, plain_b: str) -> F.Column:
     """Share of equal fields among those that one of two fingerprints has."""
-    same = F.zip_with(a, b, lambda x, y: F.when((x == EMPTY) & (y == EMPTY), None).otherwise(x == y))
+    same = F.zip_with(a, b, lambda x, y: F.when(x.isNotNull() | y.isNotNull(), x.eqNullSafe(y)))
     shares = []
     for start, length, least in [(1, 1 + SUBSETS * len(DENSITIES), 1)] + [
             (2 + i * SUBSETS, SUBSETS, SUBSETS // 2) for i in range(len(DENSITIES))]:
         part = F.slice(same, start, length)
         some = F.size(F.filter(part, lambda p: p.isNotNull()))
         shares.append(F.when(some >= least, F.size(F.filter(part, lambda p: p)) / some))
-    return F.greatest(*shares)
+    neither = F.get(a, 0).isNull() & F.get(b, 0).isNull()
+    return F.when(neither, (F.col(plain_a) == F.col(plain_b)).cast("double")).otherwise(F.greatest(*shares))
 
 
 def in_order(docs: DataFrame) -> DataFrame:
@@ -112,6 +130,9 @@ def in_order(docs: DataFrame) -> DataFrame:
         F.col("p.bucket").alias("bucket"), F.col("p.guard").alias("guard"), "doc_id", "key", "text"
     ).where("bucket is not null")
     w = Window.partitionBy("bucket").orderBy("guard", "key", "text")
+    # a label for each range, so that every task gets one
+    labels = Deal.of(docs.sparkSession).buckets
+    both = both.withColumn("bucket", pick(labels, F.col("bucket")))
     return both.select("bucket", F.row_number().over(w).alias("place"), "guard", "doc_id", "text",
                        F.lead("text").over(w).alias("next_text"))
 
@@ -129,29 +150,24 @@ def compare_edited(docs: DataFrame, idf_low: float = IDF_LOW, idf_high: float =
 
     ``(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next)``
     """
-    lex = lexicon(docs, idf_low, idf_high)
-    rows = in_order(docs).withColumn("edited", edited())
-    key = ["bucket", "place", "version"]
-    versions = rows.select("bucket", "place", F.explode(F.array(
-        F.struct(F.lit(0).alias("version"), "text"),
-        F.struct(F.lit(1).alias("version"), F.col("edited").alias("text")))).alias("v")).select(
-        "bucket", "place", "v.version", "v.text")
-    prints = fingerprints(versions, lex, key).groupBy("bucket", "place").agg(
-        F.max(F.when(F.col("version") == 0, F.col("fields"))).alias("own"),
-        F.max(F.when(F.col("version") == 1, F.col("fields"))).alias("other"))
-    blank = F.array_repeat(F.lit(EMPTY), len(DENSITIES) * SUBSETS)
-
-    def plain(c: str) -> F.Column:  # of a text without a term in the lexicon
-        return F.concat(F.array(F.concat(F.lit("="), short(F.col(c)), short(F.concat(F.lit("="), c)))), blank)
-
-    base = rows.select("bucket", "place", "guard", "doc_id", F.length("text").cast("bigint").alias("n_chars"),
-                       F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-                       plain("text").alias("plain"), plain("edited").alias("plain_edited"))
-    full = base.join(prints, ["bucket", "place"], "left").select(
-        "bucket", "place", "guard", "doc_id", "n_chars", "edited_sha256",
-        F.coalesce("own", "plain").alias("f"), F.coalesce("other", "plain_edited").alias("e"))
-    after = full.withColumn("next", F.lead("f").over(Window.partitionBy("bucket").orderBy("place")))
+    lex = lexicon(docs, idf_low, idf_high).unionByName(
+        docs.sparkSession.range(1).select(F.xxhash64(F.lit(MARK)).alias("h")))
+    about = ["bucket", "place", "guard", "doc_id", "n_chars", "edited_sha256", "plain", "edited_plain"]
+    rows = in_order(docs).withColumn("edited", edited()).select(
+        "bucket", "place", "guard", "doc_id", F.length("text").cast("bigint").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        F.xxhash64("text").alias("plain"), F.xxhash64("edited").alias("edited_plain"),
+        F.explode(F.array(F.struct(F.lit(0).alias("version"), "text"),
+                          F.struct(F.lit(1).alias("version"), F.col("edited").alias("text")))).alias("v"))
+    # the places of a bucket lie together, so nothing below is shuffled again
+    prints = fingerprints(rows.select(*about, "v.version", "v.text"), lex, [*about, "version"])
+    both = prints.groupBy(*about).agg(
+        F.max(F.when(F.col("version") == 0, F.col("fields"))).alias("f"),
+        F.max(F.when(F.col("version") == 1, F.col("fields"))).alias("e"))
+    w = Window.partitionBy("bucket").orderBy("place")
+    after = both.withColumn("next", F.lead("f").over(w)).withColumn("next_plain", F.lead("plain").over(w))
     return after.where("not guard").select(
-        "doc_id", "n_chars", "edited_sha256", F.concat_ws(" ", "f").alias("fingerprint"),
-        F.concat_ws(" ", "e").alias("edited_fingerprint"), likeness("f", "e").alias("near_edited"),
-        likeness("f", "next").alias("near_next"))
+        "doc_id", "n_chars", "edited_sha256", shown("f", "plain").alias("fingerprint"),
+        shown("e", "edited_plain").alias("edited_fingerprint"),
+        likeness("f", "plain", "e", "edited_plain").alias("near_edited"),
+        likeness("f", "plain", "next", "next_plain").alias("near_next"))
