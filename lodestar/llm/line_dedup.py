@@ -66,9 +66,8 @@ def _intervals(suffixes: DataFrame) -> DataFrame:
         F.first("words").alias("words")).where("first < last")
 
 
-def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, long_line: int = LONG_LINE) -> DataFrame:
+def repeated_runs(lines: DataFrame, min_lines: int = MIN_LINES, long_line: int = LONG_LINE) -> DataFrame:
     """``(doc_id, t, seq, lines)``: windows that are later copies; ``lines`` is 1 or ``min_lines``."""
-    lines = stage(line_ids(docs), "line-ids")
     level = lines.select("doc_id", "t", "seq", "words", F.col("id").alias("a"), F.lit(0).cast("bigint").alias("b"))
     depth, out = 1, []
     lead = (F.col("a") / 2.0 ** 64) + 0.5  # hashes are spread evenly
@@ -107,20 +106,23 @@ def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, long_line: int =
 def _changed(docs: DataFrame, min_lines: int, long_line: int) -> DataFrame:
     """Every row of ``docs`` as ``_row``, with the lines that go (``_gone``, null if none) and
     the text that stays (``_text``)."""
-    windows = repeated_runs(docs, min_lines, long_line)
-    gone_seq = windows.select("doc_id", "t", F.explode(F.expr("sequence(seq, seq + lines - 1)")).alias("seq"))
+    lines = stage(line_ids(docs), "line-ids")
+    windows = repeated_runs(lines, min_lines, long_line)
+    gone = windows.select("doc_id", "t", F.explode(F.expr("sequence(seq, seq + lines - 1)")).alias("seq"))
+    places = lines.alias("x").join(gone.distinct().alias("y"), [
+        F.col("x.doc_id").eqNullSafe(F.col("y.doc_id")), F.col("x.t") == F.col("y.t"),
+        F.col("x.seq") == F.col("y.seq")], "left_semi").select("x.doc_id", "x.t", "x.line")
     # of one document, so no longer than that
-    removed = gone_seq.groupBy("doc_id", "t").agg(F.collect_set("seq").alias("gone"))
+    removed = places.groupBy("doc_id", "t").agg(F.collect_set("line").alias("gone"))
     inner = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("bigint").alias("_id"),
                         F.xxhash64("text").alias("_t"))
     both = inner.join(removed.toDF("_doc", "_hash", "_gone"),
                       F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_t") == F.col("_hash")), "left")
-    lines = F.split("_row.text", "\n")
-    every = F.sequence(F.lit(0), F.size(lines) - 1)
-    full = F.filter(every, lambda i: F.regexp_count(F.get(lines, i), F.lit(WORD)) > 0)
-    places = F.transform("_gone", lambda s: F.get(full, s))
-    kept = F.array_join(F.transform(F.array_except(every, places), lambda i: F.get(lines, i)), "\n")
-    return both.withColumn("_text", F.when(F.col("_gone").isNull(), F.col("_row.text")).otherwise(kept))
+    # the lines are a column of their own: within a lambda they would be split anew each time
+    cut = both.withColumn("_lines", F.when(F.col("_gone").isNotNull(), F.split("_row.text", "\n")))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_gone")
+    kept = F.array_join(F.transform(stay, lambda i: F.get("_lines", i)), "\n")
+    return cut.withColumn("_text", F.when(F.col("_gone").isNull(), F.col("_row.text")).otherwise(kept))
 
 
 def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, long_line: int = LONG_LINE,
