@@ -34,7 +34,8 @@ from lodestar.llm.exchange import (
 
 LENGTH = 50
 Q = 24
-SCAN = 1 << 20  # windows whose anchors are found at once
+SCAN = 1 << 18  # windows whose anchors are found at once
+REFINED = 1 << 20  # bytes of contexts that are refined at once, about
 
 _ASK = "g int, bucket int, seen binary, keys binary, flags binary, docs binary, segments binary"
 _ASK_ARROW = pa.schema([("g", pa.int32()), ("bucket", pa.int32())]
@@ -48,17 +49,30 @@ _CONTEXT = SegmentHash(61)
 
 def _anchors(data: np.ndarray, length: int, q: int) -> np.ndarray:
     """The least gram hash of every ``length``-byte window of ``data``."""
-    out = np.empty(max(len(data) - length + 1, 0), U64)
-    for a in range(0, len(out), SCAN):
-        part = data[a:a + SCAN + length - 1]
-        x = grams8(part)
-        n = len(part) - q + 1
-        h = mix(x[:n])
-        for off in [*range(8, q - 8, 8), q - 8]:
-            h = mix(h + x[off:off + n])
-        m = sliding_min(h, length - q + 1)
-        out[a:a + len(m)] = m
-    return out
+    x = grams8(data)
+    n = len(data) - q + 1
+    h = mix(x[:n])
+    for off in [*range(8, q - 8, 8), q - 8]:
+        h = mix(h + x[off:off + n])
+    return sliding_min(h, length - q + 1)
+
+
+def _runs(data: np.ndarray, window: np.ndarray, length: int, q: int) -> tuple[np.ndarray, np.ndarray]:
+    """First windows of the runs of one anchor, and their anchors, some windows at a time."""
+    starts, anchors = [np.zeros(0, np.int64)], [np.zeros(0, U64)]
+    before = None  # the anchor of the window before the block, if there is one
+    for a in range(0, len(window), SCAN):
+        ok = window[a:a + SCAN]
+        m = _anchors(data[a:a + len(ok) + length - 1], length, q)
+        new = ok.copy()
+        new[1:] &= (m[1:] != m[:-1]) | ~ok[:-1]
+        if ok[0] and before is not None and m[0] == before:
+            new[0] = False
+        before = m[-1] if ok[-1] else None
+        at = np.flatnonzero(new)
+        starts.append(at + a)
+        anchors.append(m[at])
+    return np.concatenate(starts), np.concatenate(anchors)
 
 
 class _Group:
@@ -72,16 +86,14 @@ class _Group:
         self.size = np.fromiter(map(len, texts), np.int64, len(texts))
         self.offset = np.cumsum(self.size) - self.size
         count = np.maximum(self.size - length + 1, 0) * np.asarray(self.ids.is_valid())
-        text = np.repeat(np.arange(len(count)), count)
-        start = np.arange(len(text)) + np.repeat(self.offset - (np.cumsum(count) - count), count)
-        anchor = _anchors(self.data, length, q)[start]
-        new = np.ones(len(text), bool)
-        new[1:] = (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])
-        first = np.flatnonzero(new)
-        self.windows = np.diff(np.append(first, len(text)))
-        self.start = start[first]
-        self.anchor = anchor[first]
-        self.doc = self.ids.fill_null(0).to_numpy()[text[first]]
+        window = np.zeros(max(len(self.data) - length + 1, 0), bool)  # none crosses into the next text
+        for a, n in zip(self.offset.tolist(), count.tolist()):
+            window[a:a + n] = True
+        self.start, self.anchor = _runs(self.data, window, length, q)
+        text = np.searchsorted(self.offset, self.start, side="right") - 1
+        after = np.append(self.start[1:], len(self.data))
+        self.windows = np.minimum(after, (self.offset + count)[text]) - self.start
+        self.doc = self.ids.fill_null(0).to_numpy()[text]
         self.anchors, self.anchor_of = np.unique(self.anchor, return_inverse=True)
 
     def several(self) -> np.ndarray:
@@ -184,8 +196,8 @@ def _send_segments(docs: pa.Table, replies: pa.Table, length: int, q: int, bucke
         parts = np.flatnonzero(unpack_bits(flags, 2 * (y - x))[y - x:]) + x
         segments = [group.segment(c) for c in parts]
         sizes = np.fromiter(map(len, segments), np.int64, len(segments))
-        out.append((g, b, rows[b]["seen"], sizes.tobytes(), flags, group.least[parts].tobytes(),
-                    b"".join(segments)))
+        out.append((g, b, rows[b]["seen"], group.key[parts].tobytes() + sizes.tobytes(), flags,
+                    group.least[parts].tobytes(), b"".join(segments)))
     return rows_table(out, _ASK_ARROW)
 
 
@@ -222,23 +234,46 @@ def refine(data: np.ndarray, size: np.ndarray, length: int) -> np.ndarray:
 
 
 def _refine_segments(table: pa.Table, length: int) -> pa.Table:
-    rows = table.to_pylist()
-    sizes = [np.frombuffer(r["keys"], np.int64) for r in rows]
-    size = np.concatenate(sizes)
+    rows = table.select(["g", "bucket", "seen", "keys", "flags", "docs", "segments"]).to_pylist()
+    heads = [np.frombuffer(r["keys"], np.int64).reshape(2, -1) for r in rows]
+    anchor, size = np.concatenate(heads, axis=1)
+    doc = np.concatenate([np.frombuffer(r["docs"], np.int64) for r in rows])
     data = np.frombuffer(b"".join(r["segments"] for r in rows), np.uint8)
-    doc = np.repeat(np.concatenate([np.frombuffer(r["docs"], np.int64) for r in rows]), size)
-    ids, found = np.unique(refine(data, size, length), return_inverse=True)
-    least = np.full(len(ids), np.iinfo(np.int64).max)
-    np.minimum.at(least, found, doc)
-    below = (least[found] < doc) & (ids[found] > 0)
+    offset = np.cumsum(size) - size
+    below = np.zeros(len(data), bool)
+    # equal windows have equal anchors, so anchors are refined some at a time
+    order = np.argsort(anchor, kind="stable")
+    total = np.cumsum(size[order])
+    a = 0
+    while a < len(order):
+        b = max(a + 1, int(np.searchsorted(total, total[a] + REFINED)))
+        while b < len(order) and anchor[order[b]] == anchor[order[b - 1]]:
+            b += 1
+        part = order[a:b]
+        at = _places(offset[part], size[part])
+        below[at] = _least_below(data[at], size[part], np.repeat(doc[part], size[part]), length)
+        a = b
     out, at = [], 0
-    for r, s in zip(rows, sizes):
-        end = at + int(s.sum())
+    for r, head in zip(rows, heads):
+        end = at + int(head[1].sum())
         out.append((r["g"], r["bucket"], r["seen"], None, r["flags"], None, pack_bits(below[at:end])))
         at = end
     return rows_table(out, _ASK_ARROW)
 
 
+def _places(offset: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The indexes of all bytes of segments, one segment after the other."""
+    return np.repeat(offset - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
+def _least_below(data: np.ndarray, size: np.ndarray, doc: np.ndarray, length: int) -> np.ndarray:
+    """Whether a smaller document has the ``length`` bytes from a place on."""
+    ids, found = np.unique(refine(data, size, length), return_inverse=True)
+    least = np.full(len(ids), np.iinfo(np.int64).max)
+    np.minimum.at(least, found, doc)
+    return (least[found] < doc) & (ids[found] > 0)
+
+
 def _cut(docs: pa.Table, replies: pa.Table, length: int, q: int, buckets: int) -> pa.Table:
     if not docs.num_rows:
         return _OUT_ARROW.empty_table()
