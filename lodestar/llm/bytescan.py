@@ -127,12 +127,12 @@ def texts_of(column) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def batches(table, limit: int = 8 << 20, text: str = "text"):
-    """Slices of an Arrow table with about ``limit`` text bytes each (one row at least)."""
+def batches(table, limit: int = 8 << 20, text: str = "text", rows: int = 1 << 16):
+    """Slices of an Arrow table with about ``limit`` text bytes and ``rows`` rows at most."""
     import pyarrow.compute as pc
 
     size = np.asarray(pc.fill_null(pc.binary_length(table.column(text)), 0).to_numpy())
-    at = np.cumsum(size) // limit
+    at = np.cumsum(size) // limit + np.arange(len(size)) // rows
     cuts = [0, *(np.flatnonzero(np.diff(at)) + 1).tolist(), table.num_rows]
     for a, b in zip(cuts, cuts[1:]):
         if b > a:

@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from lodestar.llm.bytescan import batches, texts_of
 
 DIMS = 4096
+ROWS = 256  # vectors made at once
 PER_LANGUAGE = 256
 CENTROIDS = 4
 SLACK = 0.25
@@ -101,7 +102,7 @@ def fit(train: DataFrame, per_language: int = PER_LANGUAGE, centroids: int = CEN
     """The model of the labelled rows ``(doc_id, text, lang)``."""
     def run(it):
         for batch in it:
-            for part in batches(pa.Table.from_batches([batch]), 1 << 20):
+            for part in batches(pa.Table.from_batches([batch]), 1 << 20, rows=ROWS):
                 tf = counts(texts_of(part.column("text").combine_chunks())).astype(np.uint32)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("lang").combine_chunks(),
@@ -140,7 +141,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str] = ()) -> DataFrame:
     def run(it):
         m = shared.value
         for batch in it:
-            for part in batches(pa.Table.from_batches([batch]), 1 << 20, "_text"):
+            for part in batches(pa.Table.from_batches([batch]), 1 << 20, "_text", ROWS):
                 texts = part.column("_text").to_pylist()
                 raw = [(x or "").encode() for x in texts]
                 near = vectors(counts(raw), m.idf) @ m.centroids.T if m.languages else None
