@@ -14,10 +14,14 @@ sequence as one).  Two documents link when ``100 * |x & y| >= percent * |x | y|`
   share a signature: the candidates miss no link.  The number of subsets follows the size
   band (powers of two), so a prefix has about four tokens in each and the pairs stay linear
   in ``n``; a class indexes its own band and the next, where every possible partner lies.
-* Candidates are verified on whole sets.  First every member of a signature is held against
-  the signature's least class; the components found that way are contracted, and only pairs
-  of classes still in different components are verified after that.  A group of near copies
-  thus costs its size and not its square, and no link between components is lost.
+* Candidates are verified on whole sets.  First every class is held against the least class
+  that it shares most signatures with, then against the least class of the groups that still
+  span components: one pair a class and round.  Then only pairs of classes in different
+  components are left.  A group of near copies thus costs its size and not its square, and no
+  link between components is lost.
+* Before a pair's sets are read, its shared signatures are counted.  If a class indexes single
+  tokens only, ``p`` of its ``n``, the overlap is at most the shared ones plus ``n - p``: those of
+  the shorter-reaching prefix that the other set has lie in both prefixes.
 
 Hashes have 64 bits (128 for whole sets).  The sketch has a fixed size; it only orders tokens,
 so its errors cost time and never links.
@@ -141,26 +145,29 @@ def _band_signatures(tokens: np.ndarray, rare: int, tau: int, band: int) -> list
     return out
 
 
-def signatures(tokens: np.ndarray, hits: np.ndarray, frequent: int, percent: int) -> np.ndarray:
-    """Distinct signatures of a set; ``hits`` are the sketched counts of its tokens."""
+def signatures(tokens: np.ndarray, hits: np.ndarray, frequent: int,
+               percent: int) -> tuple[np.ndarray, int | None]:
+    """Distinct signatures of a set, and how many tokens lie beyond them if they are single
+    tokens only; ``hits`` are the sketched counts of the tokens."""
     n = len(tokens)
     tau = n - least_overlap(n, percent)
     tokens = tokens[np.lexsort((tokens, hits))]
     rare = int((hits <= frequent).sum())
     if rare > tau:
-        return np.sort(tokens[:tau + 1])
+        return np.sort(tokens[:tau + 1]), n - tau - 1
     own = n.bit_length()
     parts = _band_signatures(tokens, rare, tau, own) + _band_signatures(tokens, rare, tau, own + 1)
-    return np.unique(np.concatenate(parts))
+    return np.unique(np.concatenate(parts)), None
 
 
-_SETS = "g int, set_key binary, n bigint, docs array<bigint>, signatures binary"
+_SETS = "g int, set_key binary, n bigint, rest bigint, docs array<bigint>, signatures binary"
 _ASK = "g int, bucket int, keys binary, flags binary"
 _ASK_ARROW = pa.schema([("g", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()),
                         ("flags", pa.binary())])
-_FOUND = "node bigint, set_key binary, n bigint, docs array<bigint>, sig bigint"
+_FOUND = "node bigint, set_key binary, n bigint, rest bigint, docs array<bigint>, sig bigint"
 _FOUND_ARROW = pa.schema([("node", pa.int64()), ("set_key", pa.binary()), ("n", pa.int64()),
-                          ("docs", pa.list_(pa.int64())), ("sig", pa.int64())])
+                          ("rest", pa.int64()), ("docs", pa.list_(pa.int64())), ("sig", pa.int64())])
+BROADCAST_ROWS = 200_000  # of 50 bytes: classes that are broadcast to their texts, pairs joined unsalted
 
 
 def _set_key(tokens: np.ndarray) -> bytes:
@@ -188,17 +195,17 @@ def _scan(docs: DataFrame, sketch: np.ndarray, width: int, percent: int) -> Data
                         continue
                     key = _set_key(s)
                     if key not in own:
-                        own[key] = [len(s), [], signatures(s, hits.value[_slot(s)], frequent, percent)]
+                        own[key] = [len(s), [], *signatures(s, hits.value[_slot(s)], frequent, percent)]
                     own[key][1].append(doc)
-        rows = [(int.from_bytes(k[:3], "little"), k, n, d, x.tobytes())
-                for k, (n, d, x) in own.items()]
-        rows += [(i, None, n, d, None) for i, (n, d) in enumerate(alone.items())]
+        rows = [(int.from_bytes(k[:3], "little"), k, n, rest, d, x.tobytes())
+                for k, (n, d, x, rest) in own.items()]
+        rows += [(i, None, n, None, d, None) for i, (n, d) in enumerate(alone.items())]
         for a in range(0, len(rows), 1000):
-            g, k, n, d, x = zip(*rows[a:a + 1000])
+            g, k, n, rest, d, x = zip(*rows[a:a + 1000])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(g, pa.int32()), pa.array(k, pa.binary()), pa.array(n, pa.int64()),
-                 pa.array(d, pa.list_(pa.int64())), pa.array(x, pa.binary())],
-                ["g", "set_key", "n", "docs", "signatures"])
+                 pa.array(rest, pa.int64()), pa.array(d, pa.list_(pa.int64())), pa.array(x, pa.binary())],
+                ["g", "set_key", "n", "rest", "docs", "signatures"])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, _SETS)
 
@@ -251,11 +258,12 @@ def _found(sets: pa.Table, replies: pa.Table, buckets: int) -> pa.Table:
     keep = np.repeat(flag, c.hits)
     n = int(keep.sum())
     members = pa.table([pa.array(c.node, pa.int64()), pa.array(c.keys, pa.binary()),
-                        sets.column("n"), sets.column("docs").cast(pa.list_(pa.int64())),
+                        sets.column("n"), sets.column("rest"),
+                        sets.column("docs").cast(pa.list_(pa.int64())),
                         pa.nulls(len(c.node), pa.int64())], schema=_FOUND_ARROW)
     shared = pa.table([pa.array(c.sig_node[keep]), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()),
-                       pa.nulls(n, pa.list_(pa.int64())), pa.array(c.sig[keep].view(np.int64))],
-                      schema=_FOUND_ARROW)
+                       pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int64())),
+                       pa.array(c.sig[keep].view(np.int64))], schema=_FOUND_ARROW)
     return pa.concat_tables([members, shared])
 
 
@@ -273,13 +281,15 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 # a repeated doc_id may bring another text along
                 yield out.filter(pc.equal(out["set_key"], out["own"])).select(["node", "tokens"])
 
-    found = docs.select("doc_id", "text").join(wanted, "doc_id")
-    sets = found.mapInArrow(run, "node bigint, tokens binary")
-    return sets.groupBy("node").agg(F.first("tokens").alias("tokens"))
+    if wanted.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    doc_id = F.col("doc_id").cast("bigint").alias("doc_id")
+    return docs.select(doc_id, "text").join(wanted, "doc_id").mapInArrow(
+        run, "node bigint, tokens binary")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` that link."""
+def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` that link, by their whole sets."""
     def run(it):
         for batch in it:
             a = [np.frombuffer(x, U64) for x in batch.column("ta").to_pylist()]
@@ -289,32 +299,52 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                              for x, y, c in zip(a, b, both)], pa.bool_())
             yield batch.select(["a", "b"]).filter(keep)
 
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = stage(classes.join(nodes, "node").select("node", "set_key", "doc_id"), "jaccard-wanted")
+    sets = stage(_whole_sets(docs, wanted, width), "jaccard-tokens")
     of = lambda c, t: sets.select(F.col("node").alias(c), F.col("tokens").alias(t))
-    able = F.least(F.length("ta"), F.length("tb")) * 100 >= F.greatest(F.length("ta"), F.length("tb")) * percent
-    fan = of("a", "ta").join(pairs.groupBy("a").agg(F.count("*").alias("pairs")), "a")
-    both = salted_key_join(pairs.join(of("b", "tb"), "b"), fan, "a", "pairs", spread_col="b").where(able)
+    with_b = pairs.join(of("b", "tb"), "b")
+    if pairs.count() <= BROADCAST_ROWS:  # too few for a hot class to matter
+        both = with_b.join(of("a", "ta"), "a")
+    else:
+        fan = of("a", "ta").join(pairs.groupBy("a").agg(F.count("*").alias("pairs")), "a")
+        both = salted_key_join(with_b, fan, "a", "pairs", spread_col="b")
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a bigint, b bigint")
 
 
+def _able(counted: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Of pairs ``(a, b, shared)``, those whose sizes and shared signatures allow a link."""
+    side = lambda c: classes.select(
+        F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("rest").alias(f"r{c}"))
+    both = counted.join(side("b"), "b").join(side("a"), "a")
+    sizes = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
+    # 100 * overlap >= percent * (na + nb - overlap)
+    most = F.col("shared") + F.greatest("ra", "rb")
+    overlap = F.coalesce(most * (100 + percent) >= (F.col("na") + F.col("nb")) * percent, F.lit(True))
+    return both.where(sizes & overlap).select("a", "b", "shared")
+
+
+def _one_each(pairs: DataFrame) -> DataFrame:
+    """For each class ``x`` the ``y`` it shares most signatures with, of the pairs ``(x, y)``."""
+    counted = pairs.groupBy("x", "y").agg(F.count("*").alias("shared"))
+    best = counted.groupBy("x").agg(F.max(F.struct("shared", "y")).alias("m"))
+    return best.select(F.least("x", "m.y").alias("a"), F.greatest("x", "m.y").alias("b"), "m.shared").distinct()
+
+
 def _labelled(shared: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Members with labels, and the signatures whose members still have several."""
     members = shared.join(labels, "node", "left").select(
         "sig", "node", F.coalesce("label", "node").alias("label"))
     mixed = members.groupBy("sig").agg(
-        F.min(F.struct("label", "node")).alias("lo"), F.max(F.struct("label", "node")).alias("hi"),
-        F.count("*").alias("size")).where("lo.label < hi.label")
+        F.min(F.struct("label", "node")).alias("lo"), F.max("label").alias("hi"),
+        F.count("*").alias("size")).where("lo.label < hi")
     return members, mixed
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-
-
-def _pairs_to(members: DataFrame, mixed: DataFrame, end: str) -> DataFrame:
-    """Every member against one end of its signature, where their components differ."""
-    ends = mixed.select("sig", F.col(f"{end}.label").alias("to"), F.col(f"{end}.node").alias("y"), "size")
-    near = salted_key_join(members, ends, "sig", "size", spread_col="node").where("label <> to")
-    return _ordered(near.select(F.col("node").alias("x"), "y"))
+def _open(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """Staged members ``(sig, node, label, lo, hi, size)`` of signatures that span components."""
+    members, mixed = _labelled(shared, labels)
+    return stage(salted_key_join(members, mixed, "sig", "size", spread_col="node"), "jaccard-open")
 
 
 def jaccard_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -333,28 +363,28 @@ def jaccard_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
         on_tables(_found, buckets=buckets), _FOUND), "jaccard-found")
     shared = found.where("sig is not null").select("sig", "node")
     members = found.where("sig is null").select("node", "set_key", "n", "docs")
+    classes = stage(found.where("sig is null and node is not null").groupBy("node", "set_key").agg(
+        F.min(F.array_min("docs")).alias("doc_id"), F.first("n").alias("n"), F.first("rest").alias("rest")),
+        "jaccard-classes")
 
-    wanted = members.join(shared.select("node").distinct(), "node", "left_semi").groupBy(
-        "node", "set_key").agg(F.min(F.array_min("docs")).alias("doc_id"))
-    sets = stage(_whole_sets(docs, wanted, width), "jaccard-tokens")
+    def link(counted: DataFrame) -> DataFrame:
+        tried = stage(_able(counted, classes, percent).select("a", "b"), "jaccard-pairs")
+        return _verified(docs, classes, tried, width, percent)
 
     # 1. each class against the least member it shares most signatures with
-    least = shared.groupBy("sig").agg(F.min("node").alias("a"), F.count("*").alias("size"))
-    star = salted_key_join(shared, least, "sig", "size", spread_col="node").where("node > a")
-    best = star.groupBy("a", "node").count().groupBy("node").agg(
-        F.max_by("a", F.struct("count", "a")).alias("a"))
-    links = stage(_verified(best.select("a", F.col("node").alias("b")), sets, percent), "jaccard-links")
-    # 2. members outside the component of an end of their signature, against that end
-    for end in ("lo", "hi"):
-        tried = _pairs_to(*_labelled(shared, components(links)), end).distinct()
-        links = stage(links.unionByName(_verified(tried, sets, percent)), "jaccard-links")
+    least = shared.groupBy("sig").agg(F.min("node").alias("y"), F.count("*").alias("size")).where("size > 1")
+    star = salted_key_join(shared, least, "sig", "size", spread_col="node").where("node > y")
+    links = stage(link(_one_each(star.select(F.col("node").alias("x"), "y"))), "jaccard-links")
+    # 2. members outside the least component of their signatures, against that one's least member
+    rest = _open(shared, components(links))
+    ends = rest.where("label <> lo.label").select(F.col("node").alias("x"), F.col("lo.node").alias("y"))
+    links = stage(links.unionByName(link(_one_each(ends))), "jaccard-links")
     # 3. whatever pair of members still lies in different components
-    labelled, mixed = _labelled(shared, components(links))
-    rest = stage(salted_key_join(labelled, mixed.select("sig", "size"), "sig", "size", spread_col="node")
-                 .select("sig", "node", "label"), "jaccard-open")
+    rest = _open(shared, components(links)).select("sig", "node", "label")
     pairs = rest.join(rest.toDF("sig", "y", "other"), "sig").where("label < other")
-    tried = _ordered(pairs.select(F.col("node").alias("x"), "y")).distinct()
-    return members, stage(links.unionByName(_verified(tried, sets, percent)), "jaccard-links")
+    counted = pairs.groupBy(F.least("node", "y").alias("a"), F.greatest("node", "y").alias("b")).agg(
+        F.count("*").alias("shared"))
+    return members, stage(links.unionByName(link(counted)), "jaccard-links")
 
 
 def jaccard_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
