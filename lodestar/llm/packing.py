@@ -21,6 +21,7 @@ all others, row by row; an empty table gives an empty result; other columns are
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 
@@ -30,50 +31,70 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.llm.common import stage
+from lodestar.llm.exchange import give_back
 
 WINDOW = 2048
 END_ID = 1
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 STEPS = 200
 
 # Texts of these characters only are split at spaces and looked up word by word: none of
 # them is changed by composition, and no token of theirs crosses a space.
-_PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-įı-ɏ]*")
+_PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u012f\u0131-\u024f]*")
+# Fixed value: how the tokenizer file cuts text, with its letters and digits as they are
+# among those characters.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 
 
 class WordTokenizer:
     """Token ids of whole texts, with the ids of words remembered.
 
     For a tokenizer that drops white space and treats the parts between on their own (checked
-    on the file's pre-tokenizer and normalizer), a text's ids are those of its words.  Texts
-    with other characters, or with the marks of special tokens, go to the library whole.
+    on the file's normalizer and pre-tokenizer), a text's ids are those of its words, and a
+    word's those of its parts, which need no normalizing or cutting any more.  Texts with other
+    characters, or with the marks of special tokens, go to the library whole.
     """
 
     def __init__(self, path: str):
         import json
 
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path) as f:
             spec = json.load(f)
-        split = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
+        steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+        split = steps[0]
         self.by_word = (split.get("behavior") == "Removed" and split.get("invert") is True
+                        and (split.get("pattern") or {}).get("Regex") == _SPLIT
+                        and [x["type"] for x in steps] == ["Split", "ByteLevel"]
                         and spec.get("post_processor") is None
                         and [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", [])]
                         == ["NFC", "Replace", "Lowercase"])
+        if self.by_word:
+            self.parts = Tokenizer.from_file(path)
+            self.parts.normalizer = normalizers.Sequence([])
+            self.parts.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.special = [x["content"] for x in spec.get("added_tokens", [])]
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.words: dict[str, bytes] = {}
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-
-    def _learn(self, words: list[str]) -> None:
-        if len(self.words) + len(words) > CACHED_WORDS:
-            self.words.clear()
-        for e, w in zip(self.tokenizer.encode_batch_fast(words, add_special_tokens=False), words):
-            self.words[w] = np.array(e.ids, self.kind).tobytes()
+        self.pieces: dict[str, bytes] = {}
+
+    def _ids(self, encoding) -> bytes:
+        return np.array(encoding.ids, self.kind).tobytes()
+
+    def _learn(self, words: set[str]) -> None:
+        cut = {w: _PARTS.findall(w) for w in words}
+        new = list({x for parts in cut.values() for x in parts}.difference(self.pieces))
+        if len(self.pieces) + len(new) > CACHED_WORDS:
+            needed = {x for parts in cut.values() for x in parts}
+            self.pieces = {x: y for x, y in self.pieces.items() if x in needed}
+        for x, e in zip(new, self.parts.encode_batch_fast(new, add_special_tokens=False)):
+            self.pieces[x] = self._ids(e)
+        get = self.pieces.__getitem__
+        for w, parts in cut.items():
+            self.words[w] = b"".join(map(get, parts))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         out: list = [None] * len(texts)
@@ -82,15 +103,14 @@ class WordTokenizer:
             if self.by_word and not any(s in t for s in self.special) and _PLAIN.fullmatch(t):
                 plain.append((i, t.lower().split()))
             else:
-                out[i] = self._whole(t)
+                out[i] = self._ids(self.tokenizer.encode(t, add_special_tokens=False))
         for a in range(0, len(plain), 64):
             part = plain[a:a + 64]
-            new = {w for _, words in part for w in words}.difference(self.words)
-            if new:
-                known = {w for _, words in part for w in words} - new
-                if len(self.words) + len(new) > CACHED_WORDS:
-                    new |= known
-                self._learn(sorted(new))
+            needed = {w for _, words in part for w in words}
+            new = needed.difference(self.words)
+            if len(self.words) + len(new) > CACHED_WORDS:
+                self.words = {w: x for w, x in self.words.items() if w in needed}
+            self._learn(new)
             get = self.words.__getitem__
             for i, words in part:
                 out[i] = b"".join(map(get, words))
@@ -106,6 +126,8 @@ def tokenize(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END
     def run(it):
         from pyspark import TaskContext
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+
         chunk, seen = TaskContext.get().partitionId(), np.zeros(window, np.int64)
         tokenizer = WordTokenizer(path)
         end = np.array([end_id], tokenizer.kind).tobytes()
@@ -124,6 +146,8 @@ def tokenize(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END
                      pa.array([tokenizer.kind.itemsize] * len(ids), pa.int32()),
                      pa.array(ids, pa.binary())],
                     ["doc_id", "chunk", "row", "n", "width", "ids"])
+        del tokenizer
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(
         run, "doc_id bigint, chunk int, row bigint, n bigint, width int, ids binary")
