@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from lodestar.llm import jaccard_join, langid, line_dedup, mixing, packing
 from lodestar.llm.common import WORD, read_table, stage, tokenizer_path
 
+LINE_WORDS = 5  # a repeated line of so many words goes even if its neighbours differ
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the labelled documents, sets ``lang`` to the prediction; rejected ones go."""
@@ -29,8 +31,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of line runs are deleted; documents of which nothing is left go."""
-    return line_dedup.dedup_lines(docs, keep_rows=False)
+    """Later copies of line runs, and of single lines of ``LINE_WORDS`` words, are deleted;
+    documents of which nothing is left go."""
+    return line_dedup.dedup_lines(docs, long_line=LINE_WORDS, keep_rows=False)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

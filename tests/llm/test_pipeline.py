@@ -48,3 +48,11 @@ def test_empty(spark, frame):
     for _, step in corpus_pipeline.STAGES:
         docs = stage(step(spark, docs, None), "t")
     assert docs.count() == 0
+
+
+def test_single_lines_of_a_few_words_go(spark, frame):
+    line, short = "Licensed under the Apache License, Version 2.0.", "} // end"
+    docs = frame([(i, f"first {i} a b\n{line}\nnext {i} c\n{short}\nlast {i}") for i in range(6)])
+    kept = dict(corpus_pipeline.STAGES)["line_dedup"](spark, docs, None).select("doc_id", "text").collect()
+    assert [r["doc_id"] for r in kept if line in r["text"]] == [0]
+    assert len(kept) == 6 and all(short in r["text"] for r in kept)
