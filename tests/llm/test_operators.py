@@ -271,6 +271,33 @@ def test_training_rows_are_bounded_and_repeatable(spark):
     assert {r["lang"]: r["count"] for r in few} == {"big": 27, "small": 3}
 
 
+def syllable_texts(seed, signs, sizes):
+    """Texts of one made-up language: words of its own syllables, ``sizes`` words each."""
+    rng = random.Random(seed)
+    syllables = [a + b for a in signs[0] for b in signs[1]]
+    vocabulary = ["".join(rng.choice(syllables) for _ in range(rng.randrange(1, 4))) for _ in range(150)]
+    return [" ".join(rng.choice(vocabulary) for _ in range(n)) for n in sizes]
+
+
+def test_gibberish_and_other_languages_are_rejected(spark):
+    sizes = [5 + 7 * i % 300 for i in range(120)]
+    odd = ["zq", "Xv", "wv", "Qx!", "hj", "fg", "dd c", "pp", "cc h"]
+    known = {"a": ("btkr", "aou"), "b": ("lmns", "eiy")}
+    rows = [(t, name) for name, signs in known.items() for t in syllable_texts(1, signs, sizes) + odd]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id bigint, text string, lang string")
+    model = langid.fit(docs)
+    rng = random.Random(2)
+    far = [" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(2, 10)))
+                    for _ in range(n)) for n in (50, 200, 1000, 5000) for _ in range(5)]
+    far += syllable_texts(3, ("dfgh", "eau"), [50, 200, 1000] * 5)
+    # the vocabulary is the seed's: longer texts of the same languages
+    clean = [t for signs in known.values() for t in syllable_texts(1, signs, sizes + [9 + 5 * i for i in range(50)])[120:]]
+    found = spark.createDataFrame([(i, t) for i, t in enumerate(far + clean)], "doc_id bigint, text string")
+    good = {r["doc_id"]: r["accepted"] for r in langid.predict(found, model, ["doc_id"]).collect()}
+    assert sum(good[i] for i in range(len(far))) == 0
+    assert sum(good[len(far) + i] for i in range(len(clean))) >= 0.97 * len(clean)
+
+
 # ---------------------------------------------------------------- 9, neighbours
 
 def brute_nearest(rows, k, every=5):
