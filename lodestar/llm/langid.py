@@ -2,7 +2,8 @@
 
 A text is a TF-IDF vector of its hashed byte n-grams (1 to 3 bytes of the lower-cased
 text, digits and ASCII marks as one sign), ``(1 + ln tf) * idf``, at unit length.  Each
-language has several centroids from spherical k-means.  A text gets the language of the
+language has several centroids from spherical k-means, none for less than a twentieth of its
+training texts.  A text gets the language of the
 centroid with the largest cosine and is rejected when that cosine lies below the
 centroid's limit for texts of its length.
 
@@ -38,6 +39,8 @@ DIMS = 4096
 ROWS = 256  # vectors made at once
 PER_LANGUAGE = 256
 CENTROIDS = 4
+STARTS = 8
+LEAST_SHARE = 0.05
 SLACK = 0.8
 QUANTILE = 0.01
 LENGTHS = 16 << np.arange(11)  # bytes
@@ -91,15 +94,32 @@ def vectors(tf: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 
 def _k_means(x: np.ndarray, k: int) -> np.ndarray:
-    """Spherical k-means; starts far from each other, so it needs no random numbers."""
-    centers = _unit(x.mean(axis=0, keepdims=True))
-    while len(centers) < min(k, len(x)):
-        centers = np.vstack([centers, x[np.argmin((x @ centers.T).max(axis=1))]])
-    for _ in range(20):
-        own = (x @ centers.T).argmax(axis=1)
-        centers = _unit(np.vstack([x[own == i].mean(axis=0) if (own == i).any() else centers[i]
-                                   for i in range(len(centers))]))
-    return centers
+    """Spherical k-means from seeded k-means++ starts, the one with the largest cosines.
+
+    A cluster of one text, or of less than ``LEAST_SHARE`` of all, is given up, the smallest first, so
+    single odd texts are no centroids and there may be fewer than ``k``.
+    """
+    rng, best, most = np.random.default_rng(0), None, -np.inf
+    for _ in range(STARTS):
+        centers = x[[rng.integers(len(x))]]
+        while len(centers) < min(k, len(x)):
+            far = np.maximum(0, 1 - (x @ centers.T).max(axis=1)).astype(np.float64)
+            if far.sum() < 1e-6:  # copies only
+                break
+            centers = np.vstack([centers, x[[rng.choice(len(x), p=far / far.sum())]]])
+        while True:
+            for _ in range(20):
+                own = (x @ centers.T).argmax(axis=1)
+                centers = _unit(np.vstack([x[own == i].mean(axis=0) if (own == i).any() else centers[i]
+                                           for i in range(len(centers))]))
+            near = x @ centers.T
+            size = np.bincount(near.argmax(axis=1), minlength=len(centers))
+            if len(centers) == 1 or size.min() >= max(2, LEAST_SHARE * len(x)):
+                break
+            centers = np.delete(centers, size.argmin(), axis=0)
+        if near.max(axis=1).sum() > most:
+            best, most = centers, near.max(axis=1).sum()
+    return best
 
 
 def training_rows(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:

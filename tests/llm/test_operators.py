@@ -262,6 +262,17 @@ def test_languages_of_odd_texts(spark):
     assert langid.predict(far.where("false"), model, ["doc_id"]).collect() == []
 
 
+def test_centroids_stand_for_groups_of_texts():
+    groups = [("btkr", "aou"), ("lmns", "eiy"), ("dfgh", "eau")]
+    texts = [t for g in groups for t in syllable_texts(1, g, [40] * 40)] + ["zq", "Xv", "wv", "Qx!"]
+    x = langid.vectors(langid.counts([t.encode() for t in texts]), np.ones(langid.DIMS, np.float32))
+    own = (x @ langid._k_means(x, 4).T).argmax(axis=1)
+    size = np.bincount(own)
+    assert len(size) >= 3 and size.min() >= 6
+    of = [set(own[a:a + 40].tolist()) for a in (0, 40, 80)]  # a group may have two centroids
+    assert not of[0] & of[1] and not of[0] & of[2] and not of[1] & of[2]
+
+
 def test_training_rows_are_bounded_and_repeatable(spark):
     docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"),
                                     F.when(F.col("id") % 10 < 9, "big").otherwise("small").alias("lang"))
