@@ -29,6 +29,10 @@ from pyspark.sql import functions as F
 
 from lodestar.llm.common import WORD, shuffle_partitions, stage
 
+# between the spaces after a word and the next word
+BEFORE_WORD = r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])"
+AROUND = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
+
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_EPOCHS = 3
 BLOCK = 1024
@@ -190,7 +194,7 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` as the mixture has them: one row for each epoch a document is taken in.
 
     A document that is taken in part (the last of a source's target) comes with its first
-    words only, joined by one space; documents that are not taken go.
+    words only, with the spaces and line ends between them; documents that are not taken go.
     """
     plain = [f.name for f in docs.schema if "map" not in f.dataType.simpleString()]
     keyed = docs.select(F.xxhash64(*[F.col(f"`{c}`") for c in plain]).alias("_key"), F.struct("*").alias("_row"))
@@ -202,9 +206,10 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     rows = rows.dropDuplicates(["_key", "epoch"])
     part = F.explode(F.transform(F.sequence(F.lit(1).cast("bigint"), F.col("copies")), lambda i: F.least(
         F.col("size"), F.col("words") - (i - 1) * F.col("size"))))
+    pieces = F.split(F.regexp_replace("_row.text", AROUND, ""), BEFORE_WORD)  # a word and what follows it
+    begin = F.regexp_replace(F.array_join(F.slice(pieces, F.lit(1), F.col("_take").cast("int")), ""), AROUND, "")
     cut = rows.withColumn("_take", part).where("_take > 0").withColumn("_text", F.when(
-        F.col("_take") >= F.col("size"), F.col("_row.text")).otherwise(F.array_join(F.slice(
-            F.regexp_extract_all("_row.text", F.lit(WORD), F.lit(0)), F.lit(1), F.col("_take").cast("int")), " ")))
+        F.col("_take") >= F.col("size"), F.col("_row.text")).otherwise(begin))
     columns = []
     for c in docs.columns:
         value = F.col(f"_row.`{c}`")

@@ -401,3 +401,15 @@ def test_mixed_documents_repeat_and_end_at_the_target(frame):
         want[r["doc_id"]] += r["taken"]
     assert {i: n for i, n in want.items() if n} == dict(words)
     assert mixing.mixed_documents(frame([])).collect() == []
+
+
+def test_a_document_taken_in_part_keeps_its_line_ends(frame):
+    text = " \n" + "\n".join("a  b\tc" for _ in range(33)) + "\n"
+    whole = WORDS.findall(text)
+    rows = [(i, f"d{i}x" + text) for i in range(1, 60)]
+    out = [r["text"] for r in mixing.mixed_documents(frame(rows), block=16).collect()]
+    part = [t for t in out if len(WORDS.findall(t)) < len(whole) + 1]
+    assert part
+    for t in part:
+        full = next(x for _, x in rows if x.startswith(t.split()[0] + " "))
+        assert full.startswith(t) and t == t.rstrip()
