@@ -5,8 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-FIXTURES = os.path.join(os.path.dirname(os.path.abspath(__file__)), "fixtures")
-
+from corpora import make_corpus  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -28,22 +27,6 @@ def spark(tmp_path_factory):
     s.stop()
 
 
-def make_corpus(spark, docs):
-    """docs: list of (doc_id, text) or (doc_id, title, byline, text, headline)."""
-    from lodestar.schemas import CORPUS
-
-    rows = []
-    for d in docs:
-        if len(d) == 2:
-            doc_id, text = d
-            title = byline = None
-            headline = (text or "")[:60]
-        else:
-            doc_id, title, byline, text, headline = d
-        rows.append((doc_id, None, title, headline, byline, None, text, [], [], []))
-    return spark.createDataFrame(rows, CORPUS)
-
-
 @pytest.fixture
 def corpus_of(spark):
     return lambda docs: make_corpus(spark, docs)

@@ -12,7 +12,7 @@ from lodestar.operators import index
 
 @pytest.fixture(scope="module")
 def corpus(spark):
-    from conftest import make_corpus
+    from corpora import make_corpus
     return make_corpus(spark, brute.DOCS)
 
 

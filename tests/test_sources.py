@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import FIXTURES
+from corpora import FIXTURES
 from lodestar.sources import delimited, news_xml
 from lodestar.sources.documents import dedupe_docs, from_documents
 from lodestar.sources.store import IndexStore

@@ -13,7 +13,7 @@ from lodestar.sources.store import IndexStore
 
 @pytest.fixture(scope="module")
 def built(spark, tmp_path_factory):
-    from conftest import make_corpus
+    from corpora import make_corpus
     c = make_corpus(spark, brute.DOCS)
     store = IndexStore(spark, str(tmp_path_factory.mktemp("index")))
     build_index(c, store)
@@ -136,7 +136,7 @@ def test_rank_within_runs_across_arrow_batches(spark):
 
 
 def test_empty_corpus_builds_and_finds_nothing(spark, tmp_path):
-    from conftest import make_corpus
+    from corpora import make_corpus
     store = build_index(make_corpus(spark, []), IndexStore(spark, str(tmp_path / "empty")))
     idx = SearchIndex(store)
     assert idx.table("postings").count() == 0
