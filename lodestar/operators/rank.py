@@ -1,140 +1,73 @@
 """Row number within a key, without putting a hot key into a single task.
 
-``row_number() OVER (PARTITION BY key ORDER BY ...)`` sends every row of a key to one
-task, so a term found in a third of all documents would be sorted by one core.  Here:
-
-1. rows are range-partitioned on (key, order...) - sampled boundaries cut a hot key into
-   several partitions - and sorted inside each partition; the result is checkpointed
-   (reliable checkpoint in ``spark.checkpoint.dir``) so partition ids stay fixed even if
-   an executor is lost and a stage reruns;
-2. a narrow Arrow pass numbers each row inside its key's run within the partition;
-3. a key can continue from earlier partitions only as the *first* key of a partition, so
-   at most one (partition, key) pair per partition needs an offset.  A second narrow
-   Arrow pass emits the row counts of each partition's first and last key; offsets are
-   running sums over those counts - a table bounded by twice the partition count, which
-   is what gets broadcast.
-
-Shuffles of the full data: one (the range partitioning).
+``row_number() OVER (PARTITION BY key ORDER BY ...)`` sends every row of a key to one task, so
+a term found in a third of all documents would be sorted by one core.  Here a rank is a
+two-level prefix sum of plain DataFrame steps:
+
+1. Keys with more rows than one partition's fair share are *hot*; there are at most as many
+   as partitions (``skew.hot_keys``).  All other keys are numbered by the window as it is.
+2. The rows of hot keys are range-partitioned on (key, order...), which cuts a hot key into
+   several ranges, and written with the number of their range, so that a range stays what
+   it is when an executor is lost and a stage runs again.
+3. One window numbers the rows inside each (key, range).  A row's rank adds the rows of the
+   key's earlier ranges: running sums over counts of (hot key, range), a table of at most
+   two rows a partition, which is broadcast.
+
+Shuffles: one of all rows, and one more of the rows of hot keys.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from lodestar.session import checkpoint_root
+from lodestar.operators.skew import hot_keys
+from lodestar.session import scratch_path
 
-_PART = "_lodestar_part"
+_RANGE = "_lodestar_range"
 _LOCAL = "_lodestar_local"
 _OFFSET = "_lodestar_offset"
 _COUNT = "_lodestar_count"
 
 
-def _run_numbers(key: str):
-    """mapInArrow function: 1-based position of each row inside its run of equal keys.
-
-    Rows arrive sorted by key within the partition; runs may span record batches, so the
-    last key and its count carry over from one batch to the next.
-    """
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carry_key, carry_n = None, 0
-        for batch in batches:
-            n = batch.num_rows
-            if n == 0:
-                continue
-            keys = batch.column(key)
-            new_run = np.ones(n, dtype=bool)
-            if n > 1:
-                new_run[1:] = pc.not_equal(keys.slice(1), keys.slice(0, n - 1)).to_numpy(
-                    zero_copy_only=False)
-            first = keys[0].as_py()
-            continues = carry_key is not None and first == carry_key
-            new_run[0] = not continues
-            idx = np.arange(n, dtype=np.int64)
-            run_start = np.maximum.accumulate(np.where(new_run, idx, 0))
-            numbers = idx - run_start + 1
-            if continues:
-                head = ~np.logical_or.accumulate(new_run)
-                numbers[head] += carry_n
-            carry_key, carry_n = keys[n - 1].as_py(), int(numbers[-1])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(numbers, type=pa.int64())],
-                names=[*batch.schema.names, _LOCAL],
-            )
-    return number
-
-
-def _partition_edges(key: str):
-    """mapInArrow function: ``(part, key, count)`` for the first and the last key of the
-    partition (one row when they are the same key) - at most two rows per partition."""
-    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = first_key = last_key = key_type = None
-        first_len = last_len = 0
-        for batch in batches:
-            n = batch.num_rows
-            if n == 0:
-                continue
-            keys = batch.column(key)
-            if first_key is None:
-                part, first_key, key_type = batch.column(_PART)[0].as_py(), keys[0].as_py(), keys.type
-            first_len += pc.sum(pc.equal(keys, first_key).cast(pa.int64())).as_py() or 0
-            tail = keys[n - 1].as_py()
-            differs = np.flatnonzero(~pc.equal(keys, tail).to_numpy(zero_copy_only=False))
-            trailing = n - (int(differs[-1]) + 1) if differs.size else n
-            last_len = last_len + n if (differs.size == 0 and tail == last_key) else trailing
-            last_key = tail
-        if first_key is not None:
-            rows = [(first_key, first_len)] + ([(last_key, last_len)] if last_key != first_key else [])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([part] * len(rows), pa.int32()), pa.array([k for k, _ in rows], key_type),
-                 pa.array([c for _, c in rows], pa.int64())],
-                names=[_PART, key, _COUNT])
-    return edges
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back (cuts the lineage)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def rank_within(df: DataFrame, key: str, order: Sequence[Column], rank_col: str = "rank",
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, stored: bool = False) -> DataFrame:
     """Add ``rank_col`` = 1-based row number of each row inside its ``key`` by ``order``.
 
     ``order`` must make rows of one key distinct (add a unique tie-breaker column), which
-    keeps the result deterministic.
+    keeps the result deterministic.  ``df`` is read several times: it is written to the scratch
+    folder first, unless the caller says that it comes from a ``stored`` table.  Rows whose key
+    is null count as one key, which is not split.
     """
     spark = df.sparkSession
-    checkpoint_root(spark)
-    # Without an explicit count AQE may coalesce neighbouring ranges up to the advisory
-    # partition size; coalesced partitions stay contiguous key ranges, so the ranking
-    # below holds either way, and a key bigger than one partition still spans several.
-    ranges = [F.col(key), *order]
-    repartitioned = (df.repartitionByRange(num_partitions, *ranges) if num_partitions
-                     else df.repartitionByRange(*ranges))
-    ranged = (
-        repartitioned
-        .sortWithinPartitions(F.col(key), *order)
-        .withColumn(_PART, F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
-    schema = T.StructType([*ranged.schema.fields, T.StructField(_LOCAL, T.LongType(), False)])
-    local = ranged.mapInArrow(_run_numbers(key), schema)
-
-    # rows of each partition's first and last key: at most two rows per partition
-    edge_schema = T.StructType([
-        T.StructField(_PART, T.IntegerType()), T.StructField(key, ranged.schema[key].dataType),
-        T.StructField(_COUNT, T.LongType()),
-    ])
-    counts = ranged.select(_PART, key).mapInArrow(_partition_edges(key), edge_schema)
-    earlier = Window.partitionBy(key).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        counts.select(_PART, key, F.sum(_COUNT).over(earlier).alias(_OFFSET))
-        .where(F.col(_OFFSET).isNotNull())
-    )
-    return (
-        local.join(F.broadcast(offsets), [_PART, key], "left")
-        .withColumn(rank_col, (F.coalesce(F.col(_OFFSET), F.lit(0)) + F.col(_LOCAL)).cast("bigint"))
-        .drop(_PART, _LOCAL, _OFFSET)
-    )
+    p = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    base = df if stored else staged(df, "rank-input")
+    counts = base.groupBy(key).agg(F.count(F.lit(1)).alias(_COUNT))
+    hot = hot_keys(counts, key, _COUNT, p).select(key).collect()  # at most p keys
+    if not hot:
+        by_key = Window.partitionBy(key).orderBy(*order)
+        return base.withColumn(rank_col, F.row_number().over(by_key).cast("bigint"))
+
+    keys = F.broadcast(spark.createDataFrame(hot, base.select(key).schema))
+    split = base.join(keys, key, "left_semi")
+    split = split.repartitionByRange(p, key, *order) if num_partitions else split.repartitionByRange(key, *order)
+    # Without an explicit count AQE may join neighbouring ranges; they stay ranges
+    ranges = staged(split.withColumn(_RANGE, F.spark_partition_id()), "rank-ranges")
+    rest = base.join(keys, key, "left_anti").withColumn(_RANGE, F.lit(0))
+    earlier = Window.partitionBy(key).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranges.groupBy(key, _RANGE).agg(F.count(F.lit(1)).alias(_COUNT)).select(
+        key, _RANGE, F.sum(_COUNT).over(earlier).alias(_OFFSET)).where(F.col(_OFFSET).isNotNull())
+    local = rest.unionByName(ranges).withColumn(
+        _LOCAL, F.row_number().over(Window.partitionBy(key, _RANGE).orderBy(*order)))
+    return local.join(F.broadcast(offsets), [key, _RANGE], "left").withColumn(
+        rank_col, (F.coalesce(F.col(_OFFSET), F.lit(0)) + F.col(_LOCAL)).cast("bigint")
+    ).select(*df.columns, rank_col)
