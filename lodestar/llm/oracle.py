@@ -87,10 +87,62 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(r.n, 0) AS BIG
 FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id LEFT JOIN r ON d.doc_id = r.doc_id
 """
 
+def _draws(seed: int, count: int) -> str:
+    digest = f"sha256('{seed}:' || coalesce(CAST(doc_id AS VARCHAR), ''))"
+    return ", ".join(f"CAST('0x' || substr({digest}, {8 * i + 1}, 8) AS BIGINT) AS h{i + 1}" for i in range(count))
+
+
+OP11 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, {_draws(1, 4)} FROM documents),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+        n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 AS plain FROM d),
+p AS (SELECT *, substr(t, 1, a) AS prefix, substr(t, a + 1, b - a) AS middle, substr(t, b + 1) AS suffix FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, CASE WHEN plain THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+       CASE WHEN NOT plain THEN CAST(a AS BIGINT) END AS prefix_chars,
+       CASE WHEN NOT plain THEN CAST(b - a AS BIGINT) END AS middle_chars,
+       sha256(CASE WHEN plain THEN t WHEN h4 % 100 < 20 THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+              ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+# CRC-32 is folded over the bytes of every distinct word, with its table made by rule.
+OP13 = f"""
+WITH k AS (SELECT list(list_reduce(list_prepend(CAST(i AS UBIGINT), list_transform(range(8), lambda x: CAST(0 AS UBIGINT))),
+        lambda c, x: CASE WHEN c % 2 = 1 THEN xor(c >> 1, CAST(3988292384 AS UBIGINT)) ELSE c >> 1 END) ORDER BY i) AS tab
+      FROM range(256) t(i)),
+w AS (SELECT doc_id, true AS raw, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS x FROM documents
+      UNION ALL SELECT item_id, false, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') FROM benchmark),
+e AS (SELECT doc_id, raw, unnest(x) AS word FROM w),
+u AS (SELECT DISTINCT word, hex(encode(word)) AS hx FROM e),
+b AS (SELECT word, CAST(xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), list_transform(range(1, len(hx), 2),
+        lambda i: CAST('0x' || substr(hx, i, 2) AS UBIGINT))),
+        lambda c, y: xor(c >> 8, tab[CAST(xor(c, y) % 256 + 1 AS BIGINT)])), CAST(4294967295 AS UBIGINT)) % 10000 AS BIGINT)
+        AS bucket FROM u, k),
+f AS (SELECT e.doc_id, e.raw, b.bucket, count(*) AS n FROM e JOIN b ON e.word = b.word GROUP BY ALL),
+c AS (SELECT bucket, sum(CASE WHEN raw THEN n ELSE 0 END) AS s, sum(CASE WHEN raw THEN 0 ELSE n END) AS t FROM f GROUP BY bucket),
+g AS (SELECT bucket, CAST(floor(CAST(1000 AS DOUBLE) * ln((CAST(t + 1 AS DOUBLE) * CAST(sum(s) OVER () + 10000 AS DOUBLE))
+        / (CAST(s + 1 AS DOUBLE) * CAST(sum(t) OVER () + 10000 AS DOUBLE)))) AS BIGINT) AS gain FROM c),
+v AS (SELECT f.doc_id, sum(f.n * g.gain) AS weight FROM f JOIN g ON f.bucket = g.bucket WHERE raw GROUP BY f.doc_id),
+o AS (SELECT w.doc_id, len(w.x) AS n, CAST(coalesce(v.weight, 0) AS BIGINT) AS weight, {_draws(2024, 1).replace("doc_id", "w.doc_id")}
+      FROM w LEFT JOIN v ON w.doc_id = v.doc_id WHERE w.raw),
+z AS (SELECT *, weight + CAST(floor(CAST(-1000 AS DOUBLE) * ln(-ln((CAST(h1 AS DOUBLE) + CAST(0.5 AS DOUBLE))
+        / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS score FROM o),
+r AS (SELECT *, row_number() OVER (PARTITION BY n >= 20 ORDER BY score DESC, doc_id) AS place,
+        count(*) OVER (PARTITION BY n >= 20) * 10 // 100 AS drawn FROM z)
+SELECT doc_id, CAST(n AS BIGINT) AS n_features, weight, score,
+       CASE WHEN n >= 20 AND place <= drawn THEN CAST(place AS BIGINT) END AS rank
+FROM r
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_warc_zip": OP2,
     "op4_jaccard_join": OP4,
     "op6_suffix_dedup": OP6,
     "op7_line_dedup": OP7,
     "op8_substring_dedup": OP8,
+    "op11_fim": OP11,
+    "op13_importance": OP13,
 }

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestar.llm import (
-    imatch, jaccard_join, langid, line_dedup, mixing, nearest, packing, substring_dedup,
-    suffix_dedup, warc_zip,
+    fim, imatch, importance, jaccard_join, langid, line_dedup, mixing, nearest, packing,
+    substring_dedup, suffix_dedup, token_counts, warc_zip,
 )
 from lodestar.llm.common import read_table, tokenizer_path
 from lodestar.llm.oracle import ORACLE_SQL  # noqa: F401
@@ -75,6 +75,23 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(*mixing.mix(read_table(spark, sf_dir, "documents")))
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.fill_in_middle(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                      F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(fim.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = importance.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"),
+                              "item_id")
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES: dict[str, Query] = {
     "op1_imatch": op1_imatch,
     "op2_warc_zip": op2_warc_zip,
@@ -86,4 +103,7 @@ QUERIES: dict[str, Query] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_nearest": op9_nearest,
     "op10_mixing": op10_mixing,
+    "op11_fim": op11_fim,
+    "op12_token_counts": op12_token_counts,
+    "op13_importance": op13_importance,
 }
