@@ -38,6 +38,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.llm.fim import groups
+
 LIMIT = 2048
 PORTION = 1 << 17  # pre-tokens at a time
 CACHE_BYTES = 16 << 20  # of remembered pre-tokens and words
@@ -184,18 +186,7 @@ class TokenCounter:
             self.words = re.compile(r"[^\x20\x09-\x0D]+").findall
             pieces = _piece_encoder(proof.path)
             self.merge = lambda texts: [len(e.ids) for e in pieces.encode_batch_fast(texts, add_special_tokens=False)]
-        self.merged: dict[str, int] = {}
-        self.odd: dict[str, int] = {}
-
-    def _sum(self, items: list[str], known: dict[str, int], encode) -> int:
-        """Tokens of ``items``; those not known are encoded once, and remembered."""
-        new = list(set(items).difference(known))
-        if new:
-            if sum(map(len, known)) + sum(map(len, new)) > CACHE_BYTES:
-                known.clear()
-                new = list(set(items))
-            known.update(zip(new, encode(new)))
-        return sum(map(known.__getitem__, items))
+            self.merged, self.odd = Remembered(self.merge), Remembered(self.library)
 
     def _portions(self, text: str) -> Iterator[list[str]]:
         if len(text) <= 4 * PORTION:
@@ -205,30 +196,73 @@ class TokenCounter:
         while part := list(islice(found, PORTION)):
             yield part
 
-    def _plain_count(self, text: str) -> int:
-        whole, total = self.proof.whole, 0
+    def _usual(self, text: str) -> bool:
+        return self.plain(text) is not None and not any(s in text for s in self.proof.special)
+
+    def _taken_apart(self, text: str) -> Iterator[tuple[int, list[str], list[str]]]:
+        """Whole tokens, pre-tokens to merge, and words for the library, portion by portion."""
+        odd: list[str] = []
+        if not self._usual(text):
+            words = self.words(text)
+            odd = [w for w in words if not self._usual(w)]
+            text = " ".join(w for w in words if self._usual(w))
+        whole = self.proof.whole
         for part in self._portions(text.lower()):
             rest = [p for p in part if p not in whole]
-            total += len(part) - len(rest)  # one token each
-            if rest:
-                total += self._sum(rest, self.merged, self.merge)
-        return total
+            yield len(part) - len(rest), rest, odd
+            odd = []
 
-    def _usual(self, text: str) -> bool:
-        return self.plain(text) is not None and not any(s in text for s in self.proof.special)
+    def counts(self, texts: Iterable[str | None]) -> list[int]:
+        """Tokens of each text; what several texts have in common is encoded once."""
+        if self.proof.plain is None:
+            return [self.library([t])[0] if t else 0 for t in texts]
+        totals: list[int] = []
+        owners: list[int] = []
+        rests: list[list[str]] = []
+        odds: list[list[str]] = []
+        size = 0
+
+        def settle() -> None:
+            for lists, known in ((rests, self.merged), (odds, self.odd)):
+                known.learn({x for items in lists for x in items})
+                for i, items in zip(owners, lists):
+                    totals[i] += sum(map(known.counts.__getitem__, items))
+                lists.clear()
+            owners.clear()
+
+        for i, text in enumerate(texts):
+            totals.append(0)
+            for whole, rest, odd in self._taken_apart(text or ""):
+                totals[i] += whole
+                owners.append(i)
+                rests.append(rest)
+                odds.append(odd)
+                size += len(rest) + len(odd)
+                if size >= PORTION:
+                    settle()
+                    size = 0
+        settle()
+        return totals
 
     def count(self, text: str) -> int:
-        if self.proof.plain is None:
-            return self.library([text])[0]
-        if self._usual(text):
-            return self._plain_count(text)
-        words = self.words(text)
-        odd = [w for w in words if not self._usual(w)]
-        return (self._plain_count(" ".join(w for w in words if self._usual(w)))
-                + self._sum(odd, self.odd, self.library))
+        return self.counts([text])[0]
 
-    def counts(self, texts: Iterable[str | None]) -> list[int]:
-        return [self.count(t) if t else 0 for t in texts]
+
+class Remembered:
+    """Numbers of tokens of strings; forgotten as a whole when they take too many bytes."""
+
+    def __init__(self, encode):
+        self.encode, self.counts, self.size = encode, {}, 0
+
+    def learn(self, items: set[str]) -> None:
+        new = items.difference(self.counts)
+        size = sum(map(len, new))
+        if self.size + size > CACHE_BYTES:
+            self.counts, new = {}, items
+            self.size, size = 0, sum(map(len, items))
+        self.size += size
+        listed = list(new)
+        self.counts.update(zip(listed, self.encode(listed)))
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, proof: Proof | None = None) -> DataFrame:
@@ -242,9 +276,8 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT, proof: Proof |
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         counter = TokenCounter(proof)
         for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                part = batch.slice(a, 256)
-                n = [counter.count(t.as_py()) if t.is_valid else 0 for t in part.column("text")]
+            for part in groups(batch, "text"):
+                n = counter.counts(t.as_py() for t in part.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("n_bytes"), pa.array(n, pa.int64())],
                     ["doc_id", "n_bytes", "n_tokens"])
