@@ -15,10 +15,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions import scoring
+from lodestar.operators import topk
+from lodestar.operators.rank import rank_within
 from lodestar.operators.skew import salted_key_join
 
 DEFAULT_K = 20
-MAX_K = 100_000  # hits are broadcast, and in eager mode fetched
+MAX_K = 100_000  # up to here hits are broadcast, and in eager mode fetched; above they are ranked in parallel
 MAX_EAGER_KEYS = 200  # matching terms that are looked up before their postings are read
 IN_VALUES = 10  # Parquet gets longer IN lists as one range
 
@@ -142,12 +144,21 @@ def _top_hits(scores: DataFrame, doc_stats_df: DataFrame, k: int, digits: int |
       headlines are read with short ``doc_id IN (...)`` lists pushed into the Parquet scan,
       which on a doc-id-sorted table reads only the row groups of those k documents.
 
+    More than ``MAX_K`` hits are neither broadcast nor sorted in one task: they are ranked over
+    ranges of scores (``rank_within``) and joined with the headlines by document.
+
     A winner without a row in ``doc_stats`` keeps its place, with a null headline.
     """
-    if not 0 < k <= MAX_K:
-        raise ValueError(f"k must be from 1 to {MAX_K}")
+    if k < 1:
+        raise ValueError("k must be at least 1")
     if digits is not None:
         scores = scores.withColumn("score", F.round("score", digits))
+    if k > MAX_K:
+        order = [F.col("score").desc(), F.col("doc_id").asc()]
+        placed = rank_within(scores.select("doc_id", "score", F.lit(0).alias("_list")), "_list", order)
+        return placed.where(F.col("rank") <= k).join(
+            doc_stats_df.select("doc_id", "headline"), "doc_id", "left").select(
+            F.col("rank").cast("int").alias("rank"), "doc_id", "score", "headline")
     top = scores.orderBy(F.col("score").desc(), F.col("doc_id").asc()).limit(k)
     if eager:
         winners = top.collect()
@@ -179,6 +190,31 @@ def bm25(weights_df: DataFrame, doc_stats_df: DataFrame, words: str | Iterable[s
     return _top_hits(scores, doc_stats_df, k, digits, eager)
 
 
+def _slack(digits: int | None) -> float:
+    """How far sums of weights may lie apart and still round to one score (half the sum)."""
+    return 0.0 if digits is None else 2.0 * 10.0 ** -digits
+
+
+def bm25_pruned(weights_df: DataFrame, impacts_df: DataFrame, blocks_df: DataFrame, doc_stats_df: DataFrame,
+                words: str | Iterable[str], k: int = DEFAULT_K, digits: int | None = None,
+                eager: bool = False, block_size: int = topk.BLOCK_SIZE) -> DataFrame:
+    """The hits of ``bm25``, reading only postings that can matter (see ``operators.topk``)."""
+    ws = sorted(set(query_words(words)))
+    found = topk.candidate_postings(weights_df, impacts_df, blocks_df, dict.fromkeys(ws, 1.0), k,
+                                    _slack(digits), block_size)
+    return bm25(found, doc_stats_df, ws, k, digits, eager)
+
+
+def tfidf_pruned(weights_df: DataFrame, impacts_df: DataFrame, blocks_df: DataFrame, doc_stats_df: DataFrame,
+                 words: str | Iterable[str], k: int = DEFAULT_K, digits: int | None = None,
+                 eager: bool = False, block_size: int = topk.BLOCK_SIZE) -> DataFrame:
+    """The hits of ``tfidf``, reading only postings that can matter (see ``operators.topk``)."""
+    ws = query_words(words)
+    factors = {w: float(n) for w, n in Counter(ws).items()}
+    found = topk.candidate_postings(weights_df, impacts_df, blocks_df, factors, k, _slack(digits), block_size)
+    return tfidf(found, doc_stats_df, ws, k, digits, eager)
+
+
 def _query_pairs(weights_df: DataFrame, words: list[str]) -> DataFrame:
     """Matched postings with the query count ``qtf`` and query weight ``qw``."""
     m = postings_any(weights_df, words)

@@ -95,11 +95,15 @@ def merge_weights(*parts: DataFrame) -> DataFrame:
     ).select("term", "doc_id", "_row.tf", "_row.idf", "_row.weight")
 
 
-def impact_order(weights_df: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """Add ``impact_rank``: 1 for the heaviest posting of a term, ties by doc id."""
+def impact_order(weights_df: DataFrame, num_partitions: int | None = None,
+                 stored: bool = False) -> DataFrame:
+    """Add ``impact_rank``: 1 for the heaviest posting of a term, ties by doc id.
+
+    ``stored`` says that ``weights_df`` reads a written table, so it needs no copy.
+    """
     return rank_within(
         weights_df, "term", [F.col("weight").desc(), F.col("doc_id").asc()],
-        rank_col="impact_rank", num_partitions=num_partitions,
+        rank_col="impact_rank", num_partitions=num_partitions, stored=stored,
     )
 
 

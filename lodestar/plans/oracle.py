@@ -289,6 +289,14 @@ def sql() -> dict[str, str]:
         "NULLIF(sqrt(sum(qtf * qw * qw)) * sqrt(sum(qtf * dw * dw)), 0), "
         f"{D}) AS score FROM m GROUP BY doc_id"
     )
+    s["search_bm25_pruned"], s["search_tfidf_pruned"] = s["search_bm25"], s["search_tfidf"]
+    s["impact_blocks_bm25"] = W_BM25 + (
+        "SELECT term, CAST((rnk - 1) // 64 AS BIGINT) AS block, count(*) AS n, "
+        f"{_r('max(weight)', 'max_weight')}, {_r('min(weight)', 'min_weight')}, "
+        "min(doc_id) AS min_doc, max(doc_id) AS max_doc FROM (SELECT term, doc_id, weight, "
+        "row_number() OVER (PARTITION BY term ORDER BY weight DESC, doc_id) AS rnk FROM w) "
+        "GROUP BY term, (rnk - 1) // 64"
+    )
     s["index_roundtrip"] = s["term_frequency"]
     s["stream_postings"] = s["term_frequency"]
     s["write_hits"] = s["search_bm25"]

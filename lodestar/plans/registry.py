@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from lodestar.functions import markup
 from lodestar.functions.text import doc_text
-from lodestar.operators import index, search, weights
+from lodestar.operators import index, search, topk, weights
+from lodestar.plans.build import BuildOptions, SearchIndex, build_index
 from lodestar.plans.catalog import corpus, table, unique_corpus
 from lodestar.session import scratch_path
 from lodestar.sources import delimited, news_xml, results
@@ -360,6 +361,29 @@ def q_search_cosine(spark, sf):
     return search.cosine(_tfidf(spark, sf, TFIDF_QUERY), _headlines(spark, sf), TFIDF_QUERY, K, DIGITS)
 
 
+def _built(spark, sf, scheme):
+    """A stored index with the weights of one scheme."""
+    store = IndexStore(spark, scratch_path(spark, "index"))
+    return SearchIndex(build_index(corpus(spark, sf), store, BuildOptions(
+        tables=("doc_stats", "corpus_stats", f"weights_{scheme}"))))
+
+
+def q_search_bm25_pruned(spark, sf):
+    """The hits of search_bm25 from a stored index, without summing every posting."""
+    return _built(spark, sf, "bm25").bm25_pruned(BM25_QUERY, K, DIGITS)
+
+
+def q_search_tfidf_pruned(spark, sf):
+    return _built(spark, sf, "tfidf").tfidf_pruned(TFIDF_QUERY, K, DIGITS)
+
+
+def q_impact_blocks_bm25(spark, sf):
+    """The block table of the stored BM25 weights (64 postings a block)."""
+    ranked = weights.impact_order(_bm25(spark, sf))
+    return topk.block_table(topk.impact_table(ranked), 64).select(
+        "term", "block", "n", _r("max_weight"), _r("min_weight"), "min_doc", "max_doc")
+
+
 def q_stream_postings(spark, sf):
     """Postings built by the streaming part ingest over the documents table."""
     from lodestar.streaming.incremental import merged_postings, start_part_ingest
@@ -423,6 +447,9 @@ QUERIES: dict[str, Query] = {
     "search_bm25": q_search_bm25,
     "search_tfidf": q_search_tfidf,
     "search_cosine": q_search_cosine,
+    "search_bm25_pruned": q_search_bm25_pruned,
+    "search_tfidf_pruned": q_search_tfidf_pruned,
+    "impact_blocks_bm25": q_impact_blocks_bm25,
     "index_roundtrip": q_index_roundtrip,
     "export_delimited": q_export_delimited,
     "ingest_delimited": q_ingest_delimited,

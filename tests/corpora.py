@@ -19,3 +19,25 @@ def make_corpus(spark, docs):
             doc_id, title, byline, text, headline = d
         rows.append((doc_id, None, title, headline, byline, None, text, [], [], []))
     return spark.createDataFrame(rows, CORPUS)
+
+
+def scanned_rows(df):
+    """Rows that the file scans of ``df`` gave out, from the metrics of the plan that ran."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.executeCollect()
+    total, stack = 0, [plan]
+    while stack:
+        p = stack.pop()
+        name = p.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            stack.append(p.executedPlan())
+        elif name.endswith("QueryStageExec"):
+            stack.append(p.plan())
+        elif name == "ReusedExchangeExec":
+            continue
+        elif name == "FileSourceScanExec":
+            total += p.metrics().apply("numOutputRows").value()
+        else:
+            children = p.children()
+            stack.extend(children.apply(i) for i in range(children.size()))
+    return total
