@@ -289,6 +289,16 @@ def sql() -> dict[str, str]:
         "NULLIF(sqrt(sum(qtf * qw * qw)) * sqrt(sum(qtf * dw * dw)), 0), "
         f"{D}) AS score FROM m GROUP BY doc_id"
     )
+    s["text_lists_unigram"] = _with(_ctes("t1"), POST, TS) + (
+        "SELECT post.term, ts.cf, post.doc_id FROM post JOIN ts ON post.term = ts.term")
+    s["text_lists_bigram"] = _with(_ctes("t1").replace(_pieces("t1"), _pieces("t2")), BIGRAM_POST) + (
+        "SELECT bpost.bigram, bts.cf, bpost.doc_id FROM bpost JOIN bts ON bpost.bigram = bts.bigram")
+    s["text_lists_positional"] = _with(_ctes("t3"), POSITIONS) + (
+        "SELECT term, CAST(count(*) OVER (PARTITION BY term) AS BIGINT) AS frequency, doc_id, pos FROM pos")
+    s["text_lists_weights"] = W_TFIDF + (
+        f"SELECT w.term, {_r('w.idf', 'idf')}, w.doc_id, {_r('w.weight', 'weight')}, "
+        "regexp_replace(regexp_replace(headline, '\r\n', '', 'g'), '[\r\n]', ' ', 'g') AS headline "
+        "FROM w JOIN corpus ON w.doc_id = corpus.doc_id")
     s["search_bm25_pruned"], s["search_tfidf_pruned"] = s["search_bm25"], s["search_tfidf"]
     s["impact_blocks_bm25"] = W_BM25 + (
         "SELECT term, CAST((rnk - 1) // 64 AS BIGINT) AS block, count(*) AS n, "

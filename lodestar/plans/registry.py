@@ -19,7 +19,7 @@ from lodestar.operators import index, search, topk, weights
 from lodestar.plans.build import BuildOptions, SearchIndex, build_index
 from lodestar.plans.catalog import corpus, table, unique_corpus
 from lodestar.session import scratch_path
-from lodestar.sources import delimited, news_xml, results
+from lodestar.sources import delimited, news_xml, posting_text, results
 from lodestar.sources.documents import dedupe_docs
 from lodestar.sources.store import IndexStore
 
@@ -361,6 +361,37 @@ def q_search_cosine(spark, sf):
     return search.cosine(_tfidf(spark, sf, TFIDF_QUERY), _headlines(spark, sf), TFIDF_QUERY, K, DIGITS)
 
 
+def _lines(spark, lines, name):
+    """Lists written as text lines and read again."""
+    path = scratch_path(spark, name)
+    posting_text.write_lines(lines, path)
+    return posting_text.read_lines(spark, path)
+
+
+def q_text_lists_unigram(spark, sf):
+    p = index.postings(unique_corpus(spark, sf))
+    view = index.posting_list_view(p, index.term_stats(p), block_size=VIEW_BLOCK)
+    return posting_text.parse_postings(_lines(spark, posting_text.posting_lines(view), "unigram-lists"))
+
+
+def q_text_lists_bigram(spark, sf):
+    p = index.bigram_postings(unique_corpus(spark, sf))
+    view = index.bigram_list_view(p, index.bigram_stats(p), VIEW_BLOCK)
+    return posting_text.parse_postings(
+        _lines(spark, posting_text.posting_lines(view, "bigram"), "bigram-lists"), "bigram")
+
+
+def q_text_lists_positional(spark, sf):
+    view = index.positional_list_view(index.positions(unique_corpus(spark, sf)), VIEW_BLOCK)
+    return posting_text.parse_positions(_lines(spark, posting_text.positional_lines(view), "positional-lists"))
+
+
+def q_text_lists_weights(spark, sf):
+    view = weights.weight_list_view(weights.impact_order(_tfidf(spark, sf)), _headlines(spark, sf), VIEW_BLOCK)
+    return posting_text.parse_weights(_lines(spark, posting_text.weight_lines(view), "weight-lists"), True).select(
+        "term", _r("idf"), "doc_id", _r("weight"), "headline")
+
+
 def _built(spark, sf, scheme):
     """A stored index with the weights of one scheme."""
     store = IndexStore(spark, scratch_path(spark, "index"))
@@ -447,6 +478,10 @@ QUERIES: dict[str, Query] = {
     "search_bm25": q_search_bm25,
     "search_tfidf": q_search_tfidf,
     "search_cosine": q_search_cosine,
+    "text_lists_unigram": q_text_lists_unigram,
+    "text_lists_bigram": q_text_lists_bigram,
+    "text_lists_positional": q_text_lists_positional,
+    "text_lists_weights": q_text_lists_weights,
     "search_bm25_pruned": q_search_bm25_pruned,
     "search_tfidf_pruned": q_search_tfidf_pruned,
     "impact_blocks_bm25": q_impact_blocks_bm25,
