@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions import scoring
-from lodestar.operators import topk
+from lodestar.operators import grams, topk
 from lodestar.operators.rank import rank_within
 from lodestar.operators.skew import salted_key_join
 
@@ -85,6 +85,35 @@ def bigram_substring(bigram_stats_df: DataFrame, bigram_postings_df: DataFrame,
     return term_substring(bigram_stats_df, bigram_postings_df, q, "bigram", eager)
 
 
+def _of_keys(keys: DataFrame, stats_df: DataFrame, postings_df: DataFrame, key: str) -> DataFrame:
+    """``(key, frequency, doc_id)`` of the terms in ``keys``.
+
+    Few of them are looked up by name; more are joined (hot ones salted), so nothing unbounded
+    reaches the driver.
+    """
+    names = [r[key] for r in keys.limit(MAX_EAGER_KEYS + 1).collect()]
+    if len(names) <= MAX_EAGER_KEYS:
+        cond = among(key, sorted(names))
+        return _with_frequency(postings_df.where(cond).select(key, "doc_id"), stats_df.where(cond), key)
+    return _with_frequency(postings_df.select(key, "doc_id"), stats_df.join(keys, key, "left_semi"), key)
+
+
+def term_substring_grams(grams_df: DataFrame, term_stats_df: DataFrame, postings_df: DataFrame, q: str,
+                         key: str = "term") -> DataFrame:
+    """The rows of ``term_substring``, with the terms found in a gram table (``operators.grams``)."""
+    q = q.lower()
+    if not q:
+        return term_substring(term_stats_df, postings_df, q, key)
+    return _of_keys(grams.keys_containing(grams_df, q, key), term_stats_df, postings_df, key)
+
+
+def term_like(grams_df: DataFrame, reversed_df: DataFrame, term_stats_df: DataFrame, postings_df: DataFrame,
+              pattern: str, key: str = "term") -> DataFrame:
+    """``(term, frequency, doc_id)`` of the terms that a LIKE pattern matches."""
+    keys = grams.keys_like(term_stats_df, grams_df, reversed_df, pattern.lower(), key)
+    return _of_keys(keys, term_stats_df, postings_df, key)
+
+
 def term_exact(term_stats_df: DataFrame, postings_df: DataFrame, word: str,
                like: bool = False) -> DataFrame:
     """``(term, frequency, doc_id)`` for one term; ``like=True`` treats ``%``/``_`` as

@@ -299,6 +299,15 @@ def sql() -> dict[str, str]:
         f"SELECT w.term, {_r('w.idf', 'idf')}, w.doc_id, {_r('w.weight', 'weight')}, "
         "regexp_replace(regexp_replace(headline, '\r\n', '', 'g'), '[\r\n]', ' ', 'g') AS headline "
         "FROM w JOIN corpus ON w.doc_id = corpus.doc_id")
+    s["search_term_substring_grams"] = s["search_term_substring"]
+    s["search_bigram_substring_grams"] = s["search_bigram_substring"]
+    for name, pattern in (("prefix", R.LIKE_PREFIX), ("suffix", R.LIKE_SUFFIX), ("inner", R.LIKE_INNER)):
+        s[f"search_term_like_{name}"] = _with(_ctes("t1"), POST, TS) + (
+            "SELECT post.term, ts.cf AS frequency, post.doc_id FROM post JOIN ts ON post.term = ts.term "
+            f"WHERE post.term LIKE {_lit(pattern)}")
+    s["term_grams"] = _with(_ctes("t1"), POST, TS) + (
+        "SELECT DISTINCT substr(term, i, 3) AS gram, term FROM "
+        "(SELECT term, unnest(range(1, length(term) + 1)) AS i FROM ts)")
     s["search_bm25_pruned"], s["search_tfidf_pruned"] = s["search_bm25"], s["search_tfidf"]
     s["impact_blocks_bm25"] = W_BM25 + (
         "SELECT term, CAST((rnk - 1) // 64 AS BIGINT) AS block, count(*) AS n, "

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lodestar.functions import markup
 from lodestar.functions.text import doc_text
-from lodestar.operators import index, search, topk, weights
+from lodestar.operators import grams, index, search, topk, weights
 from lodestar.plans.build import BuildOptions, SearchIndex, build_index
 from lodestar.plans.catalog import corpus, table, unique_corpus
 from lodestar.session import scratch_path
@@ -32,6 +32,7 @@ TFIDF_QUERY = ["the", "the", "of", "ention"]
 SUBSTRING_QUERY = "ention"
 BIGRAM_QUERY = "and th"
 EXACT_QUERY = "and"
+LIKE_PREFIX, LIKE_SUFFIX, LIKE_INNER = "th_%", "%ing", "%enti_n%"
 PROXIMITY = ("of", "the", 1)
 # The merge query builds weights on two overlapping parts that together hold every
 # document: ids below the 60 % point of the id range, and ids from the 40 % point on.
@@ -392,11 +393,32 @@ def q_text_lists_weights(spark, sf):
         "term", _r("idf"), "doc_id", _r("weight"), "headline")
 
 
-def _built(spark, sf, scheme):
-    """A stored index with the weights of one scheme."""
+def _stored(spark, sf, *tables):
+    """A stored index with some of its tables."""
     store = IndexStore(spark, scratch_path(spark, "index"))
-    return SearchIndex(build_index(corpus(spark, sf), store, BuildOptions(
-        tables=("doc_stats", "corpus_stats", f"weights_{scheme}"))))
+    return SearchIndex(build_index(corpus(spark, sf), store, BuildOptions(tables=tables)))
+
+
+def _built(spark, sf, scheme):
+    return _stored(spark, sf, "doc_stats", "corpus_stats", f"weights_{scheme}")
+
+
+def q_term_grams(spark, sf):
+    return grams.gram_table(index.term_stats(index.postings(unique_corpus(spark, sf))))
+
+
+def q_search_term_substring_grams(spark, sf):
+    return _stored(spark, sf, "term_grams").term_substring_grams(SUBSTRING_QUERY)
+
+
+def q_search_bigram_substring_grams(spark, sf):
+    return _stored(spark, sf, "bigram_grams").bigram_substring_grams(BIGRAM_QUERY)
+
+
+def _like(pattern: str) -> Query:
+    def run(spark, sf):
+        return _stored(spark, sf, "term_grams").term_like(pattern)
+    return run
 
 
 def q_search_bm25_pruned(spark, sf):
@@ -482,6 +504,12 @@ QUERIES: dict[str, Query] = {
     "text_lists_bigram": q_text_lists_bigram,
     "text_lists_positional": q_text_lists_positional,
     "text_lists_weights": q_text_lists_weights,
+    "term_grams": q_term_grams,
+    "search_term_substring_grams": q_search_term_substring_grams,
+    "search_bigram_substring_grams": q_search_bigram_substring_grams,
+    "search_term_like_prefix": _like(LIKE_PREFIX),
+    "search_term_like_suffix": _like(LIKE_SUFFIX),
+    "search_term_like_inner": _like(LIKE_INNER),
     "search_bm25_pruned": q_search_bm25_pruned,
     "search_tfidf_pruned": q_search_tfidf_pruned,
     "impact_blocks_bm25": q_impact_blocks_bm25,

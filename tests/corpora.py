@@ -41,3 +41,7 @@ def scanned_rows(df):
             children = p.children()
             stack.extend(children.apply(i) for i in range(children.size()))
     return total
+
+
+def plan_text(df):
+    return df._jdf.queryExecution().executedPlan().toString()
