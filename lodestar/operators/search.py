@@ -150,6 +150,27 @@ def proximity_pairs(positions_df: DataFrame, w1: str, w2: str, delta: int = 1) -
     return pairs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_pairs"))
 
 
+def proximity_by_document(positions_df: DataFrame, w1: str, w2: str, delta: int = 1) -> DataFrame:
+    """The rows of ``proximity_pairs`` from one scan and one aggregate by document, without a join.
+
+    A document's places of both words come together (bounded by its length), those of w1
+    moved by ``delta`` meet those of w2.  On positions that are bucketed by document
+    (``sources.colocated``) there is no exchange.
+    """
+    if delta < 0:
+        raise ValueError("delta must be >= 0")
+    a, b = w1.lower(), w2.lower()
+    is_a, is_b = F.col("term") == F.lit(a), F.col("term") == F.lit(b)
+    places = positions_df.where(is_a | is_b).groupBy("doc_id").agg(
+        F.collect_list(F.when(is_a, F.col("pos"))).alias("a"), F.collect_list(F.when(is_b, F.col("pos"))).alias("b"))
+
+    def met(by: int) -> Column:
+        return F.size(F.array_intersect(F.transform("a", lambda p: p + by), F.col("b")))
+
+    pairs = met(0) if delta == 0 else met(delta) + met(-delta)
+    return places.select("doc_id", pairs.cast("bigint").alias("n_pairs")).where(F.col("n_pairs") > 0)
+
+
 def proximity(positions_df: DataFrame, w1: str, w2: str, delta: int = 1) -> DataFrame:
     """``(doc_id)`` of documents where w1 and w2 occur exactly ``delta`` apart."""
     return proximity_pairs(positions_df, w1, w2, delta).select("doc_id")

@@ -299,6 +299,8 @@ def sql() -> dict[str, str]:
         f"SELECT w.term, {_r('w.idf', 'idf')}, w.doc_id, {_r('w.weight', 'weight')}, "
         "regexp_replace(regexp_replace(headline, '\r\n', '', 'g'), '[\r\n]', ' ', 'g') AS headline "
         "FROM w JOIN corpus ON w.doc_id = corpus.doc_id")
+    s["search_proximity_colocated"] = s["search_proximity_pairs"]
+    s["postings_with_headline_colocated"] = s["postings_with_headline"]
     s["search_term_substring_grams"] = s["search_term_substring"]
     s["search_bigram_substring_grams"] = s["search_bigram_substring"]
     for name, pattern in (("prefix", R.LIKE_PREFIX), ("suffix", R.LIKE_SUFFIX), ("inner", R.LIKE_INNER)):

@@ -19,7 +19,7 @@ from lodestar.operators import grams, index, search, topk, weights
 from lodestar.plans.build import BuildOptions, SearchIndex, build_index
 from lodestar.plans.catalog import corpus, table, unique_corpus
 from lodestar.session import scratch_path
-from lodestar.sources import delimited, news_xml, posting_text, results
+from lodestar.sources import colocated, delimited, news_xml, posting_text, results
 from lodestar.sources.documents import dedupe_docs
 from lodestar.sources.store import IndexStore
 
@@ -403,6 +403,22 @@ def _built(spark, sf, scheme):
     return _stored(spark, sf, "doc_stats", "corpus_stats", f"weights_{scheme}")
 
 
+def _together(spark, sf, *names):
+    c = unique_corpus(spark, sf)
+    make = {"positions": index.positions, "postings": index.postings, "doc_stats": index.doc_stats}
+    return colocated.write_colocated(spark, scratch_path(spark, "colocated"), {n: make[n](c) for n in names})
+
+
+def q_search_proximity_colocated(spark, sf):
+    return search.proximity_by_document(_together(spark, sf, "positions").read("positions"), *PROXIMITY)
+
+
+def q_postings_with_headline_colocated(spark, sf):
+    tables = _together(spark, sf, "postings", "doc_stats")
+    return tables.read("postings").join(tables.read("doc_stats"), "doc_id").select(
+        "term", "doc_id", "tf", "headline")
+
+
 def q_term_grams(spark, sf):
     return grams.gram_table(index.term_stats(index.postings(unique_corpus(spark, sf))))
 
@@ -504,6 +520,8 @@ QUERIES: dict[str, Query] = {
     "text_lists_bigram": q_text_lists_bigram,
     "text_lists_positional": q_text_lists_positional,
     "text_lists_weights": q_text_lists_weights,
+    "search_proximity_colocated": q_search_proximity_colocated,
+    "postings_with_headline_colocated": q_postings_with_headline_colocated,
     "term_grams": q_term_grams,
     "search_term_substring_grams": q_search_term_substring_grams,
     "search_bigram_substring_grams": q_search_bigram_substring_grams,
