@@ -255,6 +255,11 @@ def sql() -> dict[str, str]:
     s["impact_order_tfidf"] = W_TFIDF + impact
     s["weights_bm25_doubled"] = s["weights_bm25"]
     s["merge_weights"] = _merged()
+    s["merge_weights_common"] = _with(_ctes("t1"), POST, DL, CS, TS, IDF, BM25.replace("w AS", "wb AS", 1)) + (
+        ", wt AS (" + TFIDF.split("w AS (", 1)[1] +
+        f" SELECT wb.term, wb.doc_id, wb.tf, {_r('wb.idf', 'idf')}, {_r('wb.weight', 'bm25')}, {_r('wt.weight', 'tfidf')} "
+        "FROM wb JOIN wt ON wb.term = wt.term AND wb.doc_id = wt.doc_id")
+    s["stream_statistics"] = s["index_unigram"]
     s["query_weights"] = _with(_ctes("t1"), POST, DL, CS, TS, IDF, QUERY_CTE) + (
         "SELECT q.term, CAST(q.qtf AS BIGINT) AS qtf, "
         f"{_r('ti.idf', 'idf')}, {_r('(CAST(1.0 AS DOUBLE) + ln(CAST(q.qtf AS DOUBLE))) * ti.idf', 'qweight')} "

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lodestar.functions import markup
 from lodestar.functions.text import doc_text
-from lodestar.operators import grams, index, search, topk, weights
+from lodestar.operators import grams, index, maintain, search, topk, weights
 from lodestar.plans.build import BuildOptions, SearchIndex, build_index
 from lodestar.plans.catalog import corpus, table, unique_corpus
 from lodestar.session import scratch_path
@@ -312,6 +312,29 @@ def q_merge_weights(spark, sf):
     return weights.merge_weights(low, high).select("term", "doc_id", "tf", _r("idf"), _r("weight"))
 
 
+def q_merge_weights_common(spark, sf):
+    """The same two overlapping parts, weighted under their common statistics."""
+    c = unique_corpus(spark, sf)
+    bounds = F.broadcast(c.agg(F.min("doc_id").alias("_lo"), F.max("doc_id").alias("_hi")))  # 1 row
+    cut = lambda f: F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.lit(f)
+    tagged = c.crossJoin(bounds)
+    parts = [tagged.where(cond).drop("_lo", "_hi") for cond in (
+        F.col("doc_id") < cut(MERGE_HI), F.col("doc_id") >= cut(MERGE_LO))]
+    merged = maintain.common_weights([(index.term_frequency(p), index.doc_length(p)) for p in parts])
+    return merged.select("term", "doc_id", "tf", _r("idf"), _r("bm25"), _r("tfidf"))
+
+
+def q_stream_statistics(spark, sf):
+    """Term statistics kept up by two ingests of the documents, the second one replacing all."""
+    from lodestar.streaming.incremental import maintained_term_stats, start_part_ingest
+
+    store = IndexStore(spark, scratch_path(spark, "stream-index"))
+    for _ in range(2):
+        start_part_ingest(spark, f"{sf}/documents*.parquet", store,
+                          scratch_path(spark, "stream-ckpt")).awaitTermination()
+    return maintained_term_stats(spark, store)
+
+
 def q_query_weights(spark, sf):
     tf = _tf(spark, sf)
     ti = weights.term_idf(index.term_stats(tf), _stats(spark, sf))
@@ -506,6 +529,8 @@ QUERIES: dict[str, Query] = {
     "impact_order_bm25": q_impact_order_bm25,
     "impact_order_tfidf": q_impact_order_tfidf,
     "merge_weights": q_merge_weights,
+    "merge_weights_common": q_merge_weights_common,
+    "stream_statistics": q_stream_statistics,
     "query_weights": q_query_weights,
     "search_term_substring": q_search_term_substring,
     "search_bigram_substring": q_search_bigram_substring,

@@ -5,14 +5,14 @@ documents, their postings and their stats into folders ``run=<n>-<query>/epoch=<
 query id lives in the stream's checkpoint: a replayed epoch (after a failure) overwrites
 its own folder, and another checkpoint over the same store is another run that never
 touches earlier ones.  Runs are numbered as they first appear.  Corpus-wide values (df, N,
-avgdl) change with every part, so the index is finished from the merged parts with the
-batch operators (``finish_index``); the newest version of every document wins.
+avgdl) change with every part: each epoch writes its signed changes, less those of the document
+versions it replaces (``operators.maintain``), and ``finish_index`` sums them and makes the weights
+from the merged parts; the newest version of every document wins.
 """
 
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lodestar.operators import index
-from lodestar.plans.build import BuildOptions, write_weights
+from lodestar.operators import index, maintain
+from lodestar.plans.build import BuildOptions, write_grams, write_weights
 from lodestar.sources.documents import dedupe_docs, from_documents
 from lodestar.sources.store import IndexStore, write_table
 
@@ -30,14 +30,40 @@ PART = ["run", "epoch"]
 
 
 def run_name(spark: SparkSession, store: IndexStore, query_id: str) -> str:
-    """``<number>-<query id>``: the run's own number, or the next one for a new query."""
+    """``<number>-<query id>``: the run's own number, or the next one for a new query.
+
+    Runs are kept in a table of one row a run, so no listing of parts is needed.
+    """
     try:
-        files = spark.read.parquet(store.path("doc_stats_parts")).inputFiles()
-    except AnalysisException:  # no part yet
-        files = []
-    known = {m[1] for f in files if (m := re.search(r"/run=([^/]+)/", f))}
+        known = [r["run"] for r in spark.read.schema("run string").parquet(store.path("runs")).collect()]
+    except AnalysisException:  # no run yet
+        known = []
     mine = [r for r in known if r.endswith(query_id)]
-    return mine[0] if mine else f"{max([int(r[:8]) for r in known], default=0) + 1:08d}-{query_id}"
+    if mine:
+        return mine[0]
+    run = f"{max([int(r[:8]) for r in known], default=0) + 1:08d}-{query_id}"
+    spark.createDataFrame([(run,)], "run string").coalesce(1).write.mode("append").parquet(store.path("runs"))
+    return run
+
+
+def _replaced(spark: SparkSession, store: IndexStore, ids: DataFrame, part: tuple[str, int]) -> DataFrame | None:
+    """The corpus rows that a part's documents replace: their newest versions in earlier parts.
+
+    Only the parts that hold such a version are read (a row a part reaches the driver).
+    """
+    try:
+        before = spark.read.parquet(store.path("doc_stats_parts"))
+    except AnalysisException:  # the first part
+        return None
+    earlier = F.struct("run", F.col("epoch").cast("bigint")) < F.struct(F.lit(part[0]), F.lit(part[1]).cast("bigint"))
+    versions = before.where(earlier).join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(
+        F.max(F.struct(*PART)).alias("v")).select("doc_id", "v.run", "v.epoch")
+    held = [tuple(r) for r in versions.select(*PART).distinct().collect()]
+    if not held:
+        return None
+    folders = [os.path.join(store.path("corpus_parts"), f"run={r}", f"epoch={e}") for r, e in sorted(held)]
+    rows = spark.read.option("basePath", store.path("corpus_parts")).parquet(*folders)
+    return rows.join(versions, ["doc_id", *PART], "left_semi").drop(*PART)
 
 
 def start_part_ingest(spark: SparkSession, source: str, store: IndexStore, checkpoint: str,
@@ -52,11 +78,18 @@ def start_part_ingest(spark: SparkSession, source: str, store: IndexStore, check
     docs = reader.parquet(source)
 
     def write_epoch(batch: DataFrame, epoch_id: int) -> None:
-        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        part = f"run={run_name(batch.sparkSession, store, query_id)}/epoch={epoch_id}"
+        spark = batch.sparkSession
+        run = run_name(spark, store, spark.sparkContext.getLocalProperty("sql.streaming.queryId"))
+        part = f"run={run}/epoch={epoch_id}"
         corpus = dedupe_docs(to_corpus(batch)).persist()  # copies inside one part collapse here
         try:
-            tables = {"corpus_parts": (corpus, ("doc_id",)),
+            old = _replaced(spark, store, corpus.select("doc_id"), (run, epoch_id))
+            gone = None if old is None else old.select(*corpus.columns)
+            of = lambda make: (make(corpus), None if gone is None else make(gone))
+            # changes go first: a part's documents are in force once doc_stats_parts is there
+            tables = {"term_changes": (maintain.term_changes(*of(index.term_frequency)), ("term",)),
+                      "size_changes": (maintain.size_change(*of(index.doc_length)), ()),
+                      "corpus_parts": (corpus, ("doc_id",)),
                       "postings_parts": (index.term_frequency(corpus), ("term", "doc_id")),
                       "doc_stats_parts": (index.doc_stats(corpus), ("doc_id",))}
             for name, (table, keys) in tables.items():
@@ -93,17 +126,33 @@ def merged_corpus(spark: SparkSession, store: IndexStore) -> DataFrame:
     return _newest(spark, store, "corpus_parts").drop(*PART)
 
 
+def maintained_term_stats(spark: SparkSession, store: IndexStore) -> DataFrame:
+    """``(term, cf, df)`` as of the last part, from the parts' changes."""
+    return maintain.term_stats(spark.read.parquet(store.path("term_changes")).drop(*PART))
+
+
+def maintained_corpus_stats(spark: SparkSession, store: IndexStore) -> DataFrame:
+    return maintain.corpus_stats(spark.read.parquet(store.path("size_changes")).drop(*PART))
+
+
 def finish_index(spark: SparkSession, store: IndexStore,
                  options: BuildOptions = BuildOptions()) -> IndexStore:
-    """Write the tables of ``options`` (all nine by default) from the ingested parts."""
+    """Write the tables of ``options`` (all by default) from the ingested parts.
+
+    Term and corpus statistics are the sums of the parts' changes, not an aggregate of all postings.
+    """
     postings = store.write("postings", merged_postings(spark, store))
-    ts = store.write("term_stats", index.term_stats(postings))
-    ds = store.write("doc_stats", merged_doc_stats(spark, store))
-    cs = store.write("corpus_stats", index.corpus_stats(ds))
+    ts = store.write("term_stats", maintained_term_stats(spark, store))
+    store.write("doc_stats", merged_doc_stats(spark, store))
+    cs = store.write("corpus_stats", maintained_corpus_stats(spark, store))
     write_weights(store, postings, ts, cs, options)
-    if {"bigram_postings", "bigram_stats"} & set(options.tables):
+    if "term_grams" in options.tables:
+        write_grams(store, ts, "term")
+    if {"bigram_postings", "bigram_stats", "bigram_grams"} & set(options.tables):
         bp = store.write("bigram_postings", index.bigram_postings(merged_corpus(spark, store)))
-        store.write("bigram_stats", index.bigram_stats(bp))
+        bs = store.write("bigram_stats", index.bigram_stats(bp))
+        if "bigram_grams" in options.tables:
+            write_grams(store, bs, "bigram")
     if "positions" in options.tables:
         store.write("positions", index.positions(merged_corpus(spark, store)))
     return store

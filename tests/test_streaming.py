@@ -54,3 +54,45 @@ def test_another_checkpoint_adds_to_the_store(spark, tmp_path):
     assert all(os.path.isdir(store.path(t)) for t in ALL_TABLES)
     assert {r.doc_id for r in SearchIndex(store).bigram_substring("two dogs").collect()} == {2}
     assert SearchIndex(store).proximity("two", "dogs").count() == 1
+
+
+def test_statistics_are_kept_up(spark, tmp_path):
+    """Replaced documents are taken out of df, cf, N and the total length; a replay changes nothing."""
+    from lodestar import build_index, from_documents
+    from lodestar.streaming import incremental
+
+    parts = [[(1, "old cat cat", "en", "s", 0), (2, "dog", "en", "s", 0)], [(1, "new dog", "en", "s", 0), (3, "", "en", "s", 0)],
+             [(1, "last", "en", "s", 0), (2, "dog dog", "en", "s", 0)]]
+    store = IndexStore(spark, str(tmp_path / "index"))
+    for i, rows in enumerate(parts):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(str(tmp_path / f"p{i}"))
+        start_part_ingest(spark, str(tmp_path / f"p{i}"), store, str(tmp_path / f"ckpt-{i}")).awaitTermination()
+    final = {r[0]: r for p in parts for r in p}
+    batch = build_index(from_documents(spark.createDataFrame(list(final.values()), SCHEMA)),
+                        IndexStore(spark, str(tmp_path / "batch")))
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.collect())
+
+    def check():
+        assert rows(incremental.maintained_term_stats(spark, store)) == rows(batch.read("term_stats"))
+        assert rows(incremental.maintained_corpus_stats(spark, store)) == rows(batch.read("corpus_stats"))
+
+    check()
+    # a part that is written again finds the versions before its own, not itself
+    run = [r.run for r in spark.read.parquet(store.path("runs")).orderBy("run").collect()][-1]
+    ids = spark.createDataFrame([(1,), (2,), (3,), (9,)], "doc_id bigint")
+    old = incremental._replaced(spark, store, ids, (run, 0))
+    assert {(r.doc_id, r.text) for r in old.collect()} == {(1, "new dog"), (2, "dog"), (3, "")}
+
+
+def test_common_weights_equal_a_build_of_the_whole(spark, corpus_of):
+    from lodestar.operators import index, maintain, weights
+
+    parts = [[(1, "old cat cat"), (2, "dog the"), (4, "")], [(1, "new the dog"), (3, "cat the the")]]
+    whole = corpus_of(list({d: (d, t) for p in parts for d, t in p}.values()))
+    tf = index.term_frequency(whole)
+    want = weights.both_weights(tf, index.term_stats(tf), index.corpus_stats(index.doc_length(whole)))
+    made = [corpus_of(p) for p in parts]
+    got = maintain.common_weights([(index.term_frequency(c), index.doc_length(c)) for c in made])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
