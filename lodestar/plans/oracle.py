@@ -192,6 +192,11 @@ def sql() -> dict[str, str]:
         "SELECT doc_id, max(headline) AS headline, max(text) AS text "
         "FROM (SELECT * FROM corpus UNION ALL SELECT * FROM corpus) GROUP BY doc_id"
     )
+    s["dedupe_docs_late"] = _with(CORPUS) + (
+        "SELECT doc_id, max(headline) AS headline, max(text) AS text FROM (SELECT * FROM corpus UNION ALL "
+        "SELECT doc_id, title, headline, byline, split_part(text, chr(10), 1) AS text FROM corpus "
+        "WHERE length(text) < 2000) GROUP BY doc_id"
+    )
     s["term_frequency"] = _with(_ctes("t1"), POST) + "SELECT term, doc_id, tf FROM post"
     s["doc_length"] = _with(_ctes("t1"), DL) + "SELECT doc_id, len FROM dl"
     s["corpus_stats"] = _with(_ctes("t1"), DL, CS) + f"SELECT n_docs, total_len, {_r('avgdl', 'avgdl')} FROM cs"

@@ -20,7 +20,7 @@ from lodestar.plans.build import BuildOptions, SearchIndex, build_index
 from lodestar.plans.catalog import corpus, table, unique_corpus
 from lodestar.session import scratch_path
 from lodestar.sources import colocated, delimited, news_xml, posting_text, results
-from lodestar.sources.documents import dedupe_docs
+from lodestar.sources.documents import dedupe_docs, dedupe_docs_late
 from lodestar.sources.store import IndexStore
 
 DIGITS = 6
@@ -147,6 +147,13 @@ def q_dedupe_docs(spark, sf):
     return dedupe_docs(c.unionByName(c)).select("doc_id", "headline", "text")
 
 
+def q_dedupe_docs_late(spark, sf):
+    """Every document twice, but the longest ones once: copies are aggregated, the others pass."""
+    c = corpus(spark, sf)
+    older = c.where(F.length("text") < 2000).withColumn("text", F.substring_index("text", "\n", 1))
+    return dedupe_docs_late(c.unionByName(older)).select("doc_id", "headline", "text")
+
+
 def q_export_delimited(spark, sf):
     return delimited.export_delimited(corpus(spark, sf))
 
@@ -505,6 +512,7 @@ QUERIES: dict[str, Query] = {
     "clean_headline": q_clean_headline,
     "format_hits": q_format_hits,
     "dedupe_docs": q_dedupe_docs,
+    "dedupe_docs_late": q_dedupe_docs_late,
     "term_frequency": q_term_frequency,
     "doc_length": q_doc_length,
     "corpus_stats": q_corpus_stats,

@@ -41,3 +41,19 @@ def dedupe_docs(corpus: DataFrame) -> DataFrame:
         F.max(F.struct(*others)).alias("_row"))
     return picked.select(*[F.col("doc_id") if c == "doc_id" else F.col(f"_row.{c}").alias(c)
                            for c in corpus.columns])
+
+
+def dedupe_docs_late(corpus: DataFrame) -> DataFrame:
+    """The rows of ``dedupe_docs``, for corpora in which few documents have copies.
+
+    Ids are counted first, from the id column alone.  Only documents whose id occurs more than
+    once are aggregated; all others pass as they are.  The join that parts them is by ``doc_id``:
+    a short list of such ids is broadcast once its size is known (AQE), a long one is joined by
+    one shuffle.  The corpus is read twice, so it should be a stored table or a file scan.
+    """
+    known = corpus.where(F.col("doc_id").isNotNull())
+    many = known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(
+        "doc_id", F.lit(True).alias("_many"))
+    marked = known.join(many, "doc_id", "left")
+    single = marked.where(F.col("_many").isNull()).select(*corpus.columns)
+    return single.unionByName(dedupe_docs(marked.where(F.col("_many")).select(*corpus.columns)))

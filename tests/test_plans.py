@@ -5,10 +5,12 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+import brute
+from corpora import plan_text
 from lodestar.functions import scoring
 from lodestar.operators import index, search, weights
 from lodestar.plans.build import BuildOptions, SearchIndex, build_index
-from lodestar.sources.documents import dedupe_docs
+from lodestar.sources.documents import dedupe_docs, dedupe_docs_late
 from lodestar.sources.store import IndexStore
 
 
@@ -18,7 +20,6 @@ def _final_plan(df) -> str:
 
 
 def test_bm25_build_tokenizes_once(spark, corpus_of):
-    import brute
     c = corpus_of(brute.DOCS)
     tf = index.term_frequency(c)
     w = weights.bm25_weights(tf, index.term_stats(tf), index.corpus_stats_from_postings(c, tf))
@@ -29,7 +30,6 @@ def test_bm25_build_tokenizes_once(spark, corpus_of):
 
 
 def test_stored_search_pushes_terms_and_takes_top_k(spark, corpus_of, tmp_path):
-    import brute
     store = build_index(corpus_of(brute.DOCS), IndexStore(spark, str(tmp_path / "i")),
                         BuildOptions(tables=("postings", "term_stats", "doc_stats", "corpus_stats",
                                              "weights_bm25")))
@@ -68,7 +68,6 @@ def _jobs(spark) -> int:
 
 
 def test_planning_an_index_starts_no_job(spark, corpus_of):
-    import brute
     c = dedupe_docs(corpus_of(brute.DOCS).unionByName(corpus_of(brute.DOCS)))
     before = _jobs(spark)
     tf = index.term_frequency(c)
@@ -78,7 +77,6 @@ def test_planning_an_index_starts_no_job(spark, corpus_of):
 
 
 def test_deduplication_is_the_only_exchange_before_postings(spark, corpus_of):
-    import brute
     df = index.postings(dedupe_docs(corpus_of(brute.DOCS)))
     plan = _final_plan(df).split("== Initial Plan ==")[0]
     assert plan.count("Exchange hashpartitioning(doc_id") == 1
@@ -143,7 +141,6 @@ def test_stored_tables_are_disjoint_by_term(spark, corpus_of, tmp_path):
 
 
 def test_both_weights_come_from_one_join(spark, corpus_of, tmp_path):
-    import brute
     store = build_index(corpus_of(brute.DOCS), IndexStore(spark, str(tmp_path / "b")))
     both = store.read("weights_unranked")
     for s in ("bm25", "tfidf"):
@@ -163,7 +160,6 @@ def test_doubled_documents_change_nothing(spark, corpus_of, tmp_path):
 
 
 def test_winner_without_headline_stays(spark, corpus_of, tmp_path):
-    import brute
     store = build_index(corpus_of(brute.DOCS), IndexStore(spark, str(tmp_path / "w")))
     w, ds = store.read("weights_bm25"), store.read("doc_stats")
     whole = search.bm25(w, ds, ["cat"], 3).orderBy("rank").collect()
@@ -174,7 +170,6 @@ def test_winner_without_headline_stays(spark, corpus_of, tmp_path):
 
 
 def test_eager_hits_read_only_their_headlines(spark, corpus_of, tmp_path):
-    import brute
     store = build_index(corpus_of(brute.DOCS), IndexStore(spark, str(tmp_path / "e")),
                         BuildOptions(tables=("postings", "term_stats", "doc_stats", "corpus_stats",
                                              "weights_bm25")))
@@ -183,3 +178,49 @@ def test_eager_hits_read_only_their_headlines(spark, corpus_of, tmp_path):
     assert eager.orderBy("rank").collect() == lazy.orderBy("rank").collect()
     plan = eager._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [In(doc_id, [" in plan or "PushedFilters: [Or(" in plan
+
+
+def test_late_deduplication_aggregates_copies_only(spark, corpus_of):
+    c = corpus_of([(i, f"text {i}") for i in range(50)])
+    both = c.unionByName(corpus_of([(3, "zz newer"), (4, "a lesser"), (4, "text 4")]))
+    got, want = dedupe_docs_late(both), dedupe_docs(both)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert dedupe_docs_late(c.where("false")).count() == 0
+    texts = [n for n, what in _outputs(got, "Aggregate") if "max(struct(" in what or "max(named" in what]
+    assert texts and max(texts) <= 10  # five rows of two ids, partial and final, run twice
+
+
+def _outputs(df, name):
+    """(rows out, description) of the plan's nodes of a kind, after it ran."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.executeCollect()
+    found, stack = [], [plan]
+    while stack:
+        p = stack.pop()
+        kind = p.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            stack.append(p.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            stack.append(p.plan())
+        else:
+            if name in kind and "inal" not in kind and p.metrics().contains("numOutputRows"):
+                found.append((p.metrics().apply("numOutputRows").value(), p.simpleString(2000)))
+            stack.extend(p.children().apply(i) for i in range(p.children().size()))
+    return found
+
+
+def test_a_build_shuffles_texts_once(spark, corpus_of, tmp_path):
+    """Tokenizing passes over the stored corpus have no exchange."""
+    from lodestar.sources.colocated import write_colocated
+
+    c = write_colocated(spark, str(tmp_path / "u"), {"corpus": dedupe_docs(corpus_of(brute.DOCS))}, 3).read("corpus")
+    for df in (index.term_frequency(c), index.bigram_postings(c), index.positions(c), index.doc_stats(c)):
+        df.collect()
+        assert "Exchange" not in plan_text(df)
+
+
+def test_ranking_has_no_python_worker(spark, corpus_of):
+    df = index.term_frequency(corpus_of(brute.DOCS))
+    ranked = weights.impact_order(weights.tfidf_weights(df, index.term_stats(df), index.corpus_stats(
+        index.doc_length(corpus_of(brute.DOCS)))))
+    assert "Python" not in plan_text(ranked) and "InArrow" not in plan_text(ranked)
