@@ -206,8 +206,8 @@ def dsir(docs, target, low=1, high=1, buckets=10_000, min_words=20, percent=10,
     for text in target:
         for b in grams(text)[1]:
             t[b] += 1
-    gain = [math.floor(1000 * math.log((y + 1) * (sum(s) + buckets) / ((x + 1) * (sum(t) + buckets))))
-            for x, y in zip(s, t)]
+    all_s, all_t = sum(s) + buckets, sum(t) + buckets
+    gain = [math.floor(1000 * math.log((y + 1) * all_s / ((x + 1) * all_t))) for x, y in zip(s, t)]
     out = []
     for i, n, g in mine:
         h = int(hashlib.sha256(f"{seed}:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
