@@ -336,6 +336,18 @@ def sql() -> dict[str, str]:
         f"'\\N', '\\N', {_escaped('text')}, '[]', '[]', '[]') AS line FROM corpus"
     )
     s["ingest_delimited"] = f"SELECT {CODED}, text FROM documents"
+    s["ingest_delimited_paths"] = s["ingest_delimited"]
+    s["ingest_delimited_rejects"] = (
+        "WITH l AS (SELECT unnest(string_split(concat(doc_id, '$$null$$null$$null$$null$$null$$', coalesce(text, '')), "
+        "chr(10))) AS v FROM documents), f AS (SELECT v, string_split(v, '$$') AS f FROM l), "
+        "r AS (SELECT CASE WHEN v = '' THEN 'empty line' WHEN NOT regexp_full_match(f[1], '[0-9]+') "
+        "THEN 'no id at the beginning' WHEN TRY_CAST(f[1] AS BIGINT) IS NULL THEN 'id out of range' "
+        "WHEN len(f) < 7 THEN 'fewer than 7 fields' ELSE 'kept' END AS reason FROM f) "
+        "SELECT reason, count(*) AS n FROM r GROUP BY reason UNION ALL SELECT 'lines read', count(*) FROM r "
+        "UNION ALL SELECT 'lines rejected', count(*) FROM r WHERE reason <> 'kept'"
+    )
+    s["ingest_xml_rejects"] = (
+        "SELECT doc_id, CASE WHEN length(text) < 200 THEN 'rejected' ELSE 'kept' END AS status FROM documents")
     s["ingest_xml"] = (
         f"SELECT {CODED}, regexp_replace(regexp_replace(text, '\\r\\n', '', 'g'), "
         f"{_lit(MARKUP_PATTERN)}, ' ', 'g') AS text FROM documents"

@@ -164,6 +164,43 @@ def q_ingest_delimited(spark, sf):
     return _flat(delimited.read_delimited(spark, path))
 
 
+def q_ingest_delimited_paths(spark, sf):
+    """Two folders of delimited lines, read as a list of a glob and a folder."""
+    short, long = scratch_path(spark, "delimited-short"), scratch_path(spark, "delimited-long")
+    c = _coded(spark, sf)
+    is_short = F.coalesce(F.length("text") < 1000, F.lit(True))
+    delimited.write_delimited(c.where(is_short), short)
+    delimited.write_delimited(c.where(~is_short), long)
+    return _flat(delimited.read_delimited(spark, [f"{short}/part-*", long]))
+
+
+def q_ingest_delimited_rejects(spark, sf):
+    """Documents as lines with their line breaks left in: what is kept and what is not, by reason."""
+    path, quarantine = scratch_path(spark, "raw-lines"), scratch_path(spark, "quarantine")
+    line = F.concat(F.col("doc_id").cast("string"), F.lit("$$null$$null$$null$$null$$null$$"),
+                    F.coalesce("text", F.lit("")))
+    table(spark, sf, "documents").select(line.alias("value")).write.option("lineSep", "\n").text(path)
+    rows, counts = delimited.read_delimited_checked(spark, path, quarantine, plain=True)
+    kept = rows.agg(F.count(F.lit(1)).alias("n")).select(F.lit("kept").alias("reason"), "n")
+    rejected = spark.read.parquet(quarantine).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    read = spark.createDataFrame([("lines read", counts["lines"]), ("lines rejected", counts["rejected"])],
+                                 "reason string, n bigint")
+    return kept.unionByName(rejected).unionByName(read)
+
+
+def q_ingest_xml_rejects(spark, sf):
+    """Records of all documents, those of short texts without an end tag of the title."""
+    path = scratch_path(spark, "broken-xml")
+    end = F.when(F.length("text") < 200, F.lit("")).otherwise(F.lit("</title>"))
+    table(spark, sf, "documents").select(F.concat(
+        F.lit("<newsitem itemid=\""), F.col("doc_id").cast("string"), F.lit("\"><title>"),
+        F.col("n_chars").cast("string"), end, F.lit("</newsitem>")).alias("value")).write.text(path)
+    kept = news_xml.read_news_xml(spark, path).select("doc_id", F.lit("kept").alias("status"))
+    raw_id = F.regexp_extract("raw", "itemid=\"([0-9]+)\"", 1).cast("bigint")
+    return kept.unionByName(news_xml.news_xml_rejects(spark, path).select(
+        raw_id.alias("doc_id"), F.lit("rejected").alias("status")))
+
+
 def q_ingest_xml(spark, sf):
     path = scratch_path(spark, "news-xml")
     news_xml.write_news_xml(_coded(spark, sf), path)
@@ -568,6 +605,9 @@ QUERIES: dict[str, Query] = {
     "export_delimited": q_export_delimited,
     "ingest_delimited": q_ingest_delimited,
     "ingest_xml": q_ingest_xml,
+    "ingest_delimited_paths": q_ingest_delimited_paths,
+    "ingest_delimited_rejects": q_ingest_delimited_rejects,
+    "ingest_xml_rejects": q_ingest_xml_rejects,
     "write_hits": q_write_hits,
     "stream_postings": q_stream_postings,
 }

@@ -173,3 +173,18 @@ def test_store_global_order_gives_disjoint_sorted_files(spark, tmp_path):
     ranges.sort()
     assert len(ranges) > 1
     assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_left_out_lines_are_counted_and_kept_aside(spark, tmp_path):
+    lines = ["1$$null$$t$$h$$null$$d$$text", "more of the text", "", "$$a$$b$$c$$d$$e$$f", "2$$too$$few",
+             "99999999999999999999$$null$$t$$h$$b$$d$$x", "3$$null$$t$$h$$null$$d$$a $$ b$$[A]$$[]$$[B, C]", "12 no"]
+    for i in range(2):
+        (tmp_path / f"part-{i}").write_text("\n".join(lines[4 * i:4 * i + 4]) + "\n")
+    rows, counts = delimited.read_delimited_checked(spark, str(tmp_path / "part-*"), str(tmp_path / "aside"), plain=True)
+    assert sorted(r.doc_id for r in rows.collect()) == [1, 3]
+    assert counts == {"lines": 8, "kept": 2, "rejected": 6}
+    aside = {(r.value, r.reason) for r in spark.read.parquet(str(tmp_path / "aside")).collect()}
+    assert aside == {("more of the text", "no id at the beginning"), ("", "empty line"),
+                     ("$$a$$b$$c$$d$$e$$f", "no id at the beginning"), ("2$$too$$few", "fewer than 7 fields"),
+                     ("99999999999999999999$$null$$t$$h$$b$$d$$x", "id out of range"), ("12 no", "no id at the beginning")}
+    assert {r.file.rsplit("/", 1)[1] for r in spark.read.parquet(str(tmp_path / "aside")).collect()} == {"part-0", "part-1"}
