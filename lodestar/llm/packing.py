@@ -24,36 +24,66 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from collections.abc import Iterable, Iterator, Sequence
+from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.llm.common import stage
 from lodestar.llm.exchange import give_back
+from lodestar.llm.fim import groups
 
 WINDOW = 2048
 END_ID = 1
-CACHED_WORDS = 200_000
+CACHE_BYTES = 24 << 20  # of remembered parts, twice (those of late, and those before)
+GROUP_BYTES = 4 << 20  # of text encoded at a time
+ENTRY_BYTES = 200  # what a remembered part takes beside its characters, about
 STEPS = 200
 
-# Texts of these characters only are split at spaces and looked up word by word: none of
-# them is changed by composition, and no token of theirs crosses a space.
+# Texts of these characters only are cut here: none of them is changed by composition.
 _PLAIN = re.compile("[\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u012f\u0131-\u024f]*")
-# Fixed value: how the tokenizer file cuts text, with its letters and digits as they are
-# among those characters.
+# Fixed value: how the tokenizer file cuts text.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
+_NOT_LETTERS = r"('s|'t|'re|'ve|'m|'ll|'d|\p{N}|[^\s\p{L}\p{N}]+)"  # the parts to set apart from letters
+_WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+_SPACE = re.compile(r"[\x20\x09-\x0D]")
+_JOINED = 2000  # parts encoded in one call
+
+
+def _distinct(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """What white space leaves of all texts, by distinct items, and where each text begins and ends."""
+    lists = pc.ascii_split_whitespace(texts)
+    return lists.values.dictionary_encode(), np.asarray(lists.offsets)
+
+
+def _gather(data: np.ndarray, size: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Items (of ``size`` entries, end to end in ``data``) in the order of ``code``, and where
+    each begins and ends."""
+    length = size[code]
+    ends = np.concatenate([[0], np.cumsum(length)])
+    at = np.repeat((np.cumsum(size) - size)[code] - ends[:-1], length)
+    at += np.arange(len(at))
+    return data[at], ends
 
 
 class WordTokenizer:
-    """Token ids of whole texts, with the ids of words remembered.
+    """Token ids of whole texts, by their distinct parts.
 
     For a tokenizer that drops white space and treats the parts between on their own (checked
-    on the file's normalizer and pre-tokenizer), a text's ids are those of its words, and a
-    word's those of its parts, which need no normalizing or cutting any more.  Texts with other
-    characters, or with the marks of special tokens, go to the library whole.
+    on the file's normalizer and pre-tokenizer), a text's ids are those of its parts, which need
+    no normalizing or cutting any more.  Arrow dictionary-encodes the words of a group of texts,
+    and the parts of its distinct words; only distinct parts are looked up or encoded, and ids
+    are gathered by number.  Words with other characters, or with the marks of special tokens, go
+    to the library as they are: white space composes with no character and lies in no mark, so
+    a word can be taken out of its text.  Any other tokenizer file gets whole texts.
+
+    Parts are remembered in two generations: when the younger one takes more than
+    ``CACHE_BYTES``, it becomes the older one, whose parts are forgotten unless met again.
     """
 
     def __init__(self, path: str):
@@ -62,59 +92,142 @@ class WordTokenizer:
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
         with open(path) as f:
             spec = json.load(f)
         steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
         split = steps[0]
+        added = spec.get("added_tokens", [])
         self.by_word = (split.get("behavior") == "Removed" and split.get("invert") is True
                         and (split.get("pattern") or {}).get("Regex") == _SPLIT
                         and [x["type"] for x in steps] == ["Split", "ByteLevel"]
                         and spec.get("post_processor") is None
                         and [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", [])]
-                        == ["NFC", "Replace", "Lowercase"])
+                        == ["NFC", "Replace", "Lowercase"]
+                        and not any(re.search(r"\s", x["content"]) or x["normalized"] or x["single_word"]
+                                    for x in added))
         if self.by_word:
+            # takes parts, a line each
             self.parts = Tokenizer.from_file(path)
+            self.parts.no_truncation()
+            self.parts.no_padding()
+            self.parts.encode_special_tokens = True
             self.parts.normalizer = normalizers.Sequence([])
-            self.parts.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.special = [x["content"] for x in spec.get("added_tokens", [])]
+            self.parts.pre_tokenizer = pre_tokenizers.Sequence([
+                pre_tokenizers.Split("\n", "removed"),
+                pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.special = [x["content"] for x in added]
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _ids(self, encoding) -> bytes:
-        return np.array(encoding.ids, self.kind).tobytes()
-
-    def _learn(self, words: set[str]) -> None:
-        cut = {w: _PARTS.findall(w) for w in words}
-        new = list({x for parts in cut.values() for x in parts}.difference(self.pieces))
-        if len(self.pieces) + len(new) > CACHED_WORDS:
-            needed = {x for parts in cut.values() for x in parts}
-            self.pieces = {x: y for x, y in self.pieces.items() if x in needed}
-        for x, e in zip(new, self.parts.encode_batch_fast(new, add_special_tokens=False)):
-            self.pieces[x] = self._ids(e)
-        get = self.pieces.__getitem__
-        for w, parts in cut.items():
-            self.words[w] = b"".join(map(get, parts))
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.size = 0
+
+    def _library(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def _encode_parts(self, parts: list[str]) -> Iterator[bytes]:
+        for a in range(0, len(parts), _JOINED):
+            some = parts[a:a + _JOINED]
+            e = self.parts.encode("\n".join(some), add_special_tokens=False)
+            ids = np.array(e.ids, self.kind).tobytes()
+            of = np.array(e.word_ids, np.int64)
+            ends = (np.searchsorted(of, np.arange(len(some)), side="right") * self.kind.itemsize).tolist()
+            yield from (ids[x:y] for x, y in zip([0, *ends], ends))
+
+    def _ids_of(self, parts: list[str]) -> list[bytes]:
+        """Ids of distinct parts."""
+        found = list(map(self.young.get, parts))
+        missing = [i for i, x in enumerate(found) if x is None]
+        if not missing:
+            return found
+        new = {}
+        for i in missing:
+            found[i] = new[parts[i]] = self.old.get(parts[i]) if parts[i] else b""  # at a text's edge
+        unknown = [i for i in missing if found[i] is None]
+        for i, ids in zip(unknown, self._encode_parts([parts[i] for i in unknown])):
+            found[i] = new[parts[i]] = ids
+        self.young |= new
+        self.size += sum(map(len, new)) + sum(map(len, new.values())) + ENTRY_BYTES * len(new)
+        if self.size > CACHE_BYTES:
+            self.young, self.old, self.size = {}, self.young, 0
+        return found
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts of usual characters."""
+        words, word_ends = _distinct(pa.array([t.lower() for t in texts], pa.large_string()))
+        parts, part_ends = _distinct(pc.replace_substring_regex(words.dictionary, _NOT_LETTERS, r" \1 "))
+        known = self._ids_of(parts.dictionary.to_pylist())
+        size = np.fromiter(map(len, known), np.int64, len(known)) // self.kind.itemsize
+        ids, ends = _gather(np.frombuffer(b"".join(known), self.kind), size, np.asarray(parts.indices))
+        ids, ends = _gather(ids, np.diff(ends[part_ends]), np.asarray(words.indices))
+        data, places = ids.tobytes(), (ends[word_ends] * self.kind.itemsize).tolist()
+        return [data[x:y] for x, y in zip(places, places[1:])]
+
+    def _usual(self, text: str) -> bool:
+        return _PLAIN.fullmatch(text) is not None and not any(s in text for s in self.special)
+
+    def _portions(self, text: str) -> Iterator[str]:
+        """A long text in portions that end before white space."""
+        a = 0
+        while len(text) - a > GROUP_BYTES:
+            space = _SPACE.search(text, a + GROUP_BYTES)
+            if not space:
+                break
+            yield text[a:space.start()]
+            a = space.start()
+        yield text[a:]
+
+    def _pieces(self, text: str) -> Iterator[tuple[bool, str]]:
+        """The text in order: stretches of usual characters, and words for the library."""
+        for part in self._portions(text):
+            if self._usual(part):
+                yield True, part
+                continue
+            for usual, words in groupby(_WORDS.findall(part), self._usual):
+                if usual:
+                    yield True, " ".join(words)
+                else:
+                    yield from ((False, w) for w in words)
+
+    def encode(self, texts: Iterable[str | None], end: Sequence[int] = ()) -> list[bytes]:
+        """Ids of each text (null: none), each followed by ``end``, packed."""
+        tail = np.array(end, self.kind).tobytes()
+        if not self.by_word:
+            return [self._library(t or "") + tail for t in texts]
+        out: list[list[bytes]] = []
+        usual: list[str] = []
+        places: list[tuple[int, int]] = []
+        size = 0
+
+        def settle() -> None:
+            for (i, j), ids in zip(places, self._encode(usual) if usual else ()):
+                out[i][j] = ids
+            usual.clear()
+            places.clear()
+
+        for i, text in enumerate(texts):
+            out.append([])
+            for plain, piece in self._pieces(text or ""):
+                out[i].append(b"" if plain else self._library(piece))
+                if plain:
+                    usual.append(piece)
+                    places.append((i, len(out[i]) - 1))
+                    size += len(piece)
+                    if size >= GROUP_BYTES:
+                        settle()
+                        size = 0
+        settle()
+        return [b"".join([*x, tail]) for x in out]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        out: list = [None] * len(texts)
-        plain = []
-        for i, t in enumerate(texts):
-            if self.by_word and not any(s in t for s in self.special) and _PLAIN.fullmatch(t):
-                plain.append((i, t.lower().split()))
-            else:
-                out[i] = self._ids(self.tokenizer.encode(t, add_special_tokens=False))
-        for a in range(0, len(plain), 64):
-            part = plain[a:a + 64]
-            needed = {w for _, words in part for w in words}
-            new = needed.difference(self.words)
-            if len(self.words) + len(new) > CACHED_WORDS:
-                self.words = {w: x for w, x in self.words.items() if w in needed}
-            self._learn(new)
-            get = self.words.__getitem__
-            for i, words in part:
-                out[i] = b"".join(map(get, words))
-        return out
+        return self.encode(texts)
+
+
+@lru_cache(1)
+def word_tokenizer(path: str) -> WordTokenizer:
+    """The tokenizer of this process: a worker loads it, and learns parts, once for all its tasks."""
+    return WordTokenizer(path)
 
 
 def tokenize(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
@@ -129,12 +242,10 @@ def tokenize(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
 
         chunk, seen = TaskContext.get().partitionId(), np.zeros(window, np.int64)
-        tokenizer = WordTokenizer(path)
-        end = np.array([end_id], tokenizer.kind).tobytes()
+        tokenizer = word_tokenizer(path)
         for batch in it:
-            for a in range(0, batch.num_rows, 256):
-                part = batch.slice(a, 256)
-                ids = [x + end for x in tokenizer([t or "" for t in part.column("text").to_pylist()])]
+            for part in groups(batch, "text", GROUP_BYTES):
+                ids = tokenizer.encode((t.as_py() for t in part.column("text")), [end_id])
                 n = np.fromiter(map(len, ids), np.int64, len(ids)) // tokenizer.kind.itemsize
                 row = []
                 for r in (n % window).tolist():
@@ -146,7 +257,7 @@ def tokenize(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END
                      pa.array([tokenizer.kind.itemsize] * len(ids), pa.int32()),
                      pa.array(ids, pa.binary())],
                     ["doc_id", "chunk", "row", "n", "width", "ids"])
-        del tokenizer
+                del ids
         give_back()
 
     return docs.select("doc_id", "text").mapInArrow(
