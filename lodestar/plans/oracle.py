@@ -352,4 +352,5 @@ def sql() -> dict[str, str]:
         f"SELECT {CODED}, regexp_replace(regexp_replace(text, '\\r\\n', '', 'g'), "
         f"{_lit(MARKUP_PATTERN)}, ' ', 'g') AS text FROM documents"
     )
+    s["ingest_xml_encodings"] = s["ingest_xml"]
     return s

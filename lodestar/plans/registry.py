@@ -207,6 +207,17 @@ def q_ingest_xml(spark, sf):
     return _flat(news_xml.read_news_xml(spark, path))
 
 
+def q_ingest_xml_encodings(spark, sf):
+    """Files in UTF-8 and in ISO-8859-1 (odd ids that it can write) in one scan."""
+    path = scratch_path(spark, "news-xml-encodings")
+    docs = _coded(spark, sf)
+    strings = [f.name for f in docs.schema if f.dataType.simpleString() == "string"]
+    latin = (F.col("doc_id") % 2 == 1) & F.concat_ws(" ", *strings).rlike("(?s)^[\\x00-\\xff]*$")
+    news_xml.write_news_xml(docs.where(F.coalesce(latin, F.lit(False))), f"{path}/latin", "ISO-8859-1")
+    news_xml.write_news_xml(docs.where(~F.coalesce(latin, F.lit(False))), f"{path}/utf")
+    return _flat(news_xml.read_news_xml(spark, [f"{path}/latin", f"{path}/utf"], news_xml.PROLOG))
+
+
 # ---------------------------------------------------------------- indexes and statistics
 
 def q_term_frequency(spark, sf):
@@ -605,6 +616,7 @@ QUERIES: dict[str, Query] = {
     "export_delimited": q_export_delimited,
     "ingest_delimited": q_ingest_delimited,
     "ingest_xml": q_ingest_xml,
+    "ingest_xml_encodings": q_ingest_xml_encodings,
     "ingest_delimited_paths": q_ingest_delimited_paths,
     "ingest_delimited_rejects": q_ingest_delimited_rejects,
     "ingest_xml_rejects": q_ingest_xml_rejects,

@@ -134,6 +134,28 @@ def test_news_xml_latin1(spark, tmp_path):
     assert r.title == "Café résumé" and r.text == "naïve"
 
 
+def test_news_xml_encodings_from_prologs(spark, tmp_path):
+    item = '<newsitem itemid="{}" date="1996-08-20"><title>Café {}</title><text><p>naïve</p></text></newsitem>'
+    files = {"a.xml": ('<?xml version="1.0" encoding="iso-8859-1" ?>\n', "iso-8859-1", [1, 2, 3]),
+             "b.xml": ("<?xml version='1.0' encoding='UTF-8'?>", "utf-8", [4, 5]),
+             "c.xml": ("", "utf-8", [6]),
+             "d.xml": ("\ufeff<?xml version='1.0' encoding='utf8'?>", "utf-8", [7]),
+             "e.xml": ("\n<?xml version='1.0'   encoding = 'Latin1' standalone='yes'?>", "iso-8859-1", [8, 9])}
+    for name, (prolog, encoding, ids) in files.items():
+        text = prolog + "<newsitems>" + "".join(item.format(i, i) for i in ids) + "</newsitems>"
+        (tmp_path / name).write_bytes(text.encode(encoding))
+    want = [(i, f"Café {i}", "naïve") for i in range(1, 10)]
+    got = news_xml.read_news_xml(spark, str(tmp_path), news_xml.PROLOG).select("doc_id", "title", "text")
+    assert sorted(map(tuple, got.collect())) == want
+    assert news_xml.news_xml_rejects(spark, str(tmp_path), news_xml.PROLOG).count() == 0
+    # more files of other encodings than may be broadcast
+    joined = news_xml.news_to_corpus(news_xml._scan(spark, str(tmp_path), news_xml.PROLOG, broadcast_files=1))
+    assert sorted(map(tuple, joined.select("doc_id", "title", "text").collect())) == want
+    # nothing but UTF-8: the scan has no join
+    plain = news_xml.read_news_xml(spark, [str(tmp_path / f"{x}.xml") for x in "bcd"], news_xml.PROLOG)
+    assert "Join" not in plain._jdf.queryExecution().toString() and plain.count() == 4
+
+
 def test_delimited_multi_path_and_glob(spark, tmp_path, corpus_of):
     a, b = str(tmp_path / "data" / "part-a"), str(tmp_path / "data1" / "part-b")
     delimited.write_delimited(corpus_of([(1, "one"), (2, "two")]), a)
