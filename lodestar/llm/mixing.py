@@ -196,19 +196,17 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     A document that is taken in part (the last of a source's target) comes with its first
     words only, with the spaces and line ends between them; documents that are not taken go.
     """
-    plain = [f.name for f in docs.schema if "map" not in f.dataType.simpleString()]
-    keyed = docs.select(F.xxhash64(*[F.col(f"`{c}`") for c in plain]).alias("_key"), F.struct("*").alias("_row"))
-    documents, mixture = mix(docs, row_key=F.xxhash64(*[F.col(f"`{c}`") for c in plain]), **settings)
-    taken = mixture.groupBy("row_key", "epoch").agg(F.sum("length").alias("words"))
-    sizes = documents.groupBy("row_key").agg(F.count("*").alias("copies"), F.max("size").alias("size"))
-    # of equal rows, which share a key, one stands for all: their takes were added up
-    rows = keyed.join(taken.join(sizes, "row_key").select(F.col("row_key").alias("_key"), "epoch", "words", "size", "copies"), "_key")
-    rows = rows.dropDuplicates(["_key", "epoch"])
-    part = F.explode(F.transform(F.sequence(F.lit(1).cast("bigint"), F.col("copies")), lambda i: F.least(
-        F.col("size"), F.col("words") - (i - 1) * F.col("size"))))
+    # rows are numbered once, in a written table, so that no two share a name
+    keyed = stage(docs.select(F.monotonically_increasing_id().alias("_key"), F.struct("*").alias("_row")),
+                  "mixing-rows")
+    documents, mixture = mix(keyed.select("_row.doc_id", "_row.source", "_row.text", "_key"),
+                             row_key=F.col("_key"), **settings)
+    taken = mixture.groupBy("row_key", "epoch").agg(F.sum("length").alias("_take"))
+    rows = keyed.join(taken.join(documents.select("row_key", "size"), "row_key").withColumnRenamed(
+        "row_key", "_key"), "_key")
     pieces = F.split(F.regexp_replace("_row.text", AROUND, ""), BEFORE_WORD)  # a word and what follows it
     begin = F.regexp_replace(F.array_join(F.slice(pieces, F.lit(1), F.col("_take").cast("int")), ""), AROUND, "")
-    cut = rows.withColumn("_take", part).where("_take > 0").withColumn("_text", F.when(
+    cut = rows.where("_take > 0").withColumn("_text", F.when(
         F.col("_take") >= F.col("size"), F.col("_row.text")).otherwise(begin))
     columns = []
     for c in docs.columns:
