@@ -37,16 +37,22 @@ def line_runs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
-    key = F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text"))
-    blank = ~F.coalesce(F.col("text").rlike(WORD), F.lit(False))
-    found = jaccard_join.jaccard_components(docs.select(key.alias("doc_id"), "text"))
-    ids = docs.where(~blank).select(key.alias("_key"), F.col("doc_id").cast("bigint").alias("id"))
-    order = F.struct(F.col("id").isNull(), F.col("id"), F.col("_key"))
-    keep = ids.join(found.select(F.col("doc_id").alias("_key"), "component_id").distinct(), "_key").groupBy(
-        "component_id").agg(F.min(order).alias("first")).select(F.col("first._key").alias("_key"))
-    kept = docs.where(~blank).withColumn("_key", key).join(keep, "_key").dropDuplicates(["_key"])
-    return kept.drop("_key").unionByName(docs.where(blank))
+    """Of each group of near duplicates the document with the smallest id stays.
+
+    Rows are numbered once, in a written table, so that no two rows share a name; documents
+    without words are in no group and pass.
+    """
+    rows = stage(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("key")),
+                 "pipeline-numbered")
+    blank = ~F.coalesce(F.col("row.text").rlike(WORD), F.lit(False))
+    found = jaccard_join.jaccard_components(
+        rows.where(~blank).select(F.col("key").alias("doc_id"), F.col("row.text").alias("text")))
+    ids = rows.where(~blank).select("key", F.col("row.doc_id").cast("bigint").alias("id"))
+    order = F.struct(F.col("id").isNull().alias("unnamed"), F.col("id"), F.col("key"))
+    keep = ids.join(found.select(F.col("doc_id").alias("key"), "component_id"), "key").groupBy(
+        "component_id").agg(F.min(order).alias("first")).select(F.col("first.key").alias("key"))
+    kept = rows.where(~blank).join(keep, "key").unionByName(rows.where(blank))
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
