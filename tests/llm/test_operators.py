@@ -210,6 +210,27 @@ def test_word_tokenizer_equals_the_library():
         assert np.frombuffer(ids, ours.kind).tolist() == library.encode(t, add_special_tokens=False).ids, t
 
 
+def test_word_tokenizer_takes_long_texts_in_portions_and_forgets(monkeypatch):
+    """Portions, odd words within usual text, and a cache that holds next to nothing."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokenizer_path())
+    rng = random.Random(7)
+    usual = ["word", "Don't", "x9y", "naïve,", "(a)", "42", "…".strip(), "--", "ÀB", "zq" * 20]
+    odd = ["x́", "a<|endoftext|>b", "中文", "\u2003em", "e\u00a0f", "ſ", "٣"]
+    long = "".join(rng.choice(usual + odd[:rng.choice([0, 7])]) + rng.choice([" ", "\n", "\t ", "  "])
+                   for _ in range(20_000))
+    texts = [long, None, "", "x" * 5000, " ".join(usual) * 300, *odd, long[::-1]]
+    want = [library.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
+    for group, cache in ((4 << 20, 24 << 20), (1000, 5000)):
+        monkeypatch.setattr(packing, "GROUP_BYTES", group)
+        monkeypatch.setattr(packing, "CACHE_BYTES", cache)
+        ours = packing.WordTokenizer(tokenizer_path())
+        for _ in range(2):
+            got = [np.frombuffer(x, ours.kind).tolist() for x in ours.encode(texts, [1])]
+            assert got == want
+
+
 def test_least_squares_meet_the_histogram():
     rng = np.random.default_rng(4)
     combos = packing.combinations(64)

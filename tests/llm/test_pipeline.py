@@ -56,3 +56,23 @@ def test_single_lines_of_a_few_words_go(spark, frame):
     kept = dict(corpus_pipeline.STAGES)["line_dedup"](spark, docs, None).select("doc_id", "text").collect()
     assert [r["doc_id"] for r in kept if line in r["text"]] == [0]
     assert len(kept) == 6 and all(short in r["text"] for r in kept)
+
+
+def test_rows_are_told_apart_by_number_whatever_their_columns(spark):
+    """Columns named like inner ones, a map column, and rows that are equal in all the others."""
+    from pyspark.sql import functions as F
+
+    long = " ".join(f"w{i}" for i in range(40))
+    rows = [(i, t, "en", "s", len(t or ""), 7, i % 2) for i, t in
+            [(4, long), (2, long), (2, long), (9, "other text of a few words"), (11, " "), (11, " "), (12, None)]]
+    docs = spark.createDataFrame(
+        rows, "doc_id bigint, text string, lang string, source string, n_chars int, _key int, key int").withColumn(
+        "row", F.create_map(F.lit("k"), F.monotonically_increasing_id()))
+    steps = dict(corpus_pipeline.STAGES)
+    near = stage(steps["ngram_jaccard_join"](spark, docs, None), "t")
+    assert near.columns == docs.columns
+    assert sorted((r["doc_id"], r["text"] or "") for r in near.collect()) == [
+        (2, long), (9, "other text of a few words"), (11, " "), (11, " "), (12, "")]
+    twice = docs.where("doc_id = 2")  # differ in the map only
+    mixed = stage(steps["mixing"](spark, twice, None), "t").collect()
+    assert len({r["row"]["k"] for r in mixed}) == 2 and {r["_key"] for r in mixed} == {7}
