@@ -1,5 +1,6 @@
 """Operators 4, 6, 7 and 8 against plain Python, with nulls, ties, copies and odd columns."""
 
+import random
 from collections import Counter
 
 import numpy as np
@@ -117,6 +118,43 @@ def test_longer_runs_take_more_rounds(frame):
         1: rows[0][1], 2: "a\nb", 3: "c\nd", 4: rows[3][1]}
 
 
+def test_maximal_line_runs(frame):
+    rng = random.Random(11)
+    # few different lines, so that runs of many lengths repeat within and across documents
+    docs = {i: [rng.choice("abcd") for _ in range(rng.randrange(1, 30))] for i in range(12)}
+    docs[20], docs[21] = docs[3] + docs[5], ["e"] + docs[5] + docs[3] + ["e"]
+    docs[22] = ["p"] * 17
+    docs[23] = [f"row {i}" for i in range(13)]
+    docs[24] = ["e", "f", *docs[23], "g"]
+    rows = [(i, "\n".join(x)) for i, x in docs.items()] + [(20, "\n".join(docs[20]))]  # one row twice
+    lines = line_dedup.line_ids(frame(rows))
+    for least in (1, 3):
+        longest = {}  # the longest run from each place on that an earlier place has as well
+        places = [(i, s) for i in sorted(docs) for s in range(len(docs[i]))]
+        for n, (i, s) in enumerate(places):
+            for j, r in places[:n]:
+                x, y = docs[i][s:], docs[j][r:]
+                same = next((k for k, (a, b) in enumerate(zip(x, y)) if a != b), min(len(x), len(y)))
+                longest[i, s] = max(longest.get((i, s), 0), same)
+        want, reach = set(), {}
+        for i, s in places:  # not inside a longer one
+            n = longest.get((i, s), 0)
+            if n >= least and s + n > reach.get(i, 0):
+                want.add((i, s, n))
+                reach[i] = s + n
+        runs = line_dedup.repeated_runs(lines, least, 0).collect()
+        got = {(r["doc_id"], r["seq"], r["lines"]) for r in runs}
+        assert len(runs) == len(got)
+        covered = lambda found: {(i, s + k) for i, s, n in found for k in range(n)}
+        assert covered(got) == covered(want)
+        for r in runs:  # each repeats an earlier place
+            f, n = r["first"], r["lines"]
+            assert (f["doc_id"], f["seq"]) < (r["doc_id"], r["seq"])
+            assert docs[f["doc_id"]][f["seq"]:f["seq"] + n] == docs[r["doc_id"]][r["seq"]:r["seq"] + n]
+            assert n >= least
+        assert [(s, n) for i, s, n in got if i == 24 and s > 1] == [(2, 13)]
+
+
 def test_jaccard(frame, odd):
     got = jaccard_join.jaccard_components(frame(odd)).collect()
     sets = [(i, shingles(t)) for i, t in odd]
