@@ -34,6 +34,7 @@ from lodestar.operators.skew import salted_key_join
 
 MIN_LINES = 2
 LONG_LINE = 20
+BROADCAST_ROWS = 100_000  # intervals of under 100 bytes; more are joined by shuffle, hot ones salted
 
 
 def line_ids(docs: DataFrame) -> DataFrame:
@@ -69,13 +70,16 @@ def _intervals(level: DataFrame, *marks: F.Column) -> DataFrame:
         F.max("wide").alias("wide"), *marks).where("first < last").drop("last")
 
 
-def _shared(level: DataFrame, found: DataFrame, depth: int) -> DataFrame:
-    """Staged suffixes ``(place, rank, size, first, ...)`` that share their rank with others."""
-    more = [c for c in found.columns if c not in ("a", "b", "wide")]
-    return stage(salted_key_join(
-        level.select("place", F.struct("a", "b").alias("k")),
-        found.select(F.struct("a", "b").alias("k"), *more), "k", "size", spread_col="place").drop("k"),
-        f"line-suffixes-{depth}")
+def _shared(level: DataFrame, found: DataFrame, rows: int, depth: int) -> DataFrame:
+    """Staged suffixes ``(place, rank, size, first, ...)`` that share their rank with others;
+    ``rows`` is the number of intervals ``found``."""
+    keyed = level.select("place", F.struct("a", "b").alias("k"))
+    of = found.select(F.struct("a", "b").alias("k"), *[c for c in found.columns if c not in ("a", "b", "wide")])
+    if rows <= BROADCAST_ROWS:
+        both = keyed.join(F.broadcast(of), "k")
+    else:
+        both = salted_key_join(keyed, of, "k", "size", spread_col="place")
+    return stage(both.drop("k"), f"line-suffixes-{depth}")
 
 
 def _doubled(at: DataFrame, step: int) -> DataFrame:
@@ -117,10 +121,10 @@ def repeated_runs(lines: DataFrame, min_lines: int = MIN_LINES, long_line: int =
     depth, marks, out = 1, [F.max("words").alias("words")], []
     while True:
         found = stage(_ranked(_intervals(level, *marks), lead), f"line-ranks-{depth}")
-        total = found.agg(F.max(F.col("rank") + F.col("size"))).first()[0]
+        total, rows = found.agg(F.max(F.col("rank") + F.col("size")), F.count("*")).first()
         if total is None and out:
             break
-        at = _shared(level, found, depth)
+        at = _shared(level, found, rows, depth)
         later = at.where("place > first")
         if depth < min_lines:  # so far only single lines count
             later = later.where(F.col("words") >= long_line if depth == 1 and long_line else F.lit(False))
@@ -135,10 +139,10 @@ def repeated_runs(lines: DataFrame, min_lines: int = MIN_LINES, long_line: int =
         # the pairs of one ``a`` begin at rank ``a`` and reach over ``wide`` ranks
         lead = (F.col("a") + F.col("wide") * (F.col("b") / float(total))) / float(total)
         depth += step
-    rows = out[0]
+    every = out[0]
     for x in out[1:]:
-        rows = rows.unionByName(x)
-    return _maximal(rows)
+        every = every.unionByName(x)
+    return _maximal(every)
 
 
 def _changed(docs: DataFrame, min_lines: int, long_line: int) -> DataFrame:

@@ -118,7 +118,7 @@ def test_longer_runs_take_more_rounds(frame):
         1: rows[0][1], 2: "a\nb", 3: "c\nd", 4: rows[3][1]}
 
 
-def test_maximal_line_runs(frame):
+def test_maximal_line_runs(frame, monkeypatch):
     rng = random.Random(11)
     # few different lines, so that runs of many lengths repeat within and across documents
     docs = {i: [rng.choice("abcd") for _ in range(rng.randrange(1, 30))] for i in range(12)}
@@ -128,7 +128,8 @@ def test_maximal_line_runs(frame):
     docs[24] = ["e", "f", *docs[23], "g"]
     rows = [(i, "\n".join(x)) for i, x in docs.items()] + [(20, "\n".join(docs[20]))]  # one row twice
     lines = line_dedup.line_ids(frame(rows))
-    for least in (1, 3):
+    for least, limit in ((1, 0), (3, 10 ** 5)):  # joined by shuffle, by broadcast
+        monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", limit)
         longest = {}  # the longest run from each place on that an earlier place has as well
         places = [(i, s) for i in sorted(docs) for s in range(len(docs[i]))]
         for n, (i, s) in enumerate(places):
