@@ -78,3 +78,44 @@ def test_posting_list_view_blocks(corpus):
     ids = sorted(d for (t, d) in brute.postings() if t == "the")
     assert [x for _, b in the for x in b] == ids
     assert all(len(b) <= 2 for _, b in the)
+
+
+def test_postings_counted_in_their_rows(spark, corpus_of):
+    """``per_row`` gives the rows of the aggregate without any exchange of postings."""
+    docs = [(1, "cat dog cat the cat dog"), (2, ""), (3, None), (4, "one"), (5, "b a b a b")]
+    c = corpus_of(docs)
+    for make in (index.term_frequency, index.bigram_postings):
+        narrow, whole = make(c, per_row=True), make(c)
+        assert sorted(map(tuple, narrow.select(*whole.columns).collect())) == sorted(map(tuple, whole.collect()))
+        assert "Exchange" not in narrow._jdf.queryExecution().executedPlan().toString()
+    placed, whole = index.term_positions(c), index.positional_view(index.positions(c))
+    assert sorted(map(str, placed.collect())) == sorted(map(str, whole.collect()))
+    assert "Exchange" not in placed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lists_and_frequencies_from_counted_positions(spark, corpus_of):
+    c = corpus_of([(i, "cat dog " * (1 + i % 3) + f"w{chr(97 + i % 26)}") for i in range(60)])
+    long, per_doc = index.positions(c), index.term_positions(c)
+    for make in (index.positional_frequency, lambda d: index.positional_list_view(d, 7)):
+        assert sorted(map(str, make(per_doc).collect())) == sorted(map(str, make(long).collect()))
+
+
+def test_unique_corpus_moves_no_text_without_copies(spark, tmp_path):
+    from lodestar.plans.catalog import unique_corpus
+
+    rows = [(i, f"text {i}") for i in range(50)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "one" / "documents.parquet"))
+    spark.createDataFrame(rows + [(3, "zzz"), (None, "lost")], "doc_id bigint, text string").write.parquet(
+        str(tmp_path / "two" / "documents.parquet"))
+    plain, copies = (unique_corpus(spark, str(tmp_path / d)) for d in ("one", "two"))
+    assert "Exchange" not in plain._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.doc_id, r.text) for r in plain.collect()) == rows
+    assert sorted((r.doc_id, r.text) for r in copies.collect()) == sorted(rows[:3] + [(3, "zzz")] + rows[4:])
+
+
+def test_postings_view_of_a_list_longer_than_a_block(spark, corpus_of):
+    c = corpus_of([(i, "hot hot " + f"rare{chr(97 + i % 26)}") for i in range(40)])
+    p = index.postings(c, per_row=True)
+    view = index.posting_list_view(p, index.term_stats(p), block_size=16).collect()
+    assert sorted((r.block, r.cf, len(r.doc_ids)) for r in view if r.term == "hot") == [(0, 80, 16), (1, 80, 16), (2, 80, 8)]
+    assert all(r.cf == len(r.doc_ids) for r in view if r.term != "hot")

@@ -59,3 +59,20 @@ def test_salted_join_equals_plain_join(spark):
     want = big.join(stats, "term")
     assert got.count() == 3000
     assert got.select(*want.columns).exceptAll(want).count() == 0
+
+
+def test_frequent_keys_are_broadcast_and_the_rest_joined(spark, monkeypatch, tmp_path):
+    from pyspark.sql import functions as F
+
+    from lodestar.operators import skew
+    big = spark.range(0, 2000).select(
+        F.when(F.col("id") % 10 < 7, F.lit("hot")).otherwise((F.col("id") % 50).cast("string")).alias("term"),
+        F.col("id").alias("doc_id"))
+    big.groupBy("term").agg(F.count(F.lit(1)).alias("df")).write.parquet(str(tmp_path / "s"))
+    stats = spark.read.parquet(str(tmp_path / "s"))
+    want = big.join(stats, "term")
+    for few in (1000, 5, 1, 0):
+        monkeypatch.setattr(skew, "FEW_KEYS", few)
+        got = skew.join_key_stats(big, stats, "term", "df")
+        assert got.count() == 2000
+        assert got.select(*want.columns).exceptAll(want).count() == 0
