@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lodestar.operators import index, maintain
 from lodestar.plans.build import BuildOptions, write_grams, write_weights
-from lodestar.sources.documents import dedupe_docs, from_documents
+from lodestar.sources.documents import dedupe_docs_late, from_documents
 from lodestar.sources.store import IndexStore, write_table
 
 DOCUMENTS_SCHEMA = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
@@ -81,21 +81,23 @@ def start_part_ingest(spark: SparkSession, source: str, store: IndexStore, check
         spark = batch.sparkSession
         run = run_name(spark, store, spark.sparkContext.getLocalProperty("sql.streaming.queryId"))
         part = f"run={run}/epoch={epoch_id}"
-        corpus = dedupe_docs(to_corpus(batch)).persist()  # copies inside one part collapse here
-        try:
-            old = _replaced(spark, store, corpus.select("doc_id"), (run, epoch_id))
-            gone = None if old is None else old.select(*corpus.columns)
-            of = lambda make: (make(corpus), None if gone is None else make(gone))
-            # changes go first: a part's documents are in force once doc_stats_parts is there
-            tables = {"term_changes": (maintain.term_changes(*of(index.term_frequency)), ("term",)),
-                      "size_changes": (maintain.size_change(*of(index.doc_length)), ()),
-                      "corpus_parts": (corpus, ("doc_id",)),
-                      "postings_parts": (index.term_frequency(corpus), ("term", "doc_id")),
-                      "doc_stats_parts": (index.doc_stats(corpus), ("doc_id",))}
-            for name, (table, keys) in tables.items():
-                write_table(table, os.path.join(store.path(name), part), keys)
-        finally:
-            corpus.unpersist()
+        unique = dedupe_docs_late(to_corpus(batch))  # copies inside one part collapse here
+        folder = os.path.join(store.path("corpus_parts"), part)
+        write_table(unique, folder, ("doc_id",))
+        corpus = spark.read.schema(unique.schema).parquet(folder)
+        old = _replaced(spark, store, corpus.select("doc_id"), (run, epoch_id))
+        gone = None if old is None else old.select(*corpus.columns)
+        write = lambda name, table, *keys: write_table(
+            table, os.path.join(store.path(name), part), keys)
+        read = lambda name: spark.read.parquet(os.path.join(store.path(name), part))
+        # what was tokenized once is read back; the part's documents are in force once doc_stats_parts is there
+        write("postings_parts", index.term_frequency(corpus, per_row=True), "term", "doc_id")
+        write("term_changes", maintain.term_changes(
+            read("postings_parts"), None if gone is None else index.term_frequency(gone, per_row=True)), "term")
+        tokens = read("term_changes").agg(F.coalesce(F.sum("d_cf"), F.lit(0)).cast("bigint").alias("d_len"))
+        docs = maintain.size_change(*[d and d.select("doc_id", F.lit(0).alias("len")) for d in (corpus, gone)])
+        write("size_changes", docs.select("d_docs").crossJoin(F.broadcast(tokens)))
+        write("doc_stats_parts", index.doc_stats(corpus), "doc_id")
 
     writer = (docs.writeStream.foreachBatch(write_epoch)
               .option("checkpointLocation", checkpoint)
@@ -149,7 +151,7 @@ def finish_index(spark: SparkSession, store: IndexStore,
     if "term_grams" in options.tables:
         write_grams(store, ts, "term")
     if {"bigram_postings", "bigram_stats", "bigram_grams"} & set(options.tables):
-        bp = store.write("bigram_postings", index.bigram_postings(merged_corpus(spark, store)))
+        bp = store.write("bigram_postings", index.bigram_postings(merged_corpus(spark, store), per_row=True))
         bs = store.write("bigram_stats", index.bigram_stats(bp))
         if "bigram_grams" in options.tables:
             write_grams(store, bs, "bigram")
