@@ -165,3 +165,13 @@ def test_rank_within_with_aqe_sized_ranges(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_weight_lists_of_few_and_of_many_headlines(spark, corpus_of, monkeypatch):
+    c = corpus_of([(i, "hot " + f"w{chr(97 + i % 7)} " * (1 + i % 3)) for i in range(50)])
+    tf = index.term_frequency(c)
+    ranked = weights.impact_order(weights.tfidf_weights(tf, index.term_stats(tf), index.corpus_stats(index.doc_length(c))))
+    few = weights.weight_list_view(ranked, index.doc_stats(c), 8).collect()
+    monkeypatch.setattr(weights, "FEW_HEADLINE_BYTES", -1)
+    many = weights.weight_list_view(ranked, index.doc_stats(c), 8).collect()
+    assert sorted(map(str, few)) == sorted(map(str, many)) and len(few) > 7
