@@ -112,6 +112,17 @@ def on_tables(func: Callable, **bound) -> Callable:
     return run
 
 
+def on_batches(func: Callable) -> Callable:
+    """``func`` over a task's batches, in the form that ``mapInArrow`` asks for."""
+    def run(it):
+        try:
+            yield from func(it)
+        finally:
+            give_back()
+    run.__name__ = func.__name__.strip("_")
+    return run
+
+
 def rows_table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     columns = list(zip(*rows)) if rows else [()] * len(schema)
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)

@@ -16,9 +16,11 @@ sequence as one).  Two documents link when ``100 * |x & y| >= percent * |x | y|`
   in ``n``; a class indexes its own band and the next, where every possible partner lies.
 * Candidates are verified on whole sets.  First every class is held against the least class
   that it shares most signatures with, then against the least class of the groups that still
-  span components: one pair a class and round.  Then only pairs of classes in different
-  components are left.  A group of near copies thus costs its size and not its square, and no
-  link between components is lost.
+  span components: one pair a class and round.  Then the classes of large signatures that
+  still span components are compared in tiles: blocks of whole sets, two blocks a task, which
+  gives links but no row a pair.  Last, only pairs of classes in different components are left,
+  under signatures of at most ``PAIRED`` members (or in chains of crowds).  No link between
+  components is lost.
 * Before a pair's sets are read, its shared signatures are counted.  If a class indexes single
   tokens only, ``p`` of its ``n``, the overlap is at most the shared ones plus ``n - p``: those of
   the shorter-reaching prefix that the other set has lie in both prefixes.
@@ -46,12 +48,13 @@ from lodestar.llm.bytescan import U64, SegmentHash, Words, batches, mix, texts_o
 from lodestar.llm.common import stage
 from lodestar.llm.components import components
 from lodestar.llm.exchange import (
-    Deal, bucket_slices, merge_counts, on_table, on_tables, pack_bits, rows_table, unpack_bits,
+    Deal, bucket_slices, merge_counts, on_batches, on_table, on_tables, pack_bits, rows_table, unpack_bits,
 )
 from lodestar.operators.skew import salted_key_join
 
 WIDTH = 5
 PERCENT = 75
+TEXT_BYTES = 2 << 20  # of text at a time; a worker takes some thirty times as much
 SKETCH_BITS = 20
 SKETCH_CHUNKS = 16
 SUBSET_SHARE = 12  # a subset holds about this many tokens of a whole set, a third in the prefix
@@ -87,7 +90,7 @@ def _sketch(docs: DataFrame, width: int) -> np.ndarray:
     def count(it):
         total = np.zeros(1 << SKETCH_BITS, np.uint32)
         for batch in it:
-            for part in batches(pa.Table.from_batches([batch])):
+            for part in batches(pa.Table.from_batches([batch]), TEXT_BYTES):
                 sets = shingle_sets(texts_of(part.column("text").combine_chunks()), width)
                 total += np.bincount(_slot(np.concatenate(sets)),
                                      minlength=len(total)).astype(np.uint32)
@@ -104,7 +107,7 @@ def _sketch(docs: DataFrame, width: int) -> np.ndarray:
                                           pa.array([total.tobytes()], pa.binary())],
                                          ["chunk", "counts"])
 
-    parts = docs.select("text").mapInArrow(count, "chunk int, counts binary")
+    parts = docs.select("text").mapInArrow(on_batches(count), "chunk int, counts binary")
     merged = parts.groupBy("chunk").applyInArrow(add, "chunk int, counts binary")
     out = np.zeros((SKETCH_CHUNKS, (1 << SKETCH_BITS) // SKETCH_CHUNKS), np.uint64)
     for r in merged.toLocalIterator():  # a fixed number of counters, 8 MB
@@ -169,6 +172,13 @@ _FOUND_ARROW = pa.schema([("node", pa.int64()), ("set_key", pa.binary()), ("n",
                           ("rest", pa.int64()), ("docs", pa.list_(pa.int64())), ("sig", pa.int64())])
 BROADCAST_ROWS = 200_000  # of 50 bytes: classes that are broadcast to their texts, pairs joined unsalted
 
+PAIRED = 32  # signatures of so many members are paired as they are
+TILE_GAIN = 8  # a pair in a tile costs less than this part of one that is a row
+BLOCK_NODES = 2048  # a block of a crowd
+BLOCK_TOKENS = 1 << 20
+DENSE = 32  # tokens of so many sets of a tile are counted by a matrix product
+COLUMNS = 1024
+
 
 def _set_key(tokens: np.ndarray) -> bytes:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
@@ -187,7 +197,7 @@ def _scan(docs: DataFrame, sketch: np.ndarray, width: int, percent: int) -> Data
         own: dict[bytes, list] = {}  # as large as the task's share of the input at most
         alone: dict[int, list] = {}
         for batch in it:
-            for part in batches(pa.Table.from_batches([batch])):
+            for part in batches(pa.Table.from_batches([batch]), TEXT_BYTES):
                 sets = shingle_sets(texts_of(part.column("text").combine_chunks()), width)
                 for doc, s in zip(part.column("doc_id").to_pylist(), sets):
                     if doc is None or not len(s):
@@ -207,7 +217,7 @@ def _scan(docs: DataFrame, sketch: np.ndarray, width: int, percent: int) -> Data
                  pa.array(rest, pa.int64()), pa.array(d, pa.list_(pa.int64())), pa.array(x, pa.binary())],
                 ["g", "set_key", "n", "rest", "docs", "signatures"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, _SETS)
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(on_batches(run), _SETS)
 
 
 class _Classes:
@@ -271,7 +281,7 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """``(node, tokens)`` of the classes in ``wanted(node, set_key, doc_id)``, from their texts."""
     def run(it):
         for batch in it:
-            for part in batches(pa.Table.from_batches([batch])):
+            for part in batches(pa.Table.from_batches([batch]), TEXT_BYTES):
                 sets = shingle_sets(texts_of(part.column("text").combine_chunks()), width)
                 own = pa.array([_set_key(s) for s in sets], pa.binary())
                 out = pa.RecordBatch.from_arrays(
@@ -285,7 +295,7 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
         wanted = F.broadcast(wanted)
     doc_id = F.col("doc_id").cast("bigint").alias("doc_id")
     return docs.select(doc_id, "text").join(wanted, "doc_id").mapInArrow(
-        run, "node bigint, tokens binary")
+        on_batches(run), "node bigint, tokens binary")
 
 
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -309,7 +319,7 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, width: int,
     else:
         fan = of("a", "ta").join(pairs.groupBy("a").agg(F.count("*").alias("pairs")), "a")
         both = salted_key_join(with_b, fan, "a", "pairs", spread_col="b")
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a bigint, b bigint")
+    return both.select("a", "b", "ta", "tb").mapInArrow(on_batches(run), "a bigint, b bigint")
 
 
 def _able(counted: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -347,6 +357,87 @@ def _open(shared: DataFrame, labels: DataFrame) -> DataFrame:
     return stage(salted_key_join(members, mixed, "sig", "size", spread_col="node"), "jaccard-open")
 
 
+def _crowds(rest: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(node, crowd, parts)``: members of large signatures, joined where they share one.
+
+    Members of one group of near copies share most of its signatures, so its pairs come once for
+    each of these.  A crowd is compared whole, in ``parts`` blocks, unless that are more pairs than its
+    signatures have (crowds that chain); the members of such a one are left to their signatures.
+    """
+    big = rest.where(F.col("size") > PAIRED).select("node", F.col("lo.node").alias("least"), "size")
+    crowd = components(big.select(F.col("node").alias("a"), F.col("least").alias("b"))).select(
+        "node", F.col("label").alias("crowd"))
+    nodes = big.groupBy("node").agg(F.sum("size").alias("pairs")).join(crowd, "node").join(
+        classes.select("node", "n"), "node")
+    sums = nodes.groupBy("crowd").agg(F.count("*").alias("m"), F.sum("n").alias("tokens"), F.sum("pairs").alias("pairs"))
+    parts = F.greatest(F.least(F.lit(16), F.ceil(F.col("m") / 256)), F.ceil(F.col("m") / BLOCK_NODES),
+                       F.ceil(F.col("tokens") / BLOCK_TOKENS)).cast("int")
+    kept = sums.where(F.col("m").cast("double") * F.col("m") <= TILE_GAIN * F.col("pairs")).select(
+        "crowd", parts.alias("parts"))
+    return stage(crowd.join(kept, "crowd").select("node", "crowd", "parts"), "jaccard-crowds")
+
+
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """How many tokens each two of some sets share; a set's own entry may be anything."""
+    m = len(sets)
+    owner = np.repeat(np.arange(m), np.fromiter(map(len, sets), np.int64, m))
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    both = np.zeros((m, m), np.float32)
+    order = np.argsort(column, kind="stable")
+    common = count >= DENSE
+    few = order[~common[column[order]]]
+    who, what = owner[few], column[few]
+    for gap in range(1, DENSE):  # a token of few sets: its pairs
+        at = np.flatnonzero(what[gap:] == what[:-gap])
+        if not len(at):
+            break
+        np.add.at(both, (who[at], who[at + gap]), 1)
+        np.add.at(both, (who[at + gap], who[at]), 1)
+    number = np.cumsum(common) - 1
+    many = order[common[column[order]]]
+    who, what = owner[many], number[column[many]]
+    for a in range(0, int(common.sum()), COLUMNS):
+        x, y = np.searchsorted(what, [a, a + COLUMNS])
+        has = np.zeros((m, COLUMNS), np.float32)
+        has[who[x:y], what[x:y] - a] = 1
+        both += has @ has.T
+    return both
+
+
+def _forest(table: pa.Table, percent: int) -> pa.Table:
+    """Links among the classes of a tile that connect what all its links connect."""
+    rows = dict(zip(table.column("node").to_pylist(), table.column("tokens").to_pylist()))  # a copy may come twice
+    nodes, sets = list(rows), [np.frombuffer(x, U64) for x in rows.values()]
+    n = np.fromiter(map(len, sets), np.int64, len(sets))
+    both = overlaps(sets)
+    left, a, b = np.ones(len(n), bool), [], []
+    for root in range(len(n)):
+        left[root], new = False, [root] if left[root] else []
+        while new:
+            x = new.pop()
+            c = both[x].astype(np.int64)
+            found = np.flatnonzero(left & (100 * c >= percent * (n[x] + n - c))).tolist()
+            left[found] = False
+            new += found
+            a += [nodes[x]] * len(found)
+            b += [nodes[y] for y in found]
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _crowd_links(docs: DataFrame, classes: DataFrame, crowds: DataFrame, width: int, percent: int) -> DataFrame:
+    """Verified links ``(a, b)`` that connect whatever classes of a crowd are connected.
+
+    A crowd is dealt into blocks of bounded size; each two blocks meet in one task, which holds no
+    more than these and reads their whole sets.
+    """
+    wanted = stage(classes.join(crowds, "node").select("node", "set_key", "doc_id"), "jaccard-wanted")
+    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    placed = _whole_sets(docs, wanted, width).join(crowds, "node").withColumn("own", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    tiles = placed.groupBy("crowd", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
+    return tiles.applyInArrow(on_table(_forest, percent=percent), "a bigint, b bigint")
+
+
 def jaccard_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """Members ``(node, set_key, n, docs)`` and links ``(a, b)`` between nodes.
 
@@ -380,8 +471,19 @@ def jaccard_classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     ends = rest.where("label <> lo.label").select(F.col("node").alias("x"), F.col("lo.node").alias("y"))
     links = stage(links.unionByName(link(_one_each(ends))), "jaccard-links")
     # 3. whatever pair of members still lies in different components
-    rest = _open(shared, components(links)).select("sig", "node", "label")
-    pairs = rest.join(rest.toDF("sig", "y", "other"), "sig").where("label < other")
+    rest = _open(shared, components(links))
+    # 3. crowds of members under large signatures, block against block
+    crowds = _crowds(rest, classes)
+    if not crowds.isEmpty():
+        links = stage(links.unionByName(_crowd_links(docs, classes, crowds, width, percent)), "jaccard-links")
+        rest = rest.drop("label").join(components(links).select("node", "label"), "node", "left").withColumn(
+            "label", F.coalesce("label", "node"))
+    # 4. whatever pair of members still lies in different components
+    rest = rest.join(crowds.select("node", "crowd"), "node", "left").join(classes.select("node", "n"), "node").where(
+        ~((F.col("size") > PAIRED) & F.col("crowd").isNotNull())).select("sig", "node", "label", "n", "crowd")
+    pairs = rest.join(rest.toDF("sig", "y", "other", "ny", "beside"), "sig").where(
+        (F.col("label") < F.col("other")) & ~F.coalesce(F.col("crowd") == F.col("beside"), F.lit(False))
+        & (F.least("n", "ny") * 100 >= F.greatest("n", "ny") * percent))
     counted = pairs.groupBy(F.least("node", "y").alias("a"), F.greatest("node", "y").alias("b")).agg(
         F.count("*").alias("shared"))
     return members, stage(links.unionByName(link(counted)), "jaccard-links")

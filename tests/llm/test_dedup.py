@@ -164,6 +164,39 @@ def test_jaccard(frame, odd):
     assert jaccard_join.jaccard_components(frame([])).collect() == []
 
 
+def test_overlaps(monkeypatch):
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 90, int(n), dtype=np.uint64)) for n in rng.integers(1, 60, 30)]
+    want = [[len(np.intersect1d(x, y)) for y in sets] for x in sets]
+    for dense, columns in ((2, 7), (8, 1024), (40, 3)):
+        monkeypatch.setattr(jaccard_join, "DENSE", dense)
+        monkeypatch.setattr(jaccard_join, "COLUMNS", columns)
+        got = jaccard_join.overlaps(sets)
+        assert all(got[i][j] == want[i][j] for i in range(30) for j in range(30) if i != j), dense
+
+
+def test_a_crowd_of_near_copies_costs_no_row_a_pair(frame, monkeypatch):
+    """Copies about as far from each other as links reach, in several blocks."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(120):
+        w = list(base)
+        for at in rng.sample(range(120), rng.choice((1, 4, 5, 6, 7))):
+            w[at] = f"new{i}x{at}"
+        rows.append((i, " ".join(w)))
+    sets = [(i, shingles(t)) for i, t in rows]
+    want = [(i, len(s), c) for (i, s), c in zip(sets, components(sets))]
+    assert 10 < len({c for *_, c in want}) < 110
+    able, pairs = jaccard_join._able, []
+    monkeypatch.setattr(jaccard_join, "_able", lambda counted, *a: pairs.append(counted.count()) or able(counted, *a))
+    monkeypatch.setattr(jaccard_join, "BLOCK_NODES", 40)
+    assert bag(jaccard_join.jaccard_components(frame(rows)).collect()) == bag(want)
+    assert max(pairs) <= 2 * len(rows)
+    monkeypatch.setattr(jaccard_join, "TILE_GAIN", 0)  # left to their signatures
+    assert bag(jaccard_join.jaccard_components(frame(rows)).collect()) == bag(want)
+
+
 def test_signatures_miss_no_pair():
     """Any two sets at the limit share a signature, whatever tokens count as frequent."""
     rng = np.random.default_rng(9)
