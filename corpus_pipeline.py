@@ -24,8 +24,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the labelled documents, sets ``lang`` to the prediction; rejected ones go."""
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     model = langid.fit(docs.where(~held_out).select("doc_id", "text", "lang"))
-    rows = docs.select(F.struct("*").alias("_row"), "text")
-    found = langid.predict(rows, model, ["_row"]).where("accepted")
+    found = langid.predict(docs.select(F.struct("*").alias("_row")), model, ["_row"], "_row.text").where("accepted")
     return found.select(*[F.col("lang_pred").alias(c) if c == "lang" else F.col(f"_row.`{c}`").alias(c)
                           for c in docs.columns])
 

@@ -28,12 +28,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestar.llm.bytescan import batches, texts_of
 from lodestar.llm.common import stage
+from lodestar.llm.exchange import give_back
 
 DIMS = 4096
 ROWS = 256  # vectors made at once
@@ -90,7 +92,10 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def vectors(tf: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    return _unit(np.where(tf > 0, 1 + np.log(np.maximum(tf, 1)), 0).astype(np.float32) * idf)
+    x = np.log(np.maximum(tf, 1))
+    x += 1
+    x[tf == 0] = 0
+    return _unit(x.astype(np.float32) * idf)
 
 
 def _k_means(x: np.ndarray, k: int) -> np.ndarray:
@@ -185,6 +190,7 @@ def fit(train: DataFrame, per_language: int = PER_LANGUAGE, centroids: int = CEN
                 yield pa.RecordBatch.from_arrays(
                     [part.column("lang").combine_chunks(),
                      pa.array([x.tobytes() for x in tf], pa.binary())], ["lang", "tf"])
+        give_back()
 
     chosen = stage(training_rows(train, per_language).where(F.col("text").isNotNull()), "language-rows")
     rows = chosen.mapInArrow(run, "lang string, tf binary")
@@ -221,6 +227,7 @@ def fit(train: DataFrame, per_language: int = PER_LANGUAGE, centroids: int = CEN
                             [pa.array([str(one)] * len(length)), pa.array(length, pa.int32()),
                              pa.array(centroid, pa.int32()), pa.array(cosine, pa.float64())],
                             ["lang", "length", "centroid", "cosine"])
+        give_back()
 
     found = {name: [] for name in languages}
     for r in chosen.mapInArrow(compare, "lang string, length int, centroid int, cosine double").toLocalIterator():
@@ -230,15 +237,26 @@ def fit(train: DataFrame, per_language: int = PER_LANGUAGE, centroids: int = CEN
     return Model(languages, idf, np.vstack([groups[name][0] for name in languages]), np.array(of), np.vstack(limit))
 
 
-def predict(docs: DataFrame, model: Model, keep: list[str] = ()) -> DataFrame:
-    """``keep`` and ``(lang_pred, score, accepted)`` for every row."""
+def predict(docs: DataFrame, model: Model, keep: list[str] = (), text: str = "text") -> DataFrame:
+    """``keep`` and ``(lang_pred, score, accepted)`` for every row.
+
+    ``text`` may name a field of a struct that is kept (``"row.text"``): the workers then take it
+    from there, instead of getting every text twice.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kept = list(keep)
+    within, _, field = text.rpartition(".")
+    inside = within in kept
+    if inside:  # the field's place, as Spark resolves its name
+        [place] = [i for i, c in enumerate(docs.schema[within].dataType.names) if c.lower() == field.lower()]
 
     def run(it):
         m = shared.value
         for batch in it:
-            for part in batches(pa.Table.from_batches([batch]), 1 << 20, "_text", ROWS):
+            table = pa.Table.from_batches([batch])
+            if inside:
+                table = table.append_column("_text", pc.struct_field(table.column(within), [place]))
+            for part in batches(table, 1 << 20, "_text", ROWS):
                 texts = part.column("_text").to_pylist()
                 raw = [(x or "").encode() for x in texts]
                 near = vectors(counts(raw), m.idf) @ m.centroids.T if m.languages else None
@@ -259,8 +277,9 @@ def predict(docs: DataFrame, model: Model, keep: list[str] = ()) -> DataFrame:
                             .append_column("score", pa.array(score, pa.float64()))
                             .append_column("accepted", pa.array(good, pa.bool_()))
                             .combine_chunks().to_batches())
+        give_back()
 
-    source = docs.select(*kept, F.col("text").alias("_text"))
+    source = docs.select(*kept, *([] if inside else [F.col(text).alias("_text")]))
     schema = T.StructType([f for f in source.schema if f.name != "_text"] + [
         T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
         T.StructField("accepted", T.BooleanType())])

@@ -76,3 +76,16 @@ def test_rows_are_told_apart_by_number_whatever_their_columns(spark):
     twice = docs.where("doc_id = 2")  # differ in the map only
     mixed = stage(steps["mixing"](spark, twice, None), "t").collect()
     assert len({r["row"]["k"] for r in mixed}) == 2 and {r["_key"] for r in mixed} == {7}
+
+
+def test_language_of_a_kept_row_without_a_second_text(spark, frame):
+    from pyspark.sql import functions as F
+
+    from lodestar.llm import langid
+
+    docs = frame([(i, t) for i, t in enumerate(["the cat and the dog", "der Hund und die Katze", None, "12", "the end"])], 1)
+    model = langid.fit(docs.select("doc_id", "text", F.when(F.col("doc_id") % 2 == 0, "en").otherwise("de").alias("lang")))
+    found = langid.predict(docs.select(F.struct("*").alias("row")), model, ["row"], "row.text")
+    assert "_text" not in found._jdf.queryExecution().executedPlan().toString()
+    got = sorted((r["row"]["doc_id"], *r[1:]) for r in found.collect())
+    assert got == sorted(map(tuple, langid.predict(docs, model, ["doc_id"]).collect())) and len(got) == 5
