@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestar.session import scratch_path
@@ -30,5 +33,22 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, limit: int) -> Iterator[None]:
+    """Jobs that run inside send their Python workers batches of ``limit`` bytes, about; the
+    session's own setting comes back behind.
+
+    A batch lies in the JVM's and in the worker's memory, outside the heap, and counts rows only
+    unless told otherwise.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(limit))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -171,7 +171,10 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, long_line: int = LO
     """``docs`` with repeated runs removed from ``text``, and ``n_chars`` brought in line."""
     changed = _changed(docs, min_lines, long_line)
     if not keep_rows:
-        changed = changed.where(F.col("_gone").isNull() | F.col("_text").rlike(WORD))
+        # Counted from the row's own text: Spark moves a filter on ``_text`` below the columns that
+        # it is made of, and then splits the text anew for each of its lines.
+        full = F.size(F.filter(F.split("_row.text", "\n"), lambda x: x.rlike(WORD)))
+        changed = changed.where(F.col("_gone").isNull() | (F.size("_gone") < full))
     columns = []
     for c in docs.columns:
         value = F.col(f"_row.`{c}`")

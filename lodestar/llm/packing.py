@@ -34,14 +34,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.llm.common import stage
+from lodestar.llm.common import arrow_batches, stage
 from lodestar.llm.exchange import give_back
 from lodestar.llm.fim import groups
 
 WINDOW = 2048
 END_ID = 1
 CACHE_BYTES = 24 << 20  # of remembered parts, twice (those of late, and those before)
-GROUP_BYTES = 4 << 20  # of text encoded at a time
+GROUP_BYTES = 2 << 20  # of text encoded at a time
 ENTRY_BYTES = 200  # what a remembered part takes beside its characters, about
 STEPS = 200
 
@@ -108,11 +108,8 @@ class WordTokenizer:
                         and not any(re.search(r"\s", x["content"]) or x["normalized"] or x["single_word"]
                                     for x in added))
         if self.by_word:
-            # takes parts, a line each
-            self.parts = Tokenizer.from_file(path)
-            self.parts.no_truncation()
-            self.parts.no_padding()
-            self.parts.encode_special_tokens = True
+            # takes parts, a line each; it shares the vocabulary and has no marks of special tokens
+            self.parts = Tokenizer(self.tokenizer.model)
             self.parts.normalizer = normalizers.Sequence([])
             self.parts.pre_tokenizer = pre_tokenizers.Sequence([
                 pre_tokenizers.Split("\n", "removed"),
@@ -258,7 +255,7 @@ def tokenize(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END
                      pa.array(ids, pa.binary())],
                     ["doc_id", "chunk", "row", "n", "width", "ids"])
                 del ids
-        give_back()
+                give_back()  # group by group: what they leave behind would add up
 
     return docs.select("doc_id", "text").mapInArrow(
         run, "doc_id bigint, chunk int, row bigint, n bigint, width int, ids binary")
@@ -336,7 +333,8 @@ def pack(docs: DataFrame, path: str, window: int = WINDOW, end_id: int = END_ID,
     """One row per piece: ``(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset)``
     and, if asked for, ``ids``, its tokens as an array."""
     spark = docs.sparkSession
-    tokens = stage(tokenize(docs, path, window, end_id), "packing-tokens")
+    with arrow_batches(spark, GROUP_BYTES):
+        tokens = stage(tokenize(docs, path, window, end_id), "packing-tokens")
     rest = tokens.select("doc_id", "chunk", "row", "n", (F.col("n") % window).alias("rest"))
     per_chunk = stage(rest.groupBy("rest", "chunk").agg(
         F.count("*").alias("rows"), F.sum(F.expr(f"n div {window}")).alias("full")), "packing-counts")

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import corpus_pipeline
 from brute_llm import WORDS, components, shingles
 from lodestar.llm.common import stage
+from lodestar.llm.common import tokenizer_path as packing_path
 
 
 def test_stages(spark, frame, odd):
@@ -89,3 +90,34 @@ def test_language_of_a_kept_row_without_a_second_text(spark, frame):
     assert "_text" not in found._jdf.queryExecution().executedPlan().toString()
     got = sorted((r["row"]["doc_id"], *r[1:]) for r in found.collect())
     assert got == sorted(map(tuple, langid.predict(docs, model, ["doc_id"]).collect())) and len(got) == 5
+
+
+def test_documents_without_lines_go_by_a_filter_that_builds_no_text(spark, frame):
+    from lodestar.llm import line_dedup
+
+    line = "one two three four five"
+    docs = frame([(1, f"{line}\n \n{line} six"), (2, f"{line}\n\n"), (3, line), (4, " "), (5, None), (6, "short\n" + line)])
+    kept = line_dedup.dedup_lines(docs, long_line=5, keep_rows=False)
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect() if r["text"]) == [
+        (1, f"{line}\n \n{line} six"), (4, " "), (6, "short")]
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 4, 5, 6]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not [x for x in plan if "Filter (" in x and "array_join" in x]
+
+
+def test_packing_sends_its_workers_batches_of_bounded_bytes(spark, frame, monkeypatch):
+    from lodestar.llm import packing
+
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, seen = spark.conf.get(setting), {}
+    real = packing.stage
+
+    def watched(df, name):
+        seen[name] = spark.conf.get(setting)
+        return real(df, name)
+
+    monkeypatch.setattr(packing, "stage", watched)
+    monkeypatch.setattr(packing, "GROUP_BYTES", 2000)
+    docs = frame([(i, f"some words of text {i} " * 40) for i in range(30)])
+    assert packing.pack(docs, packing_path()).count() > 0
+    assert seen["packing-tokens"] == "2000" and spark.conf.get(setting) == before
