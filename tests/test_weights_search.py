@@ -175,3 +175,15 @@ def test_weight_lists_of_few_and_of_many_headlines(spark, corpus_of, monkeypatch
     monkeypatch.setattr(weights, "FEW_HEADLINE_BYTES", -1)
     many = weights.weight_list_view(ranked, index.doc_stats(c), 8).collect()
     assert sorted(map(str, few)) == sorted(map(str, many)) and len(few) > 7
+
+
+def test_weight_lists_with_megabytes_of_headlines_move_no_headline(spark, corpus_of):
+    c = corpus_of([(i, "hot " + f"w{chr(97 + i % 7)} " * (1 + i % 3)) for i in range(50)])
+    tf = index.term_frequency(c)
+    ranked = weights.impact_order(weights.tfidf_weights(tf, index.term_stats(tf), index.corpus_stats(index.doc_length(c))))
+    heads = spark.range(50).select(F.col("id").alias("doc_id"), F.repeat(F.lit("Word "), 40_000).alias("headline"))
+    view = weights.weight_list_view(ranked, heads, 8)  # 10 MB
+    assert "SortMergeJoin [doc_id" not in view._jdf.queryExecution().executedPlan().toString()
+    rows = view.select("term", "block", F.size("postings").alias("n"), F.expr(
+        "forall(postings, p -> length(p.headline) = 200000)").alias("whole")).collect()
+    assert sum(r["n"] for r in rows) == ranked.count() and all(r["whole"] for r in rows)
