@@ -30,8 +30,14 @@ def text_tasks(corpus: DataFrame) -> int | None:
 
 
 def row_tasks(spark: SparkSession, rows: int | None) -> int | None:
-    """``more_tasks`` for so many rows of a key and a few numbers."""
-    return more_tasks(spark, (rows or 0) / TASK_ROWS)
+    """Tasks for so many rows of a key and a few numbers, the session's shuffle partitions at least;
+    None (Spark's choice) where one task will do.
+
+    Their number is given even where the session's would do: without one, AQE merges partitions
+    up to a size in compressed bytes, which are ten times that when sorted.
+    """
+    n = math.ceil((rows or 0) / TASK_ROWS)
+    return max(n, int(spark.conf.get("spark.sql.shuffle.partitions"))) if n > 1 else None
 
 
 def text_input(corpus: DataFrame, *extra: str) -> DataFrame:

@@ -41,6 +41,15 @@ def test_ranks_take_tasks_by_rows(spark, monkeypatch):
     assert rank_within(even, "k", [F.col("id").asc()], stored=True).rdd.getNumPartitions() >= 2 * _parts(spark)
 
 
+def test_ranks_keep_their_tasks_where_the_sessions_number_would_do(spark, monkeypatch):
+    df = spark.range(3000).select((F.col("id") % 300).alias("k"), "id")
+    want = sorted(rank_within(df, "k", [F.col("id").asc()], stored=True).collect())
+    monkeypatch.setattr(layout, "TASK_ROWS", 1500)  # two tasks, fewer than the session has
+    cut = rank_within(df, "k", [F.col("id").asc()], stored=True)
+    assert sorted(cut.collect()) == want
+    assert cut.rdd.getNumPartitions() == _parts(spark)  # AQE has merged none
+
+
 def test_written_tables_take_tasks_by_text(spark, tmp_path, monkeypatch):
     docs = _documents(spark, 400)
     docs.write.parquet(str(tmp_path / "documents.parquet"))
