@@ -48,13 +48,17 @@ _CONTEXT = SegmentHash(61)
 
 
 def _anchors(data: np.ndarray, length: int, q: int) -> np.ndarray:
-    """The least gram hash of every ``length``-byte window of ``data``."""
+    """The least gram hash of every ``length``-byte window of ``data``, mixed once more.
+
+    The least of many hashes are small numbers; buckets are cut from the high bits, and without
+    the mixing most windows of a corpus would meet in the first ones.
+    """
     x = grams8(data)
     n = len(data) - q + 1
     h = mix(x[:n])
     for off in [*range(8, q - 8, 8), q - 8]:
         h = mix(h + x[off:off + n])
-    return sliding_min(h, length - q + 1)
+    return mix(sliding_min(h, length - q + 1))
 
 
 def _runs(data: np.ndarray, window: np.ndarray, length: int, q: int) -> tuple[np.ndarray, np.ndarray]:
@@ -238,7 +242,7 @@ def _refine_segments(table: pa.Table, length: int) -> pa.Table:
     heads = [np.frombuffer(r["keys"], np.int64).reshape(2, -1) for r in rows]
     anchor, size = np.concatenate(heads, axis=1)
     doc = np.concatenate([np.frombuffer(r["docs"], np.int64) for r in rows])
-    data = np.frombuffer(b"".join(r["segments"] for r in rows), np.uint8)
+    data = np.frombuffer(b"".join(r.pop("segments") for r in rows), np.uint8)
     offset = np.cumsum(size) - size
     below = np.zeros(len(data), bool)
     # equal windows have equal anchors, so anchors are refined some at a time

@@ -9,6 +9,7 @@ import pytest
 from brute_llm import WORDS, components, cut_windows, shingles
 from lodestar.llm import jaccard_join, line_dedup, substring_dedup, suffix_dedup
 from lodestar.llm.bytescan import SegmentHash, Words, sliding_min
+from lodestar.llm.exchange import bucket_of
 
 
 def bag(rows):
@@ -245,3 +246,14 @@ def test_runs_do_not_depend_on_the_block(monkeypatch):
         monkeypatch.setattr(suffix_dedup, "SCAN", scan)
         again = suffix_dedup._runs(data, window, 50, 24)
         assert [x.tolist() for x in again] == [x.tolist() for x in whole]
+
+
+def test_anchors_spread_over_the_buckets():
+    """Each bucket gets about its share of the contexts, and equal windows have equal anchors."""
+    rng = np.random.default_rng(11)
+    data = rng.integers(97, 123, 200_000).astype(np.uint8)
+    _, anchors = suffix_dedup._runs(data, np.ones(len(data) - 49, bool), 50, 24)
+    sizes = np.bincount(bucket_of(np.unique(anchors), 50).astype(int), minlength=50)
+    assert sizes.max() < 2 * sizes.mean() and sizes.min() > sizes.mean() / 2
+    same = suffix_dedup._anchors(np.concatenate([data[:300], data[:300]]), 50, 24)
+    assert same[:200].tolist() == same[300:500].tolist()
