@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.operators import weights
+from lodestar.operators.rank import staged
 
 
 def term_changes(added: DataFrame, removed: DataFrame | None = None) -> DataFrame:
@@ -62,7 +63,8 @@ def common_weights(parts: Sequence[tuple[DataFrame, DataFrame]], **options) -> D
     ``parts`` are pairs ``(term, doc_id, tf, len)`` and ``(doc_id, len)``.  A document that lies in
     several parts counts once, as the last of them has it; df, N and the mean length are those
     of all documents together, so every posting has the weight that a build of the whole corpus
-    would give it.  (``weights.merge_weights`` keeps one of the weights that the parts' own
+    would give it.  The postings in force and their statistics are written, as the weights read
+    them several times.  (``weights.merge_weights`` keeps one of the weights that the parts' own
     statistics gave.)
     """
     if not parts:
@@ -72,7 +74,7 @@ def common_weights(parts: Sequence[tuple[DataFrame, DataFrame]], **options) -> D
         tagged = docs.select("doc_id", F.lit(i).alias("_part"))
         versions = tagged if versions is None else versions.unionByName(tagged)
     versions = versions.groupBy("doc_id").agg(F.max("_part").alias("_part"))
-    postings = newest([p.select("term", "doc_id", "tf", "len") for p, _ in parts], versions)
+    postings = staged(newest([p.select("term", "doc_id", "tf", "len") for p, _ in parts], versions), "postings")
+    terms = staged(term_stats(term_changes(postings)), "term-stats")
     docs = newest([d.select("doc_id", "len") for _, d in parts], versions)
-    return weights.both_weights(postings, term_stats(term_changes(postings)), corpus_stats(size_change(docs)),
-                                **options)
+    return weights.both_weights(postings, terms, corpus_stats(size_change(docs)), stored=True, **options)
